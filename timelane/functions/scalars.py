@@ -6,10 +6,11 @@ from pyspark.sql import Column, functions as F
 
 
 def clamp(value: Column, low, high) -> Column:
-    """``low`` wins when the bounds cross, as in max(low, min(high, value))."""
+    """max(low, min(high, value)): ``low`` wins when the bounds cross; NULL stays NULL."""
     low = low if isinstance(low, Column) else F.lit(low)
     high = high if isinstance(high, Column) else F.lit(high)
-    return F.greatest(low, F.least(high, value))
+    # greatest and least skip NULLs, so a missing value has to be kept out.
+    return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)))
 
 
 def half_up(value: Column) -> Column:

@@ -36,45 +36,62 @@ POOL_ROWS = 10_000
 
 # ---------------------------------------------------------------- nearest asset
 
-def nearest_asset(events: DataFrame, assets: DataFrame, dialect: str = "v4") -> DataFrame:
-    """Per event the asset of its persona and type whose intensity middle lies nearest; first in the library wins.
+def _choice_ranges(assets: DataFrame, dialect: str) -> DataFrame:
+    """Which asset wins for which stretch of (doubled) intensity, per persona and type, cut into buckets.
 
-    No event meets every asset.  Assets collapse to one per distinct middle and events to their distinct
-    intensities; on that merged number line each wanted point looks at its neighbour below and above.
+    Assets collapse to one per distinct middle, first in the library.  Between two neighbours the border is half
+    way; a point exactly half way goes to the one earlier in the library.
     """
-    doubled = lambda c: F.col(c).cast("bigint")
+    big = 1 << 40
+    doubled = lambda c, default: F.coalesce(F.col(c).cast("bigint"), F.lit(default))
     pool = reaction_assets(assets, dialect).select(
         "persona",
         F.col("reaction_type").alias("type"),
-        (F.coalesce(doubled("intensity_min_m"), F.lit(0)) + F.coalesce(doubled("intensity_max_m"), F.lit(1000))).alias("at"),
+        (doubled("intensity_min_m", 0) + doubled("intensity_max_m", 1000)).alias("at"),
         F.struct(
             "asset_ord", "asset_id", clip_length().alias("clip_ms"), F.col("peak_ms").cast("bigint").alias("stored_peak_ms")
         ).alias("asset"),
     )
     points = pool.groupBy("persona", "type", "at").agg(F.min_by("asset", "asset.asset_ord").alias("asset"))
-    aimed = events.withColumn("_at", 2 * F.coalesce(doubled("intensity_m"), F.lit(350)))
-    wanted = aimed.select("persona", "type", F.col("_at").alias("at")).distinct()
-
-    line = points.select("*", F.lit(0).alias("asked")).unionByName(
-        wanted.select("*", F.lit(None).cast(points.schema["asset"].dataType).alias("asset"), F.lit(1).alias("asked"))
-    )
-    here = F.when(F.col("asset").isNotNull(), F.struct("at", "asset"))
-    up = Window.partitionBy("persona", "type").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("persona", "type").orderBy(F.desc("at"), "asked").rowsBetween(Window.unboundedPreceding, 0)
-    sided = line.select(
+    near = Window.partitionBy("persona", "type").orderBy("at")
+    sided = points.select(
         "*",
-        F.last(here, ignorenulls=True).over(up).alias("below"),
-        F.last(here, ignorenulls=True).over(down).alias("above"),
-    ).filter("asked = 1")
-    offer = lambda side: F.when(
-        F.col(side).isNotNull(), F.struct(F.abs(F.col(f"{side}.at") - F.col("at")).alias("distance"), F.col(f"{side}.asset").alias("asset"))
+        *[
+            fn(c).over(near).alias(f"{side}_{name}")
+            for side, fn in (("prev", F.lag), ("next", F.lead))
+            for name, c in (("at", F.col("at")), ("ord", F.col("asset.asset_ord")))
+        ],
     )
-    chosen = sided.select(
-        "persona", "type", F.col("at").alias("_at"), F.least(offer("below"), offer("above"))["asset"].alias("_asset")
+    border = lambda low, high, low_ord, high_ord: floor_div(low + high, 2) - F.when(
+        (F.pmod(low + high, F.lit(2)) == 0) & (low_ord > high_ord), 1
+    ).otherwise(0)
+    own = F.col("asset.asset_ord")
+    low = F.coalesce(border(F.col("prev_at"), F.col("at"), F.col("prev_ord"), own) + 1, F.lit(-big))
+    high = F.coalesce(border(F.col("at"), F.col("next_at"), own, F.col("next_ord")), F.lit(big))
+    ranges = sided.select("persona", "type", low.alias("_low"), high.alias("_high"), "asset").filter("_low <= _high")
+    return ranges.withColumn("_bucket", F.explode(F.sequence(_intensity_bucket(F.col("_low")), _intensity_bucket(F.col("_high")))))
+
+
+def _intensity_bucket(doubled):
+    """Buckets of 64 over the usual range 0..2000; what lies outside joins the outer buckets."""
+    return floor_div(clamp(doubled, 0, 2000), 64)
+
+
+def nearest_asset(events: DataFrame, assets: DataFrame, dialect: str = "v4") -> DataFrame:
+    """Per event the asset of its persona and type whose intensity middle lies nearest; first in the library wins.
+
+    Events never meet all assets of their type: the catalog is first turned into ranges of intensity with one
+    winner each, so an event finds its asset by an equality join on a bucket and a range test.
+    """
+    ranges = _choice_ranges(assets, dialect)
+    aimed = events.withColumn("_at", 2 * F.coalesce(F.col("intensity_m").cast("bigint"), F.lit(350))).withColumn(
+        "_bucket", _intensity_bucket(F.col("_at"))
     )
-    # Struct order is (distance, asset_ord, ...), so least() is nearest first, then library order.
-    return aimed.join(chosen, ["persona", "type", "_at"], "left").select(
-        *events.columns, "_asset.asset_id", "_asset.clip_ms", "_asset.stored_peak_ms"
+    a, r = aimed.alias("a"), ranges.alias("r")
+    same = [F.col(f"a.{c}") == F.col(f"r.{c}") for c in ("persona", "type", "_bucket")]
+    within = F.col("a._at").between(F.col("r._low"), F.col("r._high"))
+    return a.join(r, [*same, within], "left").select(
+        *[f"a.{c}" for c in events.columns], "r.asset.asset_id", "r.asset.clip_ms", "r.asset.stored_peak_ms"
     )
 
 

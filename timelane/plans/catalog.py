@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from timelane.plans import checks_timeline
+from timelane.plans import checks_media, checks_operations, checks_timeline
 from timelane.plans.registry import queries
 
 __all__ = ["queries", "checks"]
 
 
 def checks() -> dict[str, str]:
-    return {**checks_timeline.checks()}
+    return {**checks_timeline.checks(), **checks_media.checks(), **checks_operations.checks()}

@@ -97,20 +97,20 @@ SELECT persona, row_number() OVER (PARTITION BY persona ORDER BY asset_ord) - 1
     # One step per chunk: state is (gap, where in it, turn of the pool).  fill = 1 marks a laid chunk.
     k_gapn="""SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY gap_no) AS g FROM k_gaps""",
     k_filled="""
-SELECT job_id, persona, g, gap_no, gap_start_ms AS gs, gap_end_ms AS ge, gap_start_ms AS at, CAST(0 AS BIGINT) AS turn, CAST(-1 AS BIGINT) AS chunk_no, CAST(NULL AS BIGINT) AS asset_id, CAST(0 AS BIGINT) AS dur FROM k_gapn WHERE g = 1
+SELECT job_id, persona, g, gap_no, gap_start_ms AS gs, gap_end_ms AS ge, gap_start_ms AS pos_ms, CAST(0 AS BIGINT) AS turn, CAST(-1 AS BIGINT) AS chunk_no, CAST(NULL AS BIGINT) AS asset_id, CAST(0 AS BIGINT) AS dur FROM k_gapn WHERE g = 1
 UNION ALL
-SELECT f.job_id, f.persona, CASE WHEN f.ge - f.at > 40 THEN f.g ELSE x.g END, CASE WHEN f.ge - f.at > 40 THEN f.gap_no ELSE x.gap_no END,
-       CASE WHEN f.ge - f.at > 40 THEN f.gs ELSE x.gap_start_ms END, CASE WHEN f.ge - f.at > 40 THEN f.ge ELSE x.gap_end_ms END,
-       CASE WHEN f.ge - f.at > 40 THEN f.at + least(f.ge - f.at, p.clip_ms) ELSE x.gap_start_ms END,
-       CASE WHEN f.ge - f.at > 40 THEN f.turn + 1 ELSE f.turn END,
-       CASE WHEN f.ge - f.at > 40 THEN f.chunk_no + 1 ELSE -1 END,
-       CASE WHEN f.ge - f.at > 40 THEN p.asset_id END,
-       CASE WHEN f.ge - f.at > 40 THEN least(f.ge - f.at, p.clip_ms) ELSE 0 END
+SELECT f.job_id, f.persona, CASE WHEN f.ge - f.pos_ms > 40 THEN f.g ELSE x.g END, CASE WHEN f.ge - f.pos_ms > 40 THEN f.gap_no ELSE x.gap_no END,
+       CASE WHEN f.ge - f.pos_ms > 40 THEN f.gs ELSE x.gap_start_ms END, CASE WHEN f.ge - f.pos_ms > 40 THEN f.ge ELSE x.gap_end_ms END,
+       CASE WHEN f.ge - f.pos_ms > 40 THEN f.pos_ms + least(f.ge - f.pos_ms, p.clip_ms) ELSE x.gap_start_ms END,
+       CASE WHEN f.ge - f.pos_ms > 40 THEN f.turn + 1 ELSE f.turn END,
+       CASE WHEN f.ge - f.pos_ms > 40 THEN f.chunk_no + 1 ELSE -1 END,
+       CASE WHEN f.ge - f.pos_ms > 40 THEN p.asset_id END,
+       CASE WHEN f.ge - f.pos_ms > 40 THEN least(f.ge - f.pos_ms, p.clip_ms) ELSE 0 END
 FROM k_filled f JOIN (SELECT DISTINCT persona, n FROM k_tape) c ON c.persona = f.persona
 JOIN k_tape p ON p.persona = f.persona AND p.pos = f.turn % c.n
 LEFT JOIN k_gapn x ON x.job_id = f.job_id AND x.g = f.g + 1
-WHERE f.ge - f.at > 40 OR x.g IS NOT NULL""",
-    k_fill="""SELECT job_id, gap_no, chunk_no, asset_id, at - dur AS start_ms, dur AS duration_ms FROM k_filled WHERE chunk_no >= 0""",
+WHERE f.ge - f.pos_ms > 40 OR x.g IS NOT NULL""",
+    k_fill="""SELECT job_id, gap_no, chunk_no, asset_id, pos_ms - dur AS start_ms, dur AS duration_ms FROM k_filled WHERE chunk_no >= 0""",
     k_tape2="""
 SELECT persona, row_number() OVER (PARTITION BY persona ORDER BY asset_ord) - 1 AS pos, count(*) OVER (PARTITION BY persona) AS n, asset_id FROM k_react2 WHERE reaction_type = 'neutral'""",
     k_fill2="""
@@ -132,8 +132,8 @@ FROM (SELECT *, CAST(coalesce(sum(frames) OVER (PARTITION BY job_id ORDER BY seg
     k_fade2="""
 SELECT *, CASE WHEN prev IS NOT NULL THEN least(160000, prev // 3, us // 3) END AS fade_us
 FROM (SELECT *, lag(us) OVER (PARTITION BY job_id ORDER BY seg_no) AS prev FROM k_segn2) AS q""",
-    k_lines="""SELECT job_id, persona, row_number() OVER (PARTITION BY job_id ORDER BY event_no) AS seq, voice_ms * 6 AS need_ms FROM k_num WHERE comment IS NOT NULL
- AND EXISTS (SELECT 1 FROM k_play r WHERE r.persona = k_num.persona AND r.speech_ready)""",
+    k_lines="""SELECT job_id, persona, row_number() OVER (PARTITION BY job_id ORDER BY event_no) AS seq, voice_ms * 6 AS need_ms FROM k_cap WHERE comment IS NOT NULL
+ AND EXISTS (SELECT 1 FROM k_play r WHERE r.persona = k_cap.persona AND r.speech_ready)""",
     k_bedtape="""
 SELECT persona, row_number() OVER (PARTITION BY persona ORDER BY asset_ord) - 1 AS pos, count(*) OVER (PARTITION BY persona) AS n,
        CASE WHEN duration_ms > 200 THEN duration_ms ELSE probed_ms END AS clip_ms FROM k_play WHERE speech_ready""",

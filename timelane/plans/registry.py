@@ -6,11 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from timelane.operators import adapt, gates, timeline as T
+from timelane.operators import (
+    adapt,
+    captions as C,
+    frames as P,
+    gates,
+    joins as J,
+    logs as L,
+    quality as Q,
+    queue as K,
+    regions as R,
+    timeline as T,
+)
 from timelane.plans import render
 from timelane.session import stage, tune
-from timelane.sources import readers
+from timelane.sources import readers, sinks
 from timelane.sources.derived import Entities
+from timelane.streaming import progress as S
 
 Query = Callable[[Entities], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -225,3 +237,480 @@ def landing_error(e):
 @query
 def reaction_density(e):
     return render.reaction_density(place_reactions(e), _ready(e))
+
+
+# ---------------------------------------------------------------- prices, windows, markers, layout
+
+
+# What the marker check looks for in a page.
+PAGE_MARKERS = (
+    ("navigation", "<nav>", "a page without navigation is a fragment"),
+    ("script", "<script>", "the tracker must be present once"),
+    ("tracker", "track(0);", "the first tracker must run once"),
+    ("canonical link", 'rel="canonical"', "copies must name their origin"),
+)
+
+
+def _cost_requests(e):
+    """Every event asks for one clip: a known model or an unknown one, on either backend."""
+    n = F.col("event_id")
+    names = F.array(*[F.lit(m[0]) for m in J.MODEL_PRICES], F.lit("unlisted/model"))
+    return e.table("events").select(
+        n.alias("request_no"),
+        F.get(names, (n % 8).cast("int")).alias("model"),
+        F.when(n % 5 == 0, "openrouter").otherwise("fal").alias("backend"),
+        (3 + n % 8).alias("requested_s"),
+    )
+
+
+@query
+def spec_cost(e):
+    return J.spec_cost(_cost_requests(e))
+
+
+@query
+def spec_cost_by_model(e):
+    priced = J.spec_cost(_cost_requests(e))
+    return priced.groupBy("model", "backend").agg(
+        F.count(F.lit(1)).alias("requests"), F.sum("chosen_s").alias("seconds"), F.sum("cost_micro").alias("cost_micro")
+    )
+
+
+@query
+def window_contract(e):
+    return J.window_contract(e.candidates)
+
+
+@query
+def slice_window(e):
+    return J.slice_window(e.words, e.candidates)
+
+
+@query
+def marker_audit(e):
+    return J.marker_audit(e.table("pages"), "page_id", "html", PAGE_MARKERS)
+
+
+@query
+def layout_plan(e):
+    return J.layout_plan(e.jobs, e.assets)
+
+
+# ---------------------------------------------------------------- captions
+
+def _words_hot(e):
+    return e.hot("conversations", "conv_id")
+
+
+@query
+def caption_lines(e):
+    return C.caption_lines(e.words)
+
+
+@query
+def caption_cues(e):
+    return C.caption_cues(e.words)
+
+
+@query
+def export_captions_srt(e):
+    return C.export_captions(C.caption_cues(e.words), "srt", split=_words_hot(e))
+
+
+@query
+def export_captions_ass(e):
+    return C.export_captions(C.caption_lines(e.words), "ass", J.layout_plan(e.jobs, e.assets), _words_hot(e))
+
+
+# ---------------------------------------------------------------- frame grids and regions
+
+@query
+def explode_frames(e):
+    """Vectors as raw clips: 64 values, read as 4 x 4 grids, are 4 whole frames; the first 60 leave a partial one."""
+    grids = e.table("embeddings").select(
+        F.col("vec_id").alias("clip_id"),
+        F.transform(
+            F.slice("embedding", F.lit(1), F.when(F.col("vec_id") % 2 == 0, 64).otherwise(60)),
+            lambda v: F.floor((v.cast("double") + 1) * F.lit(127.5)).cast("int"),
+        ).alias("bytes"),
+    )
+    return readers.explode_frames(grids, 4, 4)
+
+
+@query
+def plate_colour(e):
+    return P.plate_colour(e.cells)
+
+
+def _takes(e):
+    """Ten frames in a row count as one take of a clip."""
+    return P.plate_colour(e.cells.withColumn("take", T.floor_div(F.col("frame_no"), 10)), ["clip_id", "take"])
+
+
+@query
+def plate_colour_per_take(e):
+    return _takes(e)
+
+
+@query
+def colour_drift(e):
+    return P.colour_drift(_takes(e), P.plate_colour(e.cells))
+
+
+@query
+def threshold_ladder(e):
+    """The alpha a candidate leaves on a cell is derived from its value and the candidate's place."""
+    scored = e.cells.select(
+        "clip_id", "r", "g", "b",
+        F.array(*[F.least(F.lit(255), F.col("v") * (i + 1)) for i in range(len(P.SIMILARITIES))]).alias("alphas"),
+    )
+    return P.threshold_ladder(scored, P.plate_colour(e.cells))
+
+
+@query
+def subject_bounds(e):
+    return P.subject_bounds(e.cells, ["clip_id", "frame_no"], 8, J.AVATAR_W)
+
+
+@query
+def motion_cells(e):
+    cells = P.motion_cells(e.cells)
+    return cells.select("clip_id", "cell", "frames", F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"))
+
+
+@query
+def motion_patch(e):
+    return P.motion_patch(P.motion_cells(e.cells), (8, 8), (1920, 1088))
+
+
+@query
+def frame_loop(e):
+    return P.frame_loop(e.frames, F.col("clip_id") % 4 == 0, 24)
+
+
+@query
+def stable_region(e):
+    return R.stable_region(e.detections, 1920, 1080)
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+@query
+def read_jobs(e):
+    """Claim documents are built from orders and their lines, written as JSON text and parsed back."""
+    # The plan of one job is one document, so its events have to meet in it.
+    event = F.struct(
+        F.col("event_ord"),
+        F.struct((F.col("time_ms") / 1000).alias("time"), "type", F.trim("comment").alias("comment")).alias("event"),
+    )
+    plans = e.events.groupBy("job_id").agg(
+        F.transform(F.array_sort(F.collect_list(event)), lambda v: v["event"]).alias("events")
+    )
+    documents = e.jobs.join(plans, "job_id", "left").select(
+        F.to_json(
+            F.struct(
+                F.struct(
+                    F.col("job_id").alias("id"),
+                    "status",
+                    F.when(F.col("has_plan"), F.struct("events")).alias("reaction_plan"),
+                ).alias("job")
+            )
+        ).alias("document")
+    )
+    return readers.read_jobs(documents)
+
+
+@query
+def read_transcripts(e):
+    """One transcript document per conversation turn; blank words and words without an end are planted in it."""
+    words = F.transform(
+        F.split("text", " "),
+        lambda w, i: F.struct(
+            F.concat(F.lit(" "), w).alias("text"),
+            F.format_string("%d.%03d", (i * 300 / 1000).cast("int"), (i * 300 % 1000).cast("int")).alias("start"),
+            F.when(i % 11 == 3, "NaN").when(i % 11 != 5, F.format_string("%d.%03d", ((i * 300 + 240) / 1000).cast("int"), ((i * 300 + 240) % 1000).cast("int"))).alias("end"),
+        ),
+    )
+    documents = e.table("conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("job_id"),
+        F.to_json(F.struct(F.lit("local").alias("provider"), F.col("role").alias("language"), words.alias("words"))).alias("document"),
+    )
+    return readers.read_transcripts(documents)
+
+
+@query
+def read_probes(e):
+    """Probe documents are built from the probe facts, with an audio stream ahead of the video for odd jobs."""
+    seconds = lambda c: F.format_string("%d.%03d", (c / 1000).cast("int"), (c % 1000).cast("int"))
+    video = F.struct(
+        F.lit("video").alias("codec_type"), F.lit("h264").alias("codec_name"), "width", "height", F.lit(None).cast("string").alias("duration")
+    )
+    audio = F.struct(
+        F.lit("audio").alias("codec_type"), F.lit("aac").alias("codec_name"), F.lit(None).cast("int").alias("width"),
+        F.lit(None).cast("int").alias("height"), F.when(F.col("job_id") % 4 != 0, seconds(F.col("audio_ms"))).alias("duration"),
+    )
+    streams = F.filter(
+        F.when(F.col("job_id") % 2 == 1, F.array(audio, video)).otherwise(F.array(video, audio)),
+        lambda s: ((s["codec_type"] == "video") & F.col("has_video")) | ((s["codec_type"] == "audio") & F.col("has_audio")),
+    )
+    length = F.when(F.col("job_id") % 13 != 0, seconds(F.col("duration_ms")))
+    documents = e.probes.select(
+        "job_id", F.to_json(F.struct(streams.alias("streams"), F.struct(length.alias("duration")).alias("format"))).alias("document")
+    )
+    return readers.read_probes(documents)
+
+
+def _writes(e):
+    n = F.col("event_id")
+    return e.table("events").select(
+        F.col("user_id").alias("job_id"), n.alias("render_id"), F.col("ts").alias("written_at"), (n % 3 != 0).alias("immutable")
+    )
+
+
+@query
+def overwrite_audit(e):
+    return K.overwrite_audit(_writes(e))
+
+
+@query
+def register_assets(e):
+    n = F.col("p_partkey")
+    presets = F.array(*[F.lit(p[0]) for p in sinks.PRESETS], F.lit("unknown_preset"))
+    names = F.array(*[F.lit(m[0]) for m in J.MODEL_PRICES], F.lit("unlisted/model"))
+    clips = e.table("part").select(
+        n.alias("asset_id"),
+        F.col("p_brand").alias("persona"),
+        F.get(presets, (n % 13).cast("int")).alias("preset"),
+        F.get(names, (n % 8).cast("int")).alias("model"),
+        F.lit("fal").alias("backend"),
+        (2000 + F.col("p_size") * 100).alias("stored_ms"),
+        F.struct(F.lit("pingpong").alias("mode"), (700 + F.col("p_size") * 40).alias("peak_ms")).alias("loop"),
+    )
+    registered = sinks.register_assets(clips)
+    return registered.select(
+        "asset_id", "persona", "reaction_type", "label", "storage_path", "duration_ms", "speech_ready", "anchor_role", "enabled",
+        "metadata.generated_by", "metadata.requested_duration_s", "metadata.cost_micro", "metadata.loop.peak_ms",
+    )
+
+
+# ---------------------------------------------------------------- quality
+
+@query
+def loudness_gain(e):
+    return Q.loudness_gain(e.loudness)
+
+
+@query
+def render_qc(e):
+    return Q.render_qc(e.probes, e.jobs)
+
+
+@query
+def render_qc_rates(e):
+    return Q.qc_rates(Q.render_qc(e.probes, e.jobs))
+
+
+@query
+def replacement_rect(e):
+    n = F.col("o_orderkey")
+    rects = e.table("orders").select(
+        n.alias("job_id"),
+        (n * 37 % 1000 - 20).alias("x"), (n * 53 % 900).alias("y"), (n * 29 % 700 - 10).alias("width"), (n * 31 % 600).alias("height"),
+    )
+    return Q.replacement_rect(rects)
+
+
+@query
+def delivery_budget(e):
+    return Q.delivery_budget(e.probes.withColumn("retry_bytes", T.floor_div(F.col("bytes") * 85, 100)))
+
+
+@query
+def render_summary(e):
+    jobs = _ready(e).withColumn("source_replacement", F.col("job_id") % 13 == 0)
+    placed = stage(place_reactions(e), "placed")
+    gaps = T.open_gaps(placed, _ready(e), e.events_hot)
+    segments = placed.select("job_id", "kind").unionByName(
+        T.fill_gaps_cyclic(gaps, e.assets, e.events_hot).select("job_id", F.lit("neutral").alias("kind"))
+    )
+    return Q.render_summary(
+        jobs,
+        e.events.filter("time_ms IS NOT NULL"),
+        segments,
+        placed.filter("kind = 'comment'"),
+        C.caption_lines(e.words),
+        J.layout_plan(e.jobs, e.assets),
+        Q.render_qc(e.probes, e.jobs).select("job_id", "verdict"),
+    )
+
+
+# ---------------------------------------------------------------- queue and files
+
+@query
+def claim_order(e):
+    return K.claim_order(e.jobs)
+
+
+@query
+def drain_batches(e):
+    return K.drain_batches(e.jobs)
+
+
+@query
+def preferred_artifact(e):
+    return K.preferred_artifact(e.files)
+
+
+@query
+def newest_result(e):
+    return K.newest_result(e.files)
+
+
+@query
+def requeue(e):
+    n = F.col("job_id")
+    jobs = e.jobs.select(
+        "job_id", "status",
+        F.when(n % 3 == 0, "compositing").otherwise("result_uploading").alias("current_stage"),
+        F.when(n % 5 == 0, F.concat(F.lit("failed at "), n.cast("string"))).alias("error"),
+        F.concat(F.lit("results/"), n.cast("string"), F.lit(".mp4")).alias("result_path"),
+        F.unix_seconds(F.col("created_at").cast("timestamp")).alias("started_at"),
+        F.lit(0).cast("bigint").alias("updated_at"),
+    )
+    return K.requeue(jobs, e.jobs.filter((F.col("status") == "rendering") & (n % 2 == 0)), F.lit(1_700_000_000).cast("bigint"))
+
+
+@query
+def schedule_gaps(e):
+    runs = e.table("events").select("event_type", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"))
+    return K.schedule_gaps(runs, "event_type", "at_us", "event_id", 300_000_000, e.hot("events", "event_type"))
+
+
+@query
+def drain_sessions(e):
+    claims = e.table("events").select(
+        F.col("user_id").alias("worker"), F.col("event_id").alias("seq"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us")
+    )
+    return K.drain_sessions(claims, e.hot("events", "user_id"))
+
+
+# ---------------------------------------------------------------- logs, caches, progress
+
+def _progress(e):
+    return e.progress.select(
+        "job_id", "seq", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"), "stage", "status",
+        F.from_json("patch", "map<string,string>").alias("patch"),
+    )
+
+
+def _kind(job):
+    return F.get(F.array(*[F.lit(k) for k in L.DEADLINES_S]), (job % len(L.DEADLINES_S)).cast("int"))
+
+
+@query
+def classify_attempts(e):
+    return L.classify_attempts(e.attempts)
+
+
+@query
+def classify_status(e):
+    return L.classify_status(e.statuses, "lip.sync")
+
+
+@query
+def cache_lookup(e):
+    return L.cache_lookup(e.cache, J.DEFAULT_PRICE)
+
+
+@query
+def cache_savings(e):
+    found = L.cache_lookup(e.cache, J.DEFAULT_PRICE)
+    return found.groupBy("hit").agg(F.count(F.lit(1)).alias("requests"), F.sum("saved_micro").alias("saved_micro"))
+
+
+@query
+def error_digest(e):
+    n = F.col("request_id")
+    failures = e.attempts.filter("exit_code <> 0").select(
+        F.concat(F.lit("attempt "), F.col("attempt").cast("string")).alias("stage"),
+        F.concat("log", F.lit(" host "), (n % 7).cast("string")).alias("message"),
+    )
+    return L.error_digest(failures, 3)
+
+
+@query
+def job_state(e):
+    state = L.job_state(_progress(e))
+    return state.select("job_id", "stage", "status", "reports", F.col("meta")["k"].alias("k"))
+
+
+@query
+def stage_durations(e):
+    return L.stage_durations(_progress(e), e.hot("events", "user_id"))
+
+
+@query
+def stage_counts(e):
+    return L.stage_counts(_progress(e))
+
+
+@query
+def stalled_jobs(e):
+    reports = _progress(e).withColumn("kind", _kind(F.col("job_id")))
+    last = reports.agg(F.max("at_us")).first()[0]  # one number
+    return L.stalled_jobs(reports, last)
+
+
+# ---------------------------------------------------------------- streams over the event file
+
+def _event_stream(e):
+    return S.report_stream(e.spark, e.folder, "events.parquet", e.table("events").schema)
+
+
+def _progress_stream(e):
+    return _event_stream(e).select(
+        F.col("user_id").alias("job_id"),
+        F.col("event_id").alias("seq"),
+        "ts",
+        F.unix_micros("ts").alias("at_us"),
+        F.expr("CASE event_type WHEN 'view' THEN 'render_preparing' WHEN 'signup' THEN 'timeline_building' WHEN 'click' THEN 'avatar_rendering' WHEN 'purchase' THEN 'completed' ELSE 'failed' END").alias("stage"),
+        F.expr("CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'rendering' END").alias("status"),
+        F.from_json("props", "map<string,string>").alias("patch"),
+    )
+
+
+@query
+def job_state_stream(e):
+    states = S.latest_version(S.drain(S.job_state_stream(_progress_stream(e)), "states"))
+    return states.select("job_id", "stage", "status", "reports", F.col("meta")["k"].alias("k"))
+
+
+@query
+def stage_counts_stream(e):
+    return S.drain(S.stage_counts_stream(_progress_stream(e)), "counts")
+
+
+@query
+def stalled_jobs_stream(e):
+    reports = _progress_stream(e).withColumn("kind", _kind(F.col("job_id")))
+    return S.drain(S.stalled_jobs_stream(reports), "stalled")
+
+
+@query
+def cache_dedup_stream(e):
+    n = F.col("event_id")
+    requests = _event_stream(e).select(
+        "ts", n.alias("request_no"),
+        F.concat(F.lit("model-"), (n % 3).cast("string")).alias("model"),
+        F.concat(F.lit("img-"), F.col("user_id").cast("string")).alias("image"),
+        F.concat(F.lit("aud-"), "event_type").alias("audio"),
+        F.lit("hold still").alias("prompt"),
+    )
+    return S.drain(S.cache_dedup_stream(requests), "dedup").select("cache_key")
+
+
+@query
+def drain_sessions_stream(e):
+    claims = _event_stream(e).select(F.col("user_id").alias("worker"), "ts")
+    return S.drain(S.drain_sessions_stream(claims), "sessions")

@@ -72,7 +72,7 @@ FROM {events}""",
     "fx_attempts": """
 SELECT CAST(floor(event_id / 2) AS BIGINT) AS request_id, event_id % 2 + 1 AS attempt,
        CASE WHEN event_type IN ('view', 'purchase') THEN 0 ELSE 1 END AS exit_code,
-       CASE event_type WHEN 'error' THEN 'ERROR: HTTP Error 429: Too Many Requests' WHEN 'click' THEN 'Sign in to confirm you are not a bot' WHEN 'signup' THEN 'network unreachable' ELSE 'ok' END AS log
+       CASE event_type WHEN 'error' THEN 'ERROR: HTTP Error 429: Too Many Requests' WHEN 'click' THEN 'Sign in to confirm you''re not a bot' WHEN 'signup' THEN 'network unreachable' ELSE 'ok' END AS log
 FROM {events}""",
     "fx_statuses": """
 SELECT event_id AS ref,
