@@ -38,7 +38,7 @@ def value_at_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: dict,
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
     covered = running(
-        counts, keys, [F.col(value)], [Run("_covered", "sum", F.col("_copies"))], [floor_div(F.col(value), bucket)] if bucket else None,
+        counts, keys, [F.col(value)], [Run("_covered", "sum", F.col("_copies"))], [[floor_div(F.col(value), bucket)]] if bucket else None,
     )
     sizes = counts.groupBy(*keys).agg(F.sum("_copies").alias("n"))
     return covered.join(sizes, list(keys)).groupBy(*keys).agg(

@@ -5,7 +5,7 @@ exchange serves every window of a chain.  When a job may hold a large share of a
 value is computed in three steps instead:
 
 1. cut each key into chunks that follow the order, and run the window inside every chunk;
-2. reduce every chunk to one row and run the window over those few rows;
+2. reduce every chunk to one row and run the window over those few rows, in several levels if needed;
 3. join the carried-in value of each chunk back and combine.
 
 ``has_hot_key`` decides with one cheap aggregate which form to use.
@@ -20,23 +20,33 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from timelane.functions.scalars import floor_div
 
-# Rows of one key that a single window task is allowed to hold.
-SPLIT_ROWS = 1_000_000
-# Rows per chunk where an ordinal without gaps is at hand.
-CHUNK_ROWS = 4096
+class Limits:
+    """Sizes a single task may meet.  Tests lower them to run the split forms on small tables."""
 
+    split_rows = 250_000  # rows of one key in one window task
+    chunk_rows = 4096     # rows per chunk where an ordinal without gaps is at hand
 
-def has_hot_key(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """True when some key holds more than ``limit`` rows.  Reads the key columns only, returns one row."""
-    limit = SPLIT_ROWS if limit is None else limit
+
+def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """True when some key holds more than ``Limits.split_rows`` rows.  Reads the key columns, returns one row."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return not counts.filter(F.col("rows") > limit).limit(1).isEmpty()
+    return not counts.filter(F.col("rows") > Limits.split_rows).limit(1).isEmpty()
+
+
+def block_of(ordinal: str | Column) -> Column:
+    """Block of a non-negative number; at most ``Limits.chunk_rows`` distinct values fall into one."""
+    return floor_div(F.col(ordinal) if isinstance(ordinal, str) else ordinal, Limits.chunk_rows)
+
+
+def chunk_of(ordinal: str) -> Column:
+    """Block of a 1-based ordinal without gaps: every chunk but the last is full."""
+    return block_of(F.col(ordinal) - 1)
 
 
-def chunk_of(ordinal: str | Column, rows: int = CHUNK_ROWS) -> Column:
-    """Chunk number of a 1-based ordinal without gaps: every chunk holds at most ``rows`` rows."""
-    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
-    return floor_div(ordinal - 1, rows)
+def clock_levels(micros: str, tie: str) -> list[list[Column]]:
+    """Chunk levels of an event clock: hour, second, then the instant with blocks of its tie-breaker."""
+    at = F.col(micros)
+    return [[floor_div(at, 3_600_000_000)], [floor_div(at, 1_000_000)], [at, block_of(tie)]]
 
 
 @dataclass(frozen=True)
@@ -84,7 +94,8 @@ def _chunk_total(run: Run, order: Sequence[Column]) -> Column:
     return F.max_by(run.value, F.when(run.value.isNotNull(), place))
 
 
-def _carry(run: Run, total: Column, window) -> Column:
+def _before_chunk(run: Run, total: Column, window) -> Column:
+    """What the chunks before this one carry in, seen inside one window of chunk totals."""
     before = window.rowsBetween(Window.unboundedPreceding, -1)
     if run.kind in ("rank", "sum", "sum_before"):
         return F.coalesce(F.sum(total).over(before), F.lit(0))
@@ -95,7 +106,17 @@ def _carry(run: Run, total: Column, window) -> Column:
     return F.last(total, ignorenulls=True).over(before)
 
 
-def _combine(run: Run, local: Column, carry: Column, first_row: Column) -> Column:
+def _total_of_totals(run: Run, total: Column, place: Column) -> Column:
+    if run.kind in ("rank", "sum", "sum_before"):
+        return F.sum(total)
+    if run.kind == "max":
+        return F.max(total)
+    if run.kind == "lag":
+        return F.max_by(total, place)
+    return F.max_by(total, F.when(total.isNotNull(), place))
+
+
+def _combine(run: Run, local: Column, carry: Column, first: Column) -> Column:
     if run.kind in ("rank", "sum_before"):
         return local + carry
     if run.kind == "sum":
@@ -103,41 +124,67 @@ def _combine(run: Run, local: Column, carry: Column, first_row: Column) -> Colum
     if run.kind == "max":
         return F.greatest(local, carry)
     if run.kind == "lag":
-        return F.when(first_row, carry).otherwise(local)
+        return F.when(first, carry).otherwise(local)
     return F.coalesce(local, carry)
 
 
+def _carries(totals: DataFrame, keys: list[str], cuts: list[list[str]], runs: Sequence[Run]) -> DataFrame:
+    """Carried-in values of every chunk from the chunk totals, level by level."""
+    outer, inner = [c for level in cuts[:-1] for c in level], cuts[-1]
+    window = Window.partitionBy(*keys, *outer).orderBy(*inner)
+    total = {run.name: F.col(f"_total_{run.name}") for run in runs}
+    inside = totals.select(
+        *keys, *outer, *inner,
+        *[_before_chunk(run, total[run.name], window).alias(f"_carry_{run.name}") for run in runs],
+        (F.row_number().over(window) == 1).alias("_head"),
+    )
+    if not outer:
+        return inside.drop("_head")
+    place = F.struct(*inner)
+    wider = totals.groupBy(*keys, *outer).agg(
+        *[_total_of_totals(run, total[run.name], place).alias(f"_total_{run.name}") for run in runs]
+    )
+    above = _carries(wider, keys, cuts[:-1], runs)
+    above = above.select(*keys, *outer, *[F.col(f"_carry_{run.name}").alias(f"_above_{run.name}") for run in runs])
+    # "sum" totals combine like the other sums here: both sides are already what lies before the chunk.
+    return inside.join(above, [*keys, *outer], "left").select(
+        *keys, *outer, *inner,
+        *[
+            _combine(run, F.col(f"_carry_{run.name}"), F.col(f"_above_{run.name}"), F.col("_head")).alias(f"_carry_{run.name}")
+            for run in runs
+        ],
+    )
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     runs: Sequence[Run],
-    chunk: Sequence[Column] | None = None,
+    levels: Sequence[Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Add the running values ``runs`` per ``keys`` in ``order`` (ascending, total, non-null).
 
-    ``chunk`` must be a non-decreasing function of ``order`` and non-null; ``None`` keeps the plain window.
+    ``levels`` names how a key is cut, coarse to fine; the columns of all levels together must be non-null and
+    never decrease along ``order``.  ``None`` keeps the plain window.
     """
-    if chunk is None:
+    if levels is None:
         if not keys:
             raise ValueError("a running value over the whole table needs chunks")
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[_window_value(run, window).alias(run.name) for run in runs])
 
-    cut = [f"_cut{i}" for i in range(len(chunk))]
-    cut_df = df.select("*", *[c.alias(name) for c, name in zip(chunk, cut)])
-    local_window = Window.partitionBy(*keys, *cut).orderBy(*order)
+    cuts = [[f"_cut{i}_{j}" for j in range(len(level))] for i, level in enumerate(levels)]
+    flat = [name for level in cuts for name in level]
+    cut_df = df.select("*", *[c.alias(n) for level, names in zip(levels, cuts) for c, n in zip(level, names)])
+    window = Window.partitionBy(*keys, *flat).orderBy(*order)
     local = cut_df.select(
         "*",
-        *[_window_value(run, local_window).alias(f"_local_{run.name}") for run in runs],
-        (F.row_number().over(local_window) == 1).alias("_first"),
-    )
-    totals = cut_df.groupBy(*keys, *cut).agg(*[_chunk_total(run, order).alias(f"_total_{run.name}") for run in runs])
-    chunk_window = Window.partitionBy(*keys).orderBy(*cut)
-    carries = totals.select(
-        *keys, *cut, *[_carry(run, F.col(f"_total_{run.name}"), chunk_window).alias(f"_carry_{run.name}") for run in runs]
+        *[_window_value(run, window).alias(f"_local_{run.name}") for run in runs],
+        (F.row_number().over(window) == 1).alias("_first"),
     )
-    joined = local.join(carries, [*keys, *cut], "left")
+    totals = cut_df.groupBy(*keys, *flat).agg(*[_chunk_total(run, order).alias(f"_total_{run.name}") for run in runs])
+    joined = local.join(_carries(totals, list(keys), cuts, runs), [*keys, *flat], "left")
     return joined.select(
         *df.columns,
         *[

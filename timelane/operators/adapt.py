@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from timelane.functions.scalars import floor_div, is_true
-from timelane.functions.skew import CHUNK_ROWS, Run, has_hot_key, running
+from timelane.functions.scalars import is_true
+from timelane.functions.skew import Run, block_of, has_hot_key, running
 from timelane.operators.gates import persona_flags, reaction_assets
 
 # What to play instead of a type the library lacks, best first; any other type becomes neutral.
@@ -27,7 +27,7 @@ def vocabulary(assets: DataFrame, dialect: str = "v4") -> DataFrame:
 
 def _in_time(runs, split: bool, events: DataFrame) -> DataFrame:
     # event_ord has no gaps, so (time, block of ordinals) cuts even copies at one instant into bounded chunks.
-    chunk = [F.col("time_ms"), floor_div(F.col("event_ord"), CHUNK_ROWS)] if split else None
+    chunk = [[block_of("time_ms")], [F.col("time_ms"), block_of("event_ord")]] if split else None
     return running(events, ["job_id"], [F.col("time_ms"), F.col("event_ord")], runs, chunk)
 
 

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType
 
 from timelane.functions.folds import chain_entries, group_starts, whole_groups
-from timelane.functions.scalars import clock, floor_div
-from timelane.functions.skew import CHUNK_ROWS, Run, chunk_of, has_hot_key, running
+from timelane.functions.scalars import clock
+from timelane.functions.skew import Limits, Run, block_of, chunk_of, has_hot_key, running
+from timelane.session import stage
 
 # Fixed values.
 MAX_WORDS = 5
@@ -47,9 +48,10 @@ def _next_start(frame: pd.DataFrame, bounds: np.ndarray, dialect: str) -> np.nda
 def _greedy(words: DataFrame, dialect: str, split: bool) -> DataFrame:
     source = words.select("job_id", "ord", "text", "start_ms", "end_ms")
     if split:
+        source = words = stage(source, "words")
         # A chunk also sees the first words of the next one, to finish a line begun in it.
         block = chunk_of("ord")
-        halo = (F.pmod(F.col("ord") - 1, F.lit(CHUNK_ROWS)) < MAX_WORDS) & (block > 0)
+        halo = (F.pmod(F.col("ord") - 1, F.lit(Limits.chunk_rows)) < MAX_WORDS) & (block > 0)
         source = source.withColumn(
             "chunk", F.explode(F.when(halo, F.array(block, block - 1)).otherwise(F.array(block)))
         ).withColumn("own", F.col("chunk") == block)
@@ -80,7 +82,7 @@ def _greedy(words: DataFrame, dialect: str, split: bool) -> DataFrame:
 
     placed = source
     if split:
-        long_jobs = words.filter(F.col("ord") > CHUNK_ROWS).select("job_id").distinct()
+        long_jobs = words.filter(F.col("ord") > Limits.chunk_rows).select("job_id").distinct()
         maps = (
             source.join(long_jobs, "job_id", "left_semi")
             .repartition(*keys)
@@ -172,7 +174,7 @@ def ass_header(alignment: Column, margin: Column) -> Column:
 
 def caption_rows(lines: DataFrame, fmt: str, split: bool = False) -> DataFrame:
     """One text row per line, ready to be written in order: an SRT cue or an ASS dialogue."""
-    chunk = [floor_div(F.col("first_ord"), CHUNK_ROWS)] if split else None
+    chunk = [[block_of("first_ord")]] if split else None
     numbered = running(lines, ["job_id"], [F.col("first_ord")], [Run("cue", "rank")], chunk)
     if fmt == "srt":
         stamp = lambda c: clock(F.col(c), ",", 2, 3)
@@ -187,18 +189,18 @@ def caption_rows(lines: DataFrame, fmt: str, split: bool = False) -> DataFrame:
 
 
 def export_captions(lines: DataFrame, fmt: str, layout: DataFrame | None = None, split: bool = False) -> DataFrame:
-    """One caption document per job.  The document is the wanted result, so its rows meet in one string.
+    """Caption documents in parts of at most ``Limits.chunk_rows`` cues (job_id, part, document).
 
-    To write a very long transcript without that, write ``caption_rows`` with ``sinks.write_caption_rows``.
+    The parts of a job, put together in order, are its document; nearly every job has just part 0.
     """
-    rows = caption_rows(lines, fmt, split)
+    rows = caption_rows(lines, fmt, split).withColumn("part", chunk_of("cue"))
     ordered = F.array_sort(F.collect_list(F.struct("cue", "row")))
     body = F.array_join(F.transform(ordered, lambda r: r["row"]), "\n")
-    documents = rows.groupBy("job_id").agg(body.alias("body"))
+    parts = rows.groupBy("job_id", "part").agg(body.alias("body"))
     if fmt == "srt":
-        return documents.select("job_id", F.col("body").alias("document"))
-    headed = documents.join(layout.select("job_id", "caption_alignment", "caption_margin"), "job_id")
+        return parts.select("job_id", "part", F.concat(F.when(F.col("part") > 0, "\n").otherwise(""), "body").alias("document"))
+    headed = parts.join(layout.select("job_id", "caption_alignment", "caption_margin"), "job_id")
+    header = F.concat(ass_header(F.col("caption_alignment"), F.col("caption_margin")), F.lit("\n"))
     return headed.select(
-        "job_id",
-        F.concat(ass_header(F.col("caption_alignment"), F.col("caption_margin")), F.lit("\n"), F.col("body"), F.lit("\n")).alias("document"),
+        "job_id", "part", F.concat(F.when(F.col("part") == 0, header).otherwise(""), "body", F.lit("\n")).alias("document")
     )

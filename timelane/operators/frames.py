@@ -214,8 +214,10 @@ def frame_loop(frames: DataFrame, neutral: Column, fps: int) -> DataFrame:
     four differences between neighbours.
     """
     head = lambda i: F.max(F.when(F.col("frame_no") == i, F.col("grid"))).alias(f"g{i}")
-    heads = frames.groupBy("clip_id").agg(F.count(F.lit(1)).alias("frames"), *[head(i) for i in range(5)])
-    heads = heads.select(
+    # Only the first five grids of a clip are ever gathered.
+    heads = frames.filter("frame_no < 5").groupBy("clip_id").agg(*[head(i) for i in range(5)])
+    sizes = frames.groupBy("clip_id").agg(F.count(F.lit(1)).alias("frames"))
+    heads = heads.join(sizes, "clip_id").select(
         "clip_id", "frames", "g0", F.size("g0").alias("cells"),
         sum((_difference(F.col(f"g{i}"), F.col(f"g{i + 1}")) for i in range(4)), F.lit(0)).alias("noise4"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from timelane.functions.quantiles import discrete_rank, value_at_ranks
 from timelane.functions.scalars import floor_div
-from timelane.functions.skew import CHUNK_ROWS, Run, has_hot_key, running
+from timelane.functions.skew import Run, clock_levels, has_hot_key, running
 
 # Fixed values.
 BLOCKED_PATTERN = r"(?i)HTTP Error 429|Too Many Requests|Sign in to confirm you.re not a bot|confirm you.re not a bot"
@@ -76,10 +76,6 @@ def error_digest(failures: DataFrame, top: int, chars: int = ERROR_CHARS) -> Dat
     return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
-def _ordered_chunk(split: bool):
-    return [F.col("at_us"), floor_div(F.col("seq"), CHUNK_ROWS)] if split else None
-
-
 def job_state(progress: DataFrame) -> DataFrame:
     """State per job from (job_id, at_us, seq, stage, status, patch map): the first terminal report ends a job.
 
@@ -104,7 +100,8 @@ def stage_durations(progress: DataFrame, split: bool | None = None) -> DataFrame
     split = has_hot_key(progress, ["job_id"]) if split is None else split
     order = [F.col("at_us"), F.col("seq")]
     runs = [Run("_stage", "lag", F.col("stage")), Run("_at", "lag", F.col("at_us"))]
-    lagged = running(progress, ["job_id"], order, runs, _ordered_chunk(split)).filter("_at IS NOT NULL")
+    levels = clock_levels("at_us", "seq") if split else None
+    lagged = running(progress, ["job_id"], order, runs, levels).filter("_at IS NOT NULL")
     spent = lagged.select(F.col("_stage").alias("stage"), floor_div(F.col("at_us") - F.col("_at"), 1000).alias("ms"))
     ranks = {"p50_ms": discrete_rank(50), "p95_ms": discrete_rank(95)}
     return value_at_ranks(spent, ["stage"], "ms", ranks, bucket=1 << 20).withColumnRenamed("n", "reports")

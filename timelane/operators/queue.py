@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from timelane.functions.quantiles import upper_median_rank, value_at_ranks
 from timelane.functions.scalars import floor_div
-from timelane.functions.skew import CHUNK_ROWS, Run, has_hot_key, running
+from timelane.functions.skew import Run, clock_levels, has_hot_key, running
 from timelane.session import stage
 
 # Fixed values.
@@ -24,31 +24,13 @@ def claim_order(jobs: DataFrame, exact_id: int | None = None) -> DataFrame:
     return queued.orderBy("created_at", "job_id").limit(1).select("job_id", "persona")
 
 
-def global_rank(df: DataFrame, time: Column, id_column: str, name: str) -> DataFrame:
-    """1-based rank over the whole table by (time, id) without sorting it in one task.
-
-    Rows are ranked inside their second, seconds inside their day, and only the days on one task.
-    """
-    timed = df.select("*", time.alias("_time"), F.unix_seconds(time).alias("_sec")).withColumn("_day", floor_div(F.col("_sec"), 86400))
-    inside = running(
-        timed, ["_day", "_sec"], [F.col("_time"), F.col(id_column)], [Run("_rank", "rank")],
-        [F.col("_time"), floor_div(F.col(id_column), CHUNK_ROWS)],
-    )
-    seconds = timed.groupBy("_day", "_sec").agg(F.count(F.lit(1)).alias("_n"))
-    in_day = Window.partitionBy("_day").orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
-    days = seconds.groupBy("_day").agg(F.sum("_n").alias("_n"))
-    # One row per calendar day: the only step on a single task.
-    over_days = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    day_offset = days.select("_day", F.coalesce(F.sum("_n").over(over_days), F.lit(0)).alias("_days_before"))
-    second_offset = seconds.select("_day", "_sec", F.coalesce(F.sum("_n").over(in_day), F.lit(0)).alias("_secs_before"))
-    offsets = second_offset.join(day_offset, "_day").select("_day", "_sec", (F.col("_secs_before") + F.col("_days_before")).alias("_before"))
-    return inside.join(offsets, ["_day", "_sec"]).select(*df.columns, (F.col("_rank") + F.col("_before")).alias(name))
-
-
 def drain_batches(jobs: DataFrame, size: int = DRAIN_SIZE) -> DataFrame:
     """Queued jobs to scheduled runs of at most ``size``, oldest first."""
     queued = jobs.filter(F.col("status") == "queued").select("job_id", "created_at")
-    ranked = global_rank(queued, F.col("created_at").cast("timestamp"), "job_id", "rank")
+    clocked = queued.withColumn("_us", F.unix_micros(F.col("created_at").cast("timestamp")))
+    # The order runs over the whole table, so only days are ever compared on a single task.
+    levels = [[floor_div(F.col("_us"), 86_400_000_000)], *clock_levels("_us", "job_id")]
+    ranked = running(clocked, [], [F.col("_us"), F.col("job_id")], [Run("rank", "rank")], levels)
     return ranked.select("job_id", "rank", (floor_div(F.col("rank") - 1, size) + 1).alias("run_no"))
 
 
@@ -103,7 +85,7 @@ def overwrite_audit(writes: DataFrame) -> DataFrame:
 def schedule_gaps(runs: DataFrame, key: str, at_us: str, id_column: str, wanted_us: int, split: bool | None = None) -> DataFrame:
     """Gaps between consecutive firings per schedule against the wanted cadence: median, least, most, late ones."""
     split = has_hot_key(runs, [key]) if split is None else split
-    chunk = [F.col(at_us), floor_div(F.col(id_column), CHUNK_ROWS)] if split else None
+    chunk = clock_levels(at_us, id_column) if split else None
     lagged = running(runs, [key], [F.col(at_us), F.col(id_column)], [Run("_prev", "lag", F.col(at_us))], chunk)
     gaps = lagged.filter("_prev IS NOT NULL").select(key, (F.col(at_us) - F.col("_prev")).alias("gap_us"))
     spread = gaps.groupBy(key).agg(
@@ -116,7 +98,7 @@ def schedule_gaps(runs: DataFrame, key: str, at_us: str, id_column: str, wanted_
 def drain_sessions(claims: DataFrame, split: bool | None = None) -> DataFrame:
     """Runs of claims (worker, at_us, seq) less than an hour apart; a run ends at its cap or on an empty queue."""
     split = has_hot_key(claims, ["worker"]) if split is None else split
-    chunk = [F.col("at_us"), floor_div(F.col("seq"), CHUNK_ROWS)] if split else None
+    chunk = clock_levels("at_us", "seq") if split else None
     order = [F.col("at_us"), F.col("seq")]
     lagged = running(claims, ["worker"], order, [Run("_prev", "lag", F.col("at_us"))], chunk)
     opens = (F.col("_prev").isNull() | (F.col("at_us") - F.col("_prev") >= SESSION_GAP_S * 1_000_000)).cast("bigint")

@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from timelane.functions.folds import chain_entries
 from timelane.functions.scalars import clamp, floor_div, half_up
-from timelane.functions.skew import CHUNK_ROWS, Run, chunk_of, has_hot_key, running
+from timelane.functions.skew import Limits, Run, block_of, chunk_of, has_hot_key, running
 from timelane.operators.gates import clip_length, reaction_assets, speech_carriers
 from timelane.session import stage
 
@@ -121,7 +121,7 @@ def place_reactions(events: DataFrame, dialect: str = "v4", split: bool | None =
         length = F.when(spoken, clamp(F.greatest(plain, F.col("voice_ms") + 300), 1200, 8000)).otherwise(plain)
         target = on_clock
     aimed = events.select("*", length.cast("bigint").alias("_d"), target.cast("bigint").alias("_t"))
-    chunk = [chunk_of("event_no")] if split else None
+    chunk = [[chunk_of("event_no")]] if split else None
     order = [F.col("event_no")]
     spent = running(aimed, ["job_id"], order, [Run("_c", "sum_before", F.col("_d") + LEAD_GAP)], chunk)
     if split:
@@ -151,7 +151,7 @@ def place_reactions(events: DataFrame, dialect: str = "v4", split: bool | None =
 def open_gaps(placed: DataFrame, jobs: DataFrame, split: bool = False) -> DataFrame:
     """The stretches a job's placed clips leave open, numbered without gaps: one before each clip and a tail."""
     ends = F.col("start_ms") + F.col("duration_ms")
-    chunk = [chunk_of("event_no")] if split else None
+    chunk = [[chunk_of("event_no")]] if split else None
     lagged = running(placed, ["job_id"], [F.col("event_no")], [Run("_prev", "lag", ends)], chunk)
     before = lagged.select(
         "job_id",
@@ -182,7 +182,7 @@ def cycle_tape(pool: DataFrame) -> DataFrame:
         ["persona"],
         [F.col("asset_ord")],
         [Run("_rank", "rank"), Run("before_ms", "sum_before", F.col("clip_ms"))],
-        [floor_div(F.col("asset_ord"), CHUNK_ROWS)],
+        [[block_of("asset_ord")]],
     )
     totals = sized.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"), F.sum("clip_ms").alias("cycle_ms"))
     return laid.join(totals, "persona").select(
@@ -219,18 +219,19 @@ def _reach(clips, pool_size: int):
 def cycle_cover(
     needs: DataFrame, tape: DataFrame, slack_ms: int = 0, at_most: int | None = None, split: bool = False
 ) -> DataFrame:
-    """Serve needs (job_id, persona, seq without gaps, need_ms) from the pool in turn, never restarting in a job.
+    """Serve needs (job_id, persona, seq without gaps, need_ms, carried) from the pool in turn, never restarting in a job.
 
-    Returns (job_id, persona, seq, first_index, taken): clips first_index, first_index+1, ... (modulo the pool)
-    until no more than ``slack_ms`` stays uncovered, or ``at_most`` clips.
+    Adds ``first_index``, ``taken`` and, for the clips first_index, first_index+1, ... (modulo the pool) that are
+    taken until no more than ``slack_ms`` stays uncovered or ``at_most`` are used up, their length ``covered_ms``,
+    plus ``base_ms`` (where the first lies in the cycle), ``pool_size`` and ``cycle_ms``.
     """
     arrays = _tape_arrays(tape, needs)
     piece = chunk_of("seq") if split else F.lit(0).cast("bigint")
     grouped = (
-        needs.select("job_id", "persona", piece.alias("chunk"), F.struct("seq", "need_ms").alias("need"))
+        needs.select("job_id", "persona", piece.alias("chunk"), F.struct("seq", "need_ms", "carried").alias("need"))
         .groupBy("job_id", "persona", "chunk")
-        .agg(F.array_sort(F.collect_list("need")).alias("needs"))  # at most CHUNK_ROWS, or SPLIT_ROWS when unsplit
-        .select("job_id", "persona", "chunk", "needs.seq", "needs.need_ms")
+        .agg(F.array_sort(F.collect_list("need")).alias("needs"))  # at most chunk_rows, or split_rows when unsplit
+        .select("job_id", "persona", "chunk", "needs.seq", "needs.need_ms", "needs.carried")
         .join(arrays, "persona")
     )
     if split:
@@ -254,49 +255,58 @@ def cycle_cover(
                 yield pd.DataFrame({"job_id": batch["job_id"], "chunk": batch["chunk"], "step": tables})
 
         schema = grouped.select("job_id", "chunk").schema.add("step", ArrayType(LongType()))
-        many = needs.filter(F.col("seq") > CHUNK_ROWS).select("job_id").distinct()
-        entries = chain_entries(
-            grouped.join(many, "job_id", "left_semi").select("job_id", "chunk", "need_ms", "clips", "pool_size").mapInPandas(steps, schema),
-            "job_id",
-        )
-        grouped = grouped.join(entries, ["job_id", "chunk"], "left")
+        many = needs.filter(F.col("seq") > Limits.chunk_rows).select("job_id").distinct()
+        tables = grouped.join(many, "job_id", "left_semi").select("job_id", "chunk", "need_ms", "clips", "pool_size")
+        grouped = grouped.join(chain_entries(tables.mapInPandas(steps, schema), "job_id"), ["job_id", "chunk"], "left")
     else:
         grouped = grouped.withColumn("entry", F.lit(0).cast("bigint"))
 
+    names = ("seq", "need_ms", "carried", "first_index", "taken", "covered_ms", "base_ms", "pool_size", "cycle_ms")
+
     def serve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            jobs, personas, seqs, firsts, takens = [], [], [], [], []
+            jobs, personas = [], []
+            out: dict[str, list[int]] = {name: [] for name in names}
             cached_persona, reach, cycle = None, None, 0
-            for job, persona, order, wants, clips, size, entry in zip(
-                batch["job_id"], batch["persona"], batch["seq"], batch["need_ms"],
+            for job, persona, order, wants, carried, clips, size, entry in zip(
+                batch["job_id"], batch["persona"], batch["seq"], batch["need_ms"], batch["carried"],
                 batch["clips"], batch["pool_size"], batch["entry"].fillna(0).astype("int64"),
             ):
                 if persona != cached_persona:
                     sums, cycle = _reach(clips, size)
                     reach, cached_persona = sums.tolist(), persona
                 at = int(entry)
-                for seq, want in zip(order.tolist(), wants.tolist()):
-                    target, count = want - slack_ms, 0
+                for want in wants.tolist():
+                    target, count, covered = want - slack_ms, 0, 0
                     if target > 0:
                         full = (target - 1) // cycle
                         stop = bisect_left(reach, reach[at] + target - full * cycle, at + 1)
                         count = full * size + stop - at
                         if at_most is not None:
                             count = min(count, at_most)
-                    seqs.append(seq)
-                    firsts.append(at)
-                    takens.append(count)
+                        turns, rest = divmod(count, size)
+                        covered = turns * cycle + reach[at + rest] - reach[at]
+                    out["first_index"].append(at)
+                    out["taken"].append(count)
+                    out["covered_ms"].append(covered)
+                    out["base_ms"].append(reach[at])
                     at = (at + count) % size
-                jobs.extend([job] * len(order))
-                personas.extend([persona] * len(order))
-            yield pd.DataFrame(
-                {"job_id": jobs, "persona": personas, "seq": seqs, "first_index": firsts, "taken": takens}
-            )
-
-    schema = (
-        grouped.select("job_id", "persona").schema.add("seq", LongType()).add("first_index", LongType()).add("taken", LongType())
-    )
-    return grouped.select("job_id", "persona", "seq", "need_ms", "clips", "pool_size", "entry").mapInPandas(serve, schema)
+                n = len(order)
+                jobs.extend([job] * n)
+                personas.extend([persona] * n)
+                out["seq"].extend(order.tolist())
+                out["need_ms"].extend(wants.tolist())
+                out["carried"].extend(carried.tolist())
+                out["pool_size"].extend([size] * n)
+                out["cycle_ms"].extend([cycle] * n)
+            yield pd.DataFrame({"job_id": jobs, "persona": personas, **out})
+
+    schema = grouped.select("job_id", "persona").schema
+    for name in names:
+        schema = schema.add(name, LongType())
+    return grouped.select(
+        "job_id", "persona", "seq", "need_ms", "carried", "clips", "pool_size", "entry"
+    ).mapInPandas(serve, schema)
 
 
 def _each_taken(served: DataFrame, block: int = 1024) -> DataFrame:
@@ -318,24 +328,23 @@ def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
     """Fill every gap with whole neutral clips in round robin; the turn carries on from gap to gap of a job."""
     tape = cycle_tape(neutral_pool(assets))
     needs = gaps.select(
-        "job_id", "persona", F.col("gap_no").alias("seq"), (F.col("gap_end_ms") - F.col("gap_start_ms")).alias("need_ms"), "gap_start_ms"
+        "job_id", "persona", F.col("gap_no").cast("bigint").alias("seq"),
+        (F.col("gap_end_ms") - F.col("gap_start_ms")).cast("bigint").alias("need_ms"),
+        F.col("gap_start_ms").cast("bigint").alias("carried"),
+    )
+    place = F.col("first_index") + F.col("k")
+    clips = _each_taken(cycle_cover(needs, tape, FILL_SLACK, split=split)).select(
+        "*", F.pmod(place, F.col("pool_size")).alias("pos"), F.call_function("div", place, F.col("pool_size")).alias("turn")
     )
-    served = cycle_cover(needs, tape, FILL_SLACK, split=split)
-    opened = served.join(needs.select("job_id", "seq", "gap_start_ms", "need_ms"), ["job_id", "seq"])
-    clips = _each_taken(opened).withColumn("_place", F.col("first_index") + F.col("k"))
-    sizes = tape.select("persona", "pool_size").distinct()
-    here = clips.join(sizes, "persona").withColumn("pos", F.pmod(F.col("_place"), F.col("pool_size")))
-    first = tape.select("persona", F.col("pos").alias("first_index"), F.col("before_ms").alias("_base"))
-    laid = here.join(tape.drop("pool_size"), ["persona", "pos"]).join(first, ["persona", "first_index"])
-    turns = F.call_function("div", F.col("_place"), F.col("pool_size"))
-    offset = turns * F.col("cycle_ms") + F.col("before_ms") - F.col("_base")
-    return laid.withColumn("_offset", offset).select(
+    laid = clips.join(tape.select("persona", "pos", "asset_id", "clip_ms", "before_ms"), ["persona", "pos"])
+    offset = F.col("turn") * F.col("cycle_ms") + F.col("before_ms") - F.col("base_ms")
+    return laid.select(
         "job_id",
         F.col("seq").alias("gap_no"),
         F.col("k").alias("chunk_no"),
         "asset_id",
-        (F.col("gap_start_ms") + F.col("_offset")).alias("start_ms"),
-        F.least(F.col("need_ms") - F.col("_offset"), F.col("clip_ms")).alias("duration_ms"),
+        (F.col("carried") + offset).alias("start_ms"),
+        F.least(F.col("need_ms") - offset, F.col("clip_ms")).alias("duration_ms"),
     )
 
 
@@ -345,7 +354,7 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
     counted = gaps.withColumn(
         "taken", F.when(room > FILL_SLACK, F.ceil((room - FILL_SLACK) / FIXED_CHUNK)).otherwise(0).cast("bigint")
     )
-    chunk = [chunk_of("gap_no")] if split else None
+    chunk = [[chunk_of("gap_no")]] if split else None
     numbered = running(counted, ["job_id"], [F.col("gap_no")], [Run("_used", "sum_before", F.col("taken"))], chunk)
     pool = cycle_tape(neutral_pool(assets, "v2"))
     sizes = pool.select("persona", "pool_size").distinct()
@@ -365,27 +374,10 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
 
 def cover_with_cycle(lines: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Chain speech carriers in turn under every spoken line (job_id, persona, seq, need_ms), 24 at most."""
-    tape = cycle_tape(speech_carriers(assets))
-    served = cycle_cover(lines, tape, 0, BED_PARTS, split)
-    sizes = tape.select("persona", "pool_size", "cycle_ms").distinct()
-    base = tape.select("persona", F.col("pos").alias("first_index"), F.col("before_ms").alias("_from"))
-    stop = F.col("first_index") + F.col("taken")
-    ended = served.join(sizes, "persona").withColumn("pos", F.pmod(stop, F.col("pool_size")))
-    covered = (
-        ended.join(tape.select("persona", "pos", F.col("before_ms").alias("_to")), ["persona", "pos"])
-        .join(base, ["persona", "first_index"])
-        .withColumn(
-            "covered_ms",
-            F.call_function("div", stop, F.col("pool_size")) * F.col("cycle_ms") + F.col("_to") - F.col("_from"),
-        )
-    )
-    return covered.join(lines.select("job_id", "seq", "need_ms"), ["job_id", "seq"]).select(
-        "job_id",
-        "seq",
-        "need_ms",
-        "first_index",
-        F.col("taken").alias("parts"),
-        "covered_ms",
+    needs = lines.withColumn("carried", F.lit(0).cast("bigint"))
+    served = cycle_cover(needs, cycle_tape(speech_carriers(assets)), 0, BED_PARTS, split)
+    return served.select(
+        "job_id", "seq", "need_ms", "first_index", F.col("taken").alias("parts"), "covered_ms",
         (F.col("covered_ms") + BED_TOLERANCE < F.col("need_ms")).alias("too_short"),
     )
 
@@ -393,8 +385,10 @@ def cover_with_cycle(lines: DataFrame, assets: DataFrame, split: bool = False) -
 # ---------------------------------------------------------------- clocks over segments
 
 def number_segments(segments: DataFrame, split: bool = False) -> DataFrame:
-    """Segment number by start; segments of a job never share a start."""
-    chunk = [F.col("start_ms")] if split else None
+    """Segment number by start; segments of a job never share a start, so a block of starts is a bounded chunk."""
+    chunk = [[block_of("start_ms")]] if split else None
+    if split:
+        segments = stage(segments, "segments")
     return running(segments, ["job_id"], [F.col("start_ms")], [Run("seg_no", "rank")], chunk)
 
 
@@ -402,7 +396,7 @@ def realised_clock(segments: DataFrame, split: bool = False) -> DataFrame:
     """Where segments really land once concatenated: whole frames, at least 0.12 s each, in numbered order."""
     frames = half_up(F.greatest(F.lit(MIN_SEGMENT), F.col("duration_ms")) * FRAMES_PER_SECOND / 1000)
     counted = segments.withColumn("frames", frames)
-    chunk = [chunk_of("seg_no")] if split else None
+    chunk = [[chunk_of("seg_no")]] if split else None
     summed = running(counted, ["job_id"], [F.col("seg_no")], [Run("frames_before", "sum_before", F.col("frames"))], chunk)
     realised = half_up(F.col("frames_before") * 1000 / FRAMES_PER_SECOND)
     return summed.select(
@@ -431,7 +425,7 @@ def clock_verdict(segments: DataFrame, jobs: DataFrame) -> DataFrame:
 def crossfade_offsets(segments: DataFrame, split: bool = False) -> DataFrame:
     """v2 dissolves in thousandths of a millisecond: fade, and offset of each transition on the merged clock."""
     micros = F.col("duration_ms").cast("bigint") * 1000
-    chunk = [chunk_of("seg_no")] if split else None
+    chunk = [[chunk_of("seg_no")]] if split else None
     order = [F.col("seg_no")]
     lagged = running(segments.withColumn("_us", micros), ["job_id"], order, [Run("_prev", "lag", F.col("_us"))], chunk)
     fade = F.least(F.lit(CROSSFADE * 1000), floor_div(F.col("_prev"), 3), floor_div(F.col("_us"), 3))
@@ -448,6 +442,6 @@ def crossfade_offsets(segments: DataFrame, split: bool = False) -> DataFrame:
 def forward_fill_boxes(frames: DataFrame, split: bool | None = None) -> DataFrame:
     """Carry the last valid box (clip_id, frame_no, box) forward; leading frames without one stay empty."""
     split = has_hot_key(frames, ["clip_id"]) if split is None else split
-    chunk = [floor_div(F.col("frame_no"), CHUNK_ROWS)] if split else None
+    chunk = [[block_of("frame_no")]] if split else None
     filled = running(frames, ["clip_id"], [F.col("frame_no")], [Run("filled", "last", F.col("box"))], chunk)
     return filled.select("clip_id", "frame_no", F.col("box").isNotNull().alias("valid"), F.col("filled").alias("box"))

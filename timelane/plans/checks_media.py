@@ -162,10 +162,10 @@ FROM m_windows c JOIN fx_words w ON w.job_id = c.job_id AND w.start_ms >= c.star
     "caption_lines": "SELECT * FROM m_lines",
     "caption_cues": "SELECT * FROM m_cues",
     "export_captions_srt": f"""
-SELECT job_id, string_agg(concat(CAST(cue AS VARCHAR), '\n', {_STAMP.format(c='start_ms')}, ' --> ', {_STAMP.format(c='end_ms')}, '\n', text, '\n'), '\n' ORDER BY cue) AS document
-FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY first_ord) AS cue FROM m_cues) AS q GROUP BY job_id""",
+SELECT job_id, (cue - 1) // 4096 AS part, string_agg(concat(CAST(cue AS VARCHAR), '\n', {_STAMP.format(c='start_ms')}, ' --> ', {_STAMP.format(c='end_ms')}, '\n', text, '\n'), '\n' ORDER BY cue) AS document
+FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY first_ord) AS cue FROM m_cues) AS q GROUP BY job_id, part""",
     "export_captions_ass": f"""
-SELECT q.job_id, concat('{_HEADER}', caption_alignment, ',90,90,', caption_margin, ',1', '{_EVENTS}', body, '\n') AS document FROM (
+SELECT q.job_id, 0 AS part, concat('{_HEADER}', caption_alignment, ',90,90,', caption_margin, ',1', '{_EVENTS}', body, '\n') AS document FROM (
   SELECT job_id, string_agg(concat('Dialogue: 0,', {_CENTI.format(c='start_ms')}, ',', {_CENTI.format(c='end_ms')}, ',Caption,,0,0,0,,', replace(text, '\n', ' ')), '\n' ORDER BY first_ord) AS body FROM m_lines GROUP BY job_id) AS q
 JOIN m_layout l ON l.job_id = q.job_id""",
     "explode_frames": """

@@ -38,8 +38,9 @@ _PRESETS = [
 
 CHECKS = {
     "read_jobs": """
-SELECT j.job_id, j.status, j.has_plan, CASE WHEN j.has_plan THEN e.event_ord END AS event_ord, CASE WHEN j.has_plan THEN e.time_ms END AS time_ms, CASE WHEN j.has_plan THEN e.type END AS type, CASE WHEN j.has_plan THEN trim(e.comment) END AS comment
-FROM fx_jobs j LEFT JOIN fx_events e ON e.job_id = j.job_id AND j.has_plan""",
+SELECT job_id, status, has_plan, i + 1 AS event_ord, CASE WHEN (job_id + i) % 7 <> 0 THEN (job_id * 131 + i * 9973) % 90000 END AS time_ms,
+       CASE WHEN (job_id + i) % 4 <> 0 THEN concat('type-', (job_id + i) % 4) END AS type, CASE WHEN (job_id + i) % 3 = 0 THEN concat(' line ', i) END AS comment
+FROM fx_jobs LEFT JOIN (VALUES (0), (1), (2), (3)) AS t(i) ON has_plan AND i < job_id % 5""",
     "read_transcripts": """
 SELECT job_id, 'local' AS provider, role AS language, row_number() OVER (PARTITION BY job_id ORDER BY pos) AS ord, word AS text, (pos - 1) * 300 AS start_ms, (pos - 1) * 300 + 240 AS end_ms
 FROM (SELECT conv_id * 1000 + turn AS job_id, role, u.word AS word, u.pos AS pos FROM conversations, LATERAL unnest(string_split(conversations.text, ' ')) WITH ORDINALITY AS u(word, pos)) AS q

@@ -208,7 +208,7 @@ def cover_with_cycle(e):
         ["job_id"],
         [F.col("event_no")],
         [T.Run("seq", "rank")],
-        [T.chunk_of("event_no")] if e.events_hot else None,
+        [[T.chunk_of("event_no")]] if e.events_hot else None,
     )
     lines = numbered.select("job_id", "persona", "seq", (F.col("voice_ms") * 6).cast("bigint").alias("need_ms"))
     return T.cover_with_cycle(lines, e.assets, e.events_hot)
@@ -220,7 +220,7 @@ def forward_fill_boxes(e):
     numbered = T.running(
         e.table("embeddings").select(F.col("label").alias("clip_id"), "vec_id"),
         ["clip_id"], [F.col("vec_id")], [T.Run("ord", "rank")],
-        [T.floor_div(F.col("vec_id"), 4096)] if e.hot("embeddings", "label") else None,
+        [[T.block_of("vec_id")]] if e.hot("embeddings", "label") else None,
     )
     n = F.col("vec_id")
     box = F.struct((n % 50).alias("x1"), (n % 40).alias("y1"), (n % 50 + 20).alias("x2"), (n % 40 + 30).alias("y2"))
@@ -398,25 +398,19 @@ def stable_region(e):
 
 @query
 def read_jobs(e):
-    """Claim documents are built from orders and their lines, written as JSON text and parsed back."""
-    # The plan of one job is one document, so its events have to meet in it.
-    event = F.struct(
-        F.col("event_ord"),
-        F.struct((F.col("time_ms") / 1000).alias("time"), "type", F.trim("comment").alias("comment")).alias("event"),
-    )
-    plans = e.events.groupBy("job_id").agg(
-        F.transform(F.array_sort(F.collect_list(event)), lambda v: v["event"]).alias("events")
+    """One claim document per order: up to four plan events, some without a time, a type or a comment."""
+    n = F.col("job_id")
+    events = F.transform(
+        F.filter(F.array(*[F.lit(i) for i in range(4)]), lambda i: i < n % 5),
+        lambda i: F.struct(
+            F.when((n + i) % 7 != 0, (n * 131 + i * 9973) % 90000 / 1000).alias("time"),
+            F.when((n + i) % 4 != 0, F.concat(F.lit("type-"), ((n + i) % 4).cast("string"))).alias("type"),
+            F.when((n + i) % 3 == 0, F.concat(F.lit(" line "), i.cast("string"))).alias("comment"),
+        ),
     )
-    documents = e.jobs.join(plans, "job_id", "left").select(
-        F.to_json(
-            F.struct(
-                F.struct(
-                    F.col("job_id").alias("id"),
-                    "status",
-                    F.when(F.col("has_plan"), F.struct("events")).alias("reaction_plan"),
-                ).alias("job")
-            )
-        ).alias("document")
+    plan = F.when(F.col("has_plan"), F.struct(events.alias("events"))).alias("reaction_plan")
+    documents = e.jobs.select(
+        F.to_json(F.struct(F.struct(n.alias("id"), "status", plan).alias("job"))).alias("document")
     )
     return readers.read_jobs(documents)
 

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from timelane.functions.skew import Run, has_hot_key, running
 from timelane.functions.scalars import floor_div
+from timelane.functions.skew import Run, block_of, chunk_of, has_hot_key, running
 
 # Derivations that are one projection of one table; the text runs unchanged in Spark and in ANSI engines.
 PROJECTIONS = {
@@ -162,7 +162,7 @@ class Entities:
     @property
     def events(self) -> DataFrame:
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-        chunk = [F.col("l_linenumber"), floor_div(F.col("l_partkey"), 64)] if self.events_hot else None
+        chunk = [[F.col("l_linenumber")], [floor_div(F.col("l_partkey"), 64)]] if self.events_hot else None
         numbered = running(
             self.table("lineitem").select(
                 "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus"
@@ -184,7 +184,7 @@ class Entities:
             .filter(F.length("text") > 0)
         )
         order = [F.col("turn"), F.col("pos")]
-        chunk = [F.col("turn"), floor_div(F.col("pos"), 4096)] if hot else None
+        chunk = [[F.col("turn")], [block_of("pos")]] if hot else None
         ordered = running(
             split, ["job_id"], order, [Run("ord", "rank"), Run("prev", "lag", F.col("text"))], chunk
         )
@@ -194,7 +194,7 @@ class Entities:
             ["job_id"],
             [F.col("ord")],
             [Run("end_ms", "sum", F.expr("gap + dur"))],
-            [floor_div(F.col("ord") - 1, 4096)] if hot else None,
+            [[chunk_of("ord")]] if hot else None,
         )
         return clocked.select(
             "job_id",
@@ -208,7 +208,7 @@ class Entities:
     def frames(self) -> DataFrame:
         """One gray grid of 8 x 8 cells per row, numbered from 0 inside its clip."""
         vectors = self.table("embeddings").select(F.col("label").alias("clip_id"), "vec_id", "embedding")
-        chunk = [floor_div(F.col("vec_id"), 4096)] if self.hot("embeddings", "label") else None
+        chunk = [[block_of("vec_id")]] if self.hot("embeddings", "label") else None
         numbered = running(vectors, ["clip_id"], [F.col("vec_id")], [Run("frame_ord", "rank")], chunk)
         return numbered.select(
             "clip_id",
