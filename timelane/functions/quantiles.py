@@ -24,21 +24,27 @@ def discrete_rank(percent: int):
     return lambda n: F.greatest(F.lit(1), F.ceil(n * percent / 100))
 
 
-def value_at_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: dict, bucket: int | None = 1024) -> DataFrame:
+def value_at_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, ranks: dict, bucket: int | None = 1024, copies: str | None = None
+) -> DataFrame:
     """Per key: ``n`` plus, for every name in ``ranks``, the value at the rank computed from ``n``.
 
     ``bucket`` cuts the distinct values of a key into chunks of that width; ``None`` suits values of a small
-    fixed range, such as one byte.
+    fixed range, such as one byte.  ``copies`` names a count column when ``df`` is already counted by value.
     """
     if not keys:
         raise ValueError("group by at least one key; use a constant for the whole table")
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_copies"))
+        .agg((F.sum(copies) if copies else F.count(F.lit(1))).alias("_copies"))
     )
     covered = running(
-        counts, keys, [F.col(value)], [Run("_covered", "sum", F.col("_copies"))], [[floor_div(F.col(value), bucket)]] if bucket else None,
+        counts,
+        keys,
+        [F.col(value)],
+        [Run("_covered", "sum", F.col("_copies"))],
+        [[floor_div(F.col(value), bucket)]] if bucket else None,
     )
     sizes = counts.groupBy(*keys).agg(F.sum("_copies").alias("n"))
     return covered.join(sizes, list(keys)).groupBy(*keys).agg(

@@ -78,7 +78,8 @@ def _greedy(words: DataFrame, dialect: str, split: bool) -> DataFrame:
                 jobs.append(frame["job_id"].iat[low])
                 chunks.append(frame["chunk"].iat[low])
                 steps.append(table)
-            yield pd.DataFrame({"job_id": jobs, "chunk": chunks, "step": steps})
+            if jobs:
+                yield pd.DataFrame({"job_id": jobs, "chunk": chunks, "step": steps})
 
     placed = source
     if split:

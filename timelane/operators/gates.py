@@ -56,26 +56,28 @@ def persona_flags(assets: DataFrame, dialect: str = "v4") -> DataFrame:
     )
 
 
-def admission_gate(jobs: DataFrame, assets: DataFrame, avatar_key: bool = True, dialect: str = "v4") -> DataFrame:
-    """Every job with the first reason against it, or NULL when it is admitted.
-
-    A voice job passes with a reference still alone (given an avatar key), although the plan then loses its
-    lines for want of a carrier; both rules are kept as they are.
-    """
+def _with_reason(jobs: DataFrame, assets: DataFrame, avatar_key: bool, dialect: str) -> DataFrame:
     flags = persona_flags(assets, dialect)
     no = lambda name: ~F.coalesce(F.col(name), F.lit(False))
     reason = F.when(~is_true(F.col("has_plan")), "no_plan").when(no("has_neutral"), "no_neutral")
     if dialect == "v4":
         without_still = no("has_reference") if avatar_key else F.lit(True)
         reason = reason.when(is_true(F.col("voice_lipsync")) & no("has_carrier") & without_still, "no_voice_source")
-    return jobs.join(flags, "persona", "left").select(
-        "job_id", "persona", reason.isNull().alias("admitted"), reason.alias("reason")
-    )
+    return jobs.join(flags, "persona", "left").select(*jobs.columns, reason.alias("reason"))
+
+
+def admission_gate(jobs: DataFrame, assets: DataFrame, avatar_key: bool = True, dialect: str = "v4") -> DataFrame:
+    """Every job with the first reason against it, or NULL when it is admitted.
+
+    A voice job passes with a reference still alone (given an avatar key), although the plan then loses its
+    lines for want of a carrier; both rules are kept as they are.
+    """
+    judged = _with_reason(jobs, assets, avatar_key, dialect)
+    return judged.select("job_id", "persona", F.col("reason").isNull().alias("admitted"), "reason")
 
 
 def admitted_jobs(jobs: DataFrame, assets: DataFrame, avatar_key: bool = True, dialect: str = "v4") -> DataFrame:
-    gate = admission_gate(jobs, assets, avatar_key, dialect).filter("admitted").select("job_id")
-    return jobs.join(gate, "job_id", "left_semi")
+    return _with_reason(jobs, assets, avatar_key, dialect).filter("reason IS NULL").drop("reason")
 
 
 def caption_eligibility(jobs: DataFrame) -> DataFrame:

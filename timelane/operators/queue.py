@@ -88,10 +88,11 @@ def schedule_gaps(runs: DataFrame, key: str, at_us: str, id_column: str, wanted_
     chunk = clock_levels(at_us, id_column) if split else None
     lagged = running(runs, [key], [F.col(at_us), F.col(id_column)], [Run("_prev", "lag", F.col(at_us))], chunk)
     gaps = lagged.filter("_prev IS NOT NULL").select(key, (F.col(at_us) - F.col("_prev")).alias("gap_us"))
-    spread = gaps.groupBy(key).agg(
-        F.min("gap_us").alias("min_us"), F.max("gap_us").alias("max_us"), F.count_if(F.col("gap_us") > wanted_us).alias("late")
-    )
-    medians = value_at_ranks(gaps, [key], "gap_us", {"median_us": upper_median_rank}, bucket=1 << 32)
+    # Equal gaps are counted first; the counted table is read twice.
+    counted = stage(gaps.groupBy(key, "gap_us").agg(F.count(F.lit(1)).alias("_gaps")), "gaps")
+    late = F.sum(F.when(F.col("gap_us") > wanted_us, F.col("_gaps")).otherwise(0))
+    spread = counted.groupBy(key).agg(F.min("gap_us").alias("min_us"), F.max("gap_us").alias("max_us"), late.alias("late"))
+    medians = value_at_ranks(counted, [key], "gap_us", {"median_us": upper_median_rank}, bucket=1 << 24, copies="_gaps")
     return medians.withColumnRenamed("n", "gaps").join(spread, key)
 
 

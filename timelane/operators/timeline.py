@@ -122,7 +122,8 @@ def place_reactions(events: DataFrame, dialect: str = "v4", split: bool | None =
         target = on_clock
     aimed = events.select("*", length.cast("bigint").alias("_d"), target.cast("bigint").alias("_t"))
     chunk = [[chunk_of("event_no")]] if split else None
-    order = [F.col("event_no")]
+    # The order of event_no, spelled as it was when the events were numbered: they are still sorted that way.
+    order = [F.col("time_ms"), F.col("event_ord")]
     spent = running(aimed, ["job_id"], order, [Run("_c", "sum_before", F.col("_d") + LEAD_GAP)], chunk)
     if split:
         spent = stage(spent, "spent")
@@ -175,17 +176,22 @@ def open_gaps(placed: DataFrame, jobs: DataFrame, split: bool = False) -> DataFr
 
 def cycle_tape(pool: DataFrame) -> DataFrame:
     """Number a persona's clips in library order with the time before each, the pool size and the cycle length."""
-    sized = pool.select("persona", "asset_ord", "asset_id", clip_length().alias("clip_ms"))
-    sized = sized.withColumn("clip_ms", F.when(F.col("clip_ms") > 0, F.col("clip_ms")).otherwise(F.lit(DEFAULT_LOOP)))
-    laid = running(
-        sized,
-        ["persona"],
-        [F.col("asset_ord")],
-        [Run("_rank", "rank"), Run("before_ms", "sum_before", F.col("clip_ms"))],
-        [[block_of("asset_ord")]],
+    length = clip_length()
+    sized = pool.select(
+        "persona", "asset_ord", "asset_id", F.when(length > 0, length).otherwise(F.lit(DEFAULT_LOOP)).cast("bigint").alias("clip_ms")
     )
-    totals = sized.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"), F.sum("clip_ms").alias("cycle_ms"))
-    return laid.join(totals, "persona").select(
+    runs = [Run("_rank", "rank"), Run("before_ms", "sum_before", F.col("clip_ms"))]
+    split = has_hot_key(sized, ["persona"])
+    laid = running(sized, ["persona"], [F.col("asset_ord")], runs, [[block_of("asset_ord")]] if split else None)
+    if split:
+        totals = sized.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"), F.sum("clip_ms").alias("cycle_ms"))
+        laid = laid.join(totals, "persona")
+    else:
+        whole = Window.partitionBy("persona")
+        laid = laid.select(
+            "*", F.count(F.lit(1)).over(whole).alias("pool_size"), F.sum("clip_ms").over(whole).alias("cycle_ms")
+        )
+    return laid.select(
         "persona", (F.col("_rank") - 1).alias("pos"), "asset_id", "clip_ms", "before_ms", "pool_size", "cycle_ms"
     )
 
@@ -202,7 +208,7 @@ def _tape_arrays(tape: DataFrame, needs: DataFrame) -> DataFrame:
         reach = per_job.join(shortest, "persona").groupBy("persona").agg(
             F.max(F.ceil(F.col("need") / F.col("shortest")) + F.col("n") + 1).alias("reach")
         )
-        tape = tape.join(reach, "persona").filter(F.col("pos") < F.col("reach"))
+        tape = tape.join(reach, "persona").filter((F.col("pool_size") <= POOL_ROWS) | (F.col("pos") < F.col("reach")))
     return tape.groupBy("persona").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "clip_ms"))), lambda c: c["clip_ms"]).alias("clips"),
         F.max("pool_size").alias("pool_size"),
@@ -252,7 +258,8 @@ def cycle_cover(
                             count = np.minimum(count, at_most)
                         state = np.minimum((state + count) % size, len(clips) - 1)
                     tables.append(state.tolist())
-                yield pd.DataFrame({"job_id": batch["job_id"], "chunk": batch["chunk"], "step": tables})
+                if tables:
+                    yield pd.DataFrame({"job_id": batch["job_id"], "chunk": batch["chunk"], "step": tables})
 
         schema = grouped.select("job_id", "chunk").schema.add("step", ArrayType(LongType()))
         many = needs.filter(F.col("seq") > Limits.chunk_rows).select("job_id").distinct()

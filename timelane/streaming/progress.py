@@ -24,7 +24,7 @@ def report_stream(spark: SparkSession, folder: str, file: str, schema) -> DataFr
     """A Parquet file of the folder as a file stream; TIMESTAMP_NTZ event times become UTC timestamps."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     # The size of a micro-batch bounds what one job can bring into one task at a time.
-    source = spark.readStream.schema(schema).option("pathGlobFilter", file).option("maxBytesPerTrigger", "256m")
+    source = spark.readStream.schema(schema).option("pathGlobFilter", file).option("maxBytesPerTrigger", str(256 << 20))
     raw = source.parquet(folder)
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
