@@ -67,7 +67,8 @@ def chain_entries(steps: DataFrame, key: str, index: str = "chunk") -> DataFrame
                 keys.append(k)
                 chunks.append(i + 1)
                 entries.append(state)
-            yield pd.DataFrame({key: keys, index: chunks, "entry": entries})
+            if keys:
+                yield pd.DataFrame({key: keys, index: chunks, "entry": entries})
 
     return (
         steps.select(key, F.col(index).cast("bigint").alias(index), "step")

@@ -108,6 +108,8 @@ def _greedy(words: DataFrame, dialect: str, split: bool) -> DataFrame:
                     firsts.append(at)
                     at = following[at]
                     nexts.append(at)
+            if not firsts:
+                continue
             first, last = np.array(firsts, dtype=int), np.array(nexts, dtype=int) - 1
             start, end = frame["start_ms"].to_numpy()[first], frame["end_ms"].to_numpy()[last]
             if dialect == "lines":

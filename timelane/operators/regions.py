@@ -57,8 +57,10 @@ def region_clusters(detections: DataFrame) -> DataFrame:
                 else:
                     for i, v in enumerate((cx, cy, 1, x, y, w, h, w * h)):
                         best[i] += v
-            yield pd.DataFrame(done, columns=names)
-        yield pd.DataFrame(finished() if current is not None else [], columns=names)
+            if done:
+                yield pd.DataFrame(done, columns=names)
+        if current is not None:
+            yield pd.DataFrame(finished(), columns=names)
 
     schema = placed.select("video_id").schema
     for name in ("cluster_no", *SUMS):

@@ -306,7 +306,8 @@ def cycle_cover(
                 out["carried"].extend(carried.tolist())
                 out["pool_size"].extend([size] * n)
                 out["cycle_ms"].extend([cycle] * n)
-            yield pd.DataFrame({"job_id": jobs, "persona": personas, **out})
+            if jobs:
+                yield pd.DataFrame({"job_id": jobs, "persona": personas, **out})
 
     schema = grouped.select("job_id", "persona").schema
     for name in names:
