@@ -27,9 +27,13 @@ class Limits:
     chunk_rows = 4096     # rows per chunk where an ordinal without gaps is at hand
 
 
-def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
-    """True when some key holds more than ``Limits.split_rows`` rows.  Reads the key columns, returns one row."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+def has_hot_key(df: DataFrame, keys: Sequence[str], weight: Column | None = None) -> bool:
+    """True when some key holds more than ``Limits.split_rows`` rows.  Reads the key columns, returns one row.
+
+    ``weight`` is the number of rows that a row will become where the table is still to be exploded.
+    """
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(*keys).agg(size.alias("rows"))
     return not counts.filter(F.col("rows") > Limits.split_rows).limit(1).isEmpty()
 
 

@@ -392,6 +392,14 @@ def cover_with_cycle(lines: DataFrame, assets: DataFrame, split: bool = False) -
 
 # ---------------------------------------------------------------- clocks over segments
 
+def has_long_job(jobs: DataFrame) -> bool:
+    """True when some job lasts so long that its fill alone may make more segments than one task should order.
+
+    Declared clip lengths start at 0.2 s, so a job has about five segments per second at most.
+    """
+    return not jobs.filter(F.col("total_ms") > 200 * Limits.split_rows).limit(1).isEmpty()
+
+
 def number_segments(segments: DataFrame, split: bool = False) -> DataFrame:
     """Segment number by start; segments of a job never share a start, so a block of starts is a bounded chunk."""
     chunk = [[block_of("start_ms")]] if split else None

@@ -182,9 +182,14 @@ def build_timeline_legacy(e):
     return render.build_timeline(e.events, e.jobs, e.assets, "v2", e.events_hot)
 
 
+def _segments_hot(e):
+    return e.events_hot or T.has_long_job(e.jobs)
+
+
 @query
 def realised_clock(e):
-    return T.realised_clock(T.number_segments(build_timeline(e), e.events_hot), e.events_hot)
+    hot = _segments_hot(e)
+    return T.realised_clock(T.number_segments(build_timeline(e), hot), hot)
 
 
 @query
@@ -194,7 +199,8 @@ def clock_verdict(e):
 
 @query
 def crossfade_offsets(e):
-    return T.crossfade_offsets(T.number_segments(build_timeline_legacy(e), e.events_hot), e.events_hot)
+    hot = _segments_hot(e)
+    return T.crossfade_offsets(T.number_segments(build_timeline_legacy(e), hot), hot)
 
 
 @query
@@ -298,28 +304,24 @@ def layout_plan(e):
 
 # ---------------------------------------------------------------- captions
 
-def _words_hot(e):
-    return e.hot("conversations", "conv_id")
-
-
 @query
 def caption_lines(e):
-    return C.caption_lines(e.words)
+    return C.caption_lines(e.words, e.words_hot)
 
 
 @query
 def caption_cues(e):
-    return C.caption_cues(e.words)
+    return C.caption_cues(e.words, e.words_hot)
 
 
 @query
 def export_captions_srt(e):
-    return C.export_captions(C.caption_cues(e.words), "srt", split=_words_hot(e))
+    return C.export_captions(C.caption_cues(e.words, e.words_hot), "srt", split=e.words_hot)
 
 
 @query
 def export_captions_ass(e):
-    return C.export_captions(C.caption_lines(e.words), "ass", J.layout_plan(e.jobs, e.assets), _words_hot(e))
+    return C.export_captions(C.caption_lines(e.words, e.words_hot), "ass", J.layout_plan(e.jobs, e.assets), e.words_hot)
 
 
 # ---------------------------------------------------------------- frame grids and regions
@@ -533,7 +535,7 @@ def render_summary(e):
         e.events.filter("time_ms IS NOT NULL"),
         segments,
         placed.filter("kind = 'comment'"),
-        C.caption_lines(e.words),
+        C.caption_lines(e.words, e.words_hot),
         J.layout_plan(e.jobs, e.assets),
         Q.render_qc(e.probes, e.jobs).select("job_id", "verdict"),
     )

@@ -174,10 +174,17 @@ class Entities:
         )
         return self.spark.sql(f"SELECT {_EVENT_COLUMNS} FROM {{numbered}}", numbered=numbered)
 
+    @property
+    def words_hot(self) -> bool:
+        if "words" not in self._hot:
+            size = F.size(F.split("text", " "))
+            self._hot["words"] = has_hot_key(self.table("conversations"), ["conv_id"], size)
+        return self._hot["words"]
+
     @property
     def words(self) -> DataFrame:
         """A spoken clock: every word lasts by its length, pauses follow full stops and commas."""
-        hot = self.hot("conversations", "conv_id")
+        hot = self.words_hot
         split = (
             self.table("conversations")
             .select(F.col("conv_id").alias("job_id"), "turn", F.posexplode(F.split("text", " ")).alias("pos", "text"))
