@@ -174,14 +174,19 @@ def open_gaps(placed: DataFrame, jobs: DataFrame, split: bool = False) -> DataFr
 
 # ---------------------------------------------------------------- round robin over a pool
 
-def cycle_tape(pool: DataFrame) -> DataFrame:
+def largest_pool(pool: DataFrame) -> int:
+    """Clips of the best supplied persona: one number, which decides how pools are handled."""
+    return pool.groupBy("persona").count().agg(F.max("count")).first()[0] or 0
+
+
+def cycle_tape(pool: DataFrame, largest: int) -> DataFrame:
     """Number a persona's clips in library order with the time before each, the pool size and the cycle length."""
     length = clip_length()
     sized = pool.select(
         "persona", "asset_ord", "asset_id", F.when(length > 0, length).otherwise(F.lit(DEFAULT_LOOP)).cast("bigint").alias("clip_ms")
     )
     runs = [Run("_rank", "rank"), Run("before_ms", "sum_before", F.col("clip_ms"))]
-    split = has_hot_key(sized, ["persona"])
+    split = largest > Limits.split_rows
     laid = running(sized, ["persona"], [F.col("asset_ord")], runs, [[block_of("asset_ord")]] if split else None)
     if split:
         totals = sized.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"), F.sum("clip_ms").alias("cycle_ms"))
@@ -196,13 +201,13 @@ def cycle_tape(pool: DataFrame) -> DataFrame:
     )
 
 
-def _tape_arrays(tape: DataFrame, needs: DataFrame) -> DataFrame:
+def _tape_arrays(tape: DataFrame, needs: DataFrame, largest: int) -> DataFrame:
     """Clip lengths of a persona as one array.
 
     A pool larger than POOL_ROWS is cut to the part that the longest job can reach: clips are taken in order
     from the first, so a job needs at most (its total need / shortest clip + its number of needs) of them.
     """
-    if not tape.filter(F.col("pool_size") > POOL_ROWS).limit(1).isEmpty():
+    if largest > POOL_ROWS:
         per_job = needs.groupBy("persona", "job_id").agg(F.sum("need_ms").alias("need"), F.count(F.lit(1)).alias("n"))
         shortest = tape.groupBy("persona").agg(F.min("clip_ms").alias("shortest"))
         reach = per_job.join(shortest, "persona").groupBy("persona").agg(
@@ -223,7 +228,7 @@ def _reach(clips, pool_size: int):
 
 
 def cycle_cover(
-    needs: DataFrame, tape: DataFrame, slack_ms: int = 0, at_most: int | None = None, split: bool = False
+    needs: DataFrame, tape: DataFrame, largest: int, slack_ms: int = 0, at_most: int | None = None, split: bool = False
 ) -> DataFrame:
     """Serve needs (job_id, persona, seq without gaps, need_ms, carried) from the pool in turn, never restarting in a job.
 
@@ -231,7 +236,7 @@ def cycle_cover(
     taken until no more than ``slack_ms`` stays uncovered or ``at_most`` are used up, their length ``covered_ms``,
     plus ``base_ms`` (where the first lies in the cycle), ``pool_size`` and ``cycle_ms``.
     """
-    arrays = _tape_arrays(tape, needs)
+    arrays = _tape_arrays(tape, needs, largest)
     piece = chunk_of("seq") if split else F.lit(0).cast("bigint")
     grouped = (
         needs.select("job_id", "persona", piece.alias("chunk"), F.struct("seq", "need_ms", "carried").alias("need"))
@@ -334,14 +339,16 @@ def neutral_pool(assets: DataFrame, dialect: str = "v4") -> DataFrame:
 
 def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Fill every gap with whole neutral clips in round robin; the turn carries on from gap to gap of a job."""
-    tape = cycle_tape(neutral_pool(assets))
+    pool = neutral_pool(assets)
+    largest = largest_pool(pool)
+    tape = cycle_tape(pool, largest)
     needs = gaps.select(
         "job_id", "persona", F.col("gap_no").cast("bigint").alias("seq"),
         (F.col("gap_end_ms") - F.col("gap_start_ms")).cast("bigint").alias("need_ms"),
         F.col("gap_start_ms").cast("bigint").alias("carried"),
     )
     place = F.col("first_index") + F.col("k")
-    clips = _each_taken(cycle_cover(needs, tape, FILL_SLACK, split=split)).select(
+    clips = _each_taken(cycle_cover(needs, tape, largest, FILL_SLACK, split=split)).select(
         "*", F.pmod(place, F.col("pool_size")).alias("pos"), F.call_function("div", place, F.col("pool_size")).alias("turn")
     )
     laid = clips.join(tape.select("persona", "pos", "asset_id", "clip_ms", "before_ms"), ["persona", "pos"])
@@ -364,13 +371,14 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
     )
     chunk = [[chunk_of("gap_no")]] if split else None
     numbered = running(counted, ["job_id"], [F.col("gap_no")], [Run("_used", "sum_before", F.col("taken"))], chunk)
-    pool = cycle_tape(neutral_pool(assets, "v2"))
-    sizes = pool.select("persona", "pool_size").distinct()
+    pool = neutral_pool(assets, "v2")
+    sizes = pool.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"))
+    tape = cycle_tape(pool, largest_pool(pool))
     chunks = _each_taken(numbered.join(sizes, "persona")).withColumn(
         "pos", F.pmod(F.col("_used") + F.col("k"), F.col("pool_size"))
     )
     start = F.col("gap_start_ms") + F.col("k") * FIXED_CHUNK
-    return chunks.join(pool.select("persona", "pos", "asset_id"), ["persona", "pos"]).select(
+    return chunks.join(tape.select("persona", "pos", "asset_id"), ["persona", "pos"]).select(
         "job_id",
         "gap_no",
         F.col("k").alias("chunk_no"),
@@ -383,7 +391,9 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
 def cover_with_cycle(lines: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Chain speech carriers in turn under every spoken line (job_id, persona, seq, need_ms), 24 at most."""
     needs = lines.withColumn("carried", F.lit(0).cast("bigint"))
-    served = cycle_cover(needs, cycle_tape(speech_carriers(assets)), 0, BED_PARTS, split)
+    pool = speech_carriers(assets)
+    largest = largest_pool(pool)
+    served = cycle_cover(needs, cycle_tape(pool, largest), largest, 0, BED_PARTS, split)
     return served.select(
         "job_id", "seq", "need_ms", "first_index", F.col("taken").alias("parts"), "covered_ms",
         (F.col("covered_ms") + BED_TOLERANCE < F.col("need_ms")).alias("too_short"),

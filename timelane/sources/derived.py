@@ -131,9 +131,12 @@ class Entities:
         self.spark = spark
         self.folder = folder
         self._hot: dict[str, bool] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def projection(self, name: str) -> DataFrame:
         text = PROJECTIONS[name]
