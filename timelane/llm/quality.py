@@ -149,20 +149,34 @@ def held_out(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
     return F.coalesce(crc32_text(doc_id) % folds == 0, F.lit(False))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, shrinkage: float = SHRINKAGE) -> DataFrame:
-    """doc_id, k (hash of doc_id and text), held_out, score, predicted for every row."""
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("k"), F.col("text").cast("string").alias("text"))
+def fitted(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> Discriminant:
+    """The model from all labelled rows that are not held out."""
+    marks = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    source = docs.where(~held_out()).select("doc_id", F.col("text").cast("string").alias("text"))
     measured = stage(features(source), "statistics")
-    marks = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("label"))
-    model = fit(measured.where(~held_out()).join(marks, "doc_id").select("f", "label"), shrinkage)
+    return fit(measured.join(marks, "doc_id").select("f", "label"), shrinkage)
+
+
+def scored(docs: DataFrame, model: Discriminant) -> DataFrame:
+    """``docs`` with a column ``score``; texts are measured where they are and never shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch["f"].flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["k"], batch["held_out"], pa.array(model.score(x))], names=["doc_id", "k", "held_out", "score"])
+            data, bounds = utf8_column(batch["text"])
+            for first, last in slices(bounds):
+                part = batch.slice(first, last - first)
+                score = model.score(statistics(data, bounds, first, last))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, "score"])
+
+    return docs.mapInArrow(run, docs.drop("score").withColumn("score", F.lit(0.0)).schema) if "score" not in docs.columns else scored(docs.drop("score"), model)
 
-    scored = measured.select("doc_id", "k", held_out().alias("held_out"), "f").mapInArrow(run, "doc_id bigint, k bigint, held_out boolean, score double")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, shrinkage: float = SHRINKAGE) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row."""
+    model = fitted(docs, labels, shrinkage)
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    found = scored(source, model)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
