@@ -1,16 +1,18 @@
 """MinHash near-duplicates by an inverted join on signature coordinates.
 
-A document's shingle set gives ``coordinates`` minima, one per hash function; coordinate and minimum together are a
-token.  Two sets of similarity s agree in each coordinate with probability s, so a pair is a candidate if it agrees in
-at least ``matches`` coordinates.  Tokens of every signature are ordered from rare to frequent; a pair with that many
+A document's shingle set gives ``coordinates`` values; a coordinate's value is the minima of two hash functions, and
+coordinate and value together are a token.  Two sets of similarity s agree in a coordinate with probability s * s, so
+unlike texts hardly ever meet; a pair is a candidate if it agrees in at least ``matches`` coordinates.  At the
+threshold of 0.8 a pair misses that with probability 1e-6.  Tokens of every signature are ordered from rare to frequent; a pair with that many
 agreements must share one of the first ``coordinates - matches + 1`` tokens of both signatures, so only this prefix
 is posted.  Candidates are confirmed on the full sets.
 
 Equal sets become one class first.  Then links are found in two steps, so that a large group of near copies is not
 expanded into all its pairs: (1) every member of a posting is compared with a few fixed members of it, and what links
 falls into components; (2) the postings that still hold more than one component are merged in blocks: all their pairs
-across components are counted, each pair in its first common token only, and only pairs with enough agreements leave
-the task.  A link between two components is therefore never lost to step 1, and links inside one change nothing.
+across components are counted, each pair in its first common token only, and those with enough agreements are compared
+in the task, of which only a spanning forest leaves it.  A link between two components is therefore never lost to step
+1, and links inside one change nothing.
 
 Rows with a null doc_id or no words link with nothing (their component is their own doc_id).  Repeated rows get equal
 results.  Extra columns are ignored; an empty table gives an empty result.
@@ -27,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from timelane.llm.common import MIX_A, edge_components, mix, read, row_key, slices, stage, utf8_column, word_table
 
-COORDINATES, MATCHES = 32, 14
-LEADERS = 4
+COORDINATES, MATCHES = 32, 8
+LEADERS = 2
 #: Rows of a posting that one block holds.
 BLOCK_ROWS = 2048
 
@@ -65,8 +67,10 @@ def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> D
                     sizes.append(len(s))
                     ids.append(xxhash.xxh3_128_digest(s.tobytes()))
                     # The coordinate is part of the token, so tokens of different coordinates never meet.
-                    low = [np.min(mix(s ^ seed)) ^ seed for seed in seeds] if len(s) else []
-                    tokens.append(np.array(low, dtype=np.uint64).view(np.int64))
+                    # Both halves of a hash are hash functions of their own.
+                    low = [mix(s ^ seed).view(np.uint32).reshape(-1, 2).min(axis=0) for seed in seeds] if len(s) else []
+                    pairs = np.array(low, dtype=np.uint32).reshape(-1, 2).view(np.uint64).ravel()
+                    tokens.append((pairs ^ seeds[: len(pairs)]).view(np.int64))
                 flat = pa.array(np.concatenate(tokens))
                 offsets = pa.array(np.append(0, np.cumsum([len(t) for t in tokens])), pa.int32())
                 part = batch.slice(first, last - first)
@@ -79,16 +83,15 @@ def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> D
     return source.mapInArrow(run, SIGNATURE)
 
 
-def prefix_postings(reps: DataFrame, matches: int, coordinates: int) -> DataFrame:
-    """(token, rep, prefix): the shared tokens among the rarest of each signature, and all of these as an array."""
+def prefixes(reps: DataFrame, matches: int, coordinates: int) -> DataFrame:
+    """(rep, prefix): the tokens among the rarest of each signature that another document has as well."""
     tokens = reps.select("rep", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     room = coordinates - matches + 1
     # Tokens of one document only are the rarest; they fill the prefix first and need no posting.
     ranked = tokens.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"))
     left = F.greatest(F.lit(0), F.lit(room - coordinates) + F.size("t"))
-    prefix = ranked.select("rep", F.slice(F.col("t.token"), F.lit(1), left).alias("prefix")).where(F.size("prefix") > 0)
-    return prefix.select(F.explode("prefix").alias("token"), "rep", "prefix")
+    return ranked.select("rep", F.slice(F.col("t.token"), F.lit(1), left).alias("prefix")).where(F.size("prefix") > 0)
 
 
 def leader_pairs(postings: DataFrame) -> DataFrame:
@@ -112,58 +115,96 @@ def block_pairs(rows: DataFrame, key: str, sizes: DataFrame, block: int, salt) -
     return spread.select("*", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).drop("blocks", "other")
 
 
-def residual_pairs(postings: DataFrame, labels: DataFrame, tokens: DataFrame, matches: int) -> DataFrame:
-    """Candidates between different components, from the postings that hold more than one."""
-    labelled = postings.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    rows = labelled.join(mixed.select("token"), "token").join(tokens, "rep")
-    spread = block_pairs(rows, "token", mixed, BLOCK_ROWS, F.xxhash64("rep"))
-
-    def pairs_of(group: list) -> Iterator[tuple[int, int]]:
-        token, x, y = group[0][0]
-        rep = np.array([g[1] for g in group])
-        component = np.array([g[2] for g in group])
-        block = np.array([g[3] for g in group])
-        prefix = [g[4] for g in group]
-        signature = np.array([g[5] for g in group], dtype=np.int64)
-        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        for i in left:
-            js = right[right > i] if x == y else right
-            js = js[component[js] != component[i]]
-            if len(js) == 0:
-                continue
-            js = js[(signature[js] == signature[i]).sum(axis=1) >= matches]
-            own = set(prefix[i])
-            for j in js:
-                # Counted in the first token that both prefixes hold.
-                if min(own.intersection(prefix[j])) == token:
-                    yield min(rep[i], rep[j]), max(rep[i], rep[j])
+UNIT = ["token", "x", "y"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name = [], None
 
-        def flush():
-            found = list(pairs_of(held)) if len(held) > 1 else []
-            if found:
-                a, b = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def by_unit(rows: DataFrame, columns: list[str], solve, schema: str) -> DataFrame:
+    """``solve(name, lists of columns)`` for every unit of work; it yields record batches."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, name = [], None
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("token", "x", "y", "rep", "component", "block", "prefix", "tokens")]
-            for token, x, y, *rest in zip(*columns):
+            for token, x, y, *rest in zip(*[batch[c].to_pylist() for c in [*UNIT, *columns]]):
                 if (token, x, y) != name:
-                    yield from flush()
+                    if len(held) > 1:
+                        yield from solve(name, *zip(*held))
                     held, name = [], (token, x, y)
-                held.append((name, *rest))
-        yield from flush()
+                held.append(rest)
+        if len(held) > 1:
+            yield from solve(name, *zip(*held))
+
+    return rows.select(*UNIT, *columns).repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(run, schema)
+
+
+class Unit:
+    """Candidates of one pair of blocks: different components, enough agreements, and the pair's first common token."""
 
-    dealt = spread.select("token", "x", "y", "rep", "component", "block", "prefix", "tokens").repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    def __init__(self, name, component, block, prefix, tokens, matches: int):
+        self.token, x, y = name
+        self.component, block = np.array(component), np.array(block)
+        self.signature, self.matches = np.array(tokens, dtype=np.int64), matches
+        self.posted = np.array([np.isin(t, p) for t, p in zip(self.signature, prefix)])
+        self.left = np.flatnonzero(block == x)
+        self.right = None if x == y else np.flatnonzero(block == y)
 
+    def partners(self, i: int) -> np.ndarray:
+        js = self.left[self.left > i] if self.right is None else self.right
+        js = js[self.component[js] != self.component[i]]
+        equal = self.signature[js] == self.signature[i]
+        js, equal = js[(n := equal.sum(axis=1)) >= self.matches], equal[n >= self.matches]
+        shared = equal & self.posted[js] & self.posted[i]
+        first = np.where(shared, self.signature[i], np.iinfo(np.int64).max).min(axis=1)
+        return js[first == self.token]
 
-def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the similarity.  Only texts of paired documents are read into sets."""
-    needed = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+
+def residual_links(postings: DataFrame, labels: DataFrame, tokens: DataFrame, sets_of, matches: int, percent: int) -> DataFrame:
+    """Links between different components, from the postings that hold more than one.
+
+    The signatures tell which members have a partner at all; only their sets are fetched, and compared in the task.  It
+    skips pairs that its earlier links have joined, so what leaves it is a forest.
+    """
+    labelled = postings.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = stage(labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi"), "mixed")
+    spread = block_pairs(labelled, "token", mixed, BLOCK_ROWS, F.xxhash64("rep")).join(tokens, "rep")
+
+    def promising(name, rep, component, block, prefix, tokens) -> Iterator[pa.RecordBatch]:
+        unit = Unit(name, component, block, prefix, tokens, matches)
+        hit = np.zeros(len(rep), dtype=bool)
+        for i in unit.left:
+            js = unit.partners(i)
+            hit[js] = True
+            hit[i] |= len(js) > 0
+        at = np.flatnonzero(hit).tolist()
+        if at:
+            columns = [[v] * len(at) for v in name] + [[c[i] for i in at] for c in (rep, component, block, prefix, tokens)]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[*UNIT, "rep", "component", "block", "prefix", "tokens"])
+
+    def linked(name, rep, component, block, prefix, tokens, shingles) -> Iterator[pa.RecordBatch]:
+        unit = Unit(name, component, block, prefix, tokens, matches)
+        sets = [np.array(s, dtype=np.int64) for s in shingles]
+        found = []
+        for i in unit.left:
+            for j in unit.partners(i):
+                if unit.component[i] == unit.component[j]:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    found.append((rep[i], rep[j]))
+                    unit.component[unit.component == unit.component[j]] = unit.component[i]
+        if found:
+            a, b = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    columns = ["rep", "component", "block", "prefix", "tokens"]
+    schema = "token bigint, x int, y int, rep bigint, component bigint, block int, prefix array<bigint>, tokens array<bigint>"
+    hopeful = stage(by_unit(spread, columns, promising, schema), "promising")
+    sets = sets_of(hopeful.select("rep").distinct())
+    return by_unit(hopeful.join(sets, "rep"), [*columns, "shingles"], linked, "a bigint, b bigint")
+
+
+def shingles_of(needed: DataFrame, docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """(rep, shingles): the full sets of the documents ``needed`` (rep).  Only their texts are read into sets."""
     source = docs.select("text", row_key("doc_id", "text").alias("k"))
     # Repeated rows give one set; the join has already brought them together.
     texts = source.join(needed.join(reps.select("rep", "k"), "rep"), "k").groupBy("k", "rep").agg(F.any_value("text").alias("text"))
@@ -177,12 +218,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, pe
                         [batch["rep"].slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), pa.array(s.view(np.int64)))], names=["rep", "shingles"]
                     )
 
-    sets = stage(texts.select("rep", "text").mapInArrow(run, "rep bigint, shingles array<bigint>"), "shingles")
+    return stage(texts.select("rep", "text").mapInArrow(run, "rep bigint, shingles array<bigint>"), "shingles")
+
+
+def confirmed(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity."""
+    pairs = stage(pairs, "pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
-    met = pairs.join(one, "a").join(two, "b")
     both = F.size(F.array_intersect("sa", "sb"))
-    return met.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
 def agreeing(pairs: DataFrame, tokens: DataFrame, matches: int) -> DataFrame:
@@ -205,13 +251,15 @@ def near_duplicates(
     reps = stage(classes.select(F.col("m.doc_id").alias("rep"), F.col("m.k").alias("k"), "set_id", "tokens"), "classes")
     # One doc_id may head two classes if its row is there twice with different texts.
     tokens = reps.select("rep", "tokens")
-    postings = stage(prefix_postings(tokens, matches, coordinates), "postings")
+    rarest = stage(prefixes(tokens, matches, coordinates), "prefixes")
+    postings = rarest.select(F.explode("prefix").alias("token"), "rep")
+
+    def sets_of(needed: DataFrame) -> DataFrame:
+        return shingles_of(needed, docs, reps, words)
 
-    first = confirmed(agreeing(leader_pairs(postings), tokens, matches), docs, reps, words, percent)
-    links = stage(first.distinct(), "links")
+    links = stage(confirmed(agreeing(leader_pairs(postings), tokens, matches), sets_of, percent), "links")
     labels = stage(edge_components(links).withColumnsRenamed({"id": "rep"}), "labels")
-    second = confirmed(stage(residual_pairs(postings, labels, tokens, matches), "residual"), docs, reps, words, percent)
-    more = stage(second.distinct(), "links")
+    more = stage(residual_links(postings, labels, tokens.join(rarest, "rep"), sets_of, matches, percent), "links")
     joined = more.join(labels.select(F.col("rep").alias("a"), F.col("component").alias("ca")), "a", "left")
     joined = joined.join(labels.select(F.col("rep").alias("b"), F.col("component").alias("cb")), "b", "left")
     bridges = joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
