@@ -35,7 +35,8 @@ OPEN_BINS = 4096
 PACKER_ROWS = 100_000
 #: Words whose ids a worker remembers.
 MEMO_WORDS = 800_000
-GAPS = str.maketrans("\t\n\r", "   ")
+#: White space to Python but not to the vocabulary, which keeps it as marks.
+CONTROLS = re.compile("[\x1c-\x1f]")
 #: Letters without marks to compose or special lower case, then punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
@@ -71,7 +72,7 @@ def word_ids(texts: list[str], path: str) -> Iterator[bytes]:
     repeat, so most are looked up.  A plain word with marks after it is looked up as letters, in lower case, and marks.
     """
     coder, memo = tokenizer(path)
-    split = [t.translate(GAPS).split(" ") for t in texts]
+    split = [t.split(" ") if CONTROLS.search(t) else t.split() for t in texts]
     new = {w for words in split for w in words if w not in memo}
     halves = {w: (m[1].lower(), m[2]) for w in new if (m := PLAIN.fullmatch(w))}
     stems = {h for pair in halves.values() for h in pair if h not in memo}
