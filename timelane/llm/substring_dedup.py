@@ -10,7 +10,8 @@ also occurs in a document with a smaller doc_id; windows are judged on the input
    suffixes, which with the common length of neighbours is the suffix tree; internal nodes at least ``window`` deep are
    the repeats, and the smallest doc_id below a node decides.
 3. A more frequent prefix is made longer, up to the whole window.  Suffixes with the same whole window are one node;
-   only the smallest doc_id is needed of it, and that is combined before the shuffle.  No task gathers a hot prefix.
+   only the smallest doc_id is needed of it, and that is combined before the shuffle.  The nodes with several documents
+   then meet the places of their prefix, which are dealt out in blocks of ``block_rows``; no task gathers a hot prefix.
 
 Exact copies (equal word sequences) are one class before all this: any later copy of at least ``window`` words is
 removed whole.  Rows with a null doc_id neither remove nor lose words, a null text has none, repeated rows (same
@@ -33,6 +34,8 @@ WINDOW, PREFIX = 50, 8
 GROUP_ROWS = 512
 #: Suffixes that a task sorts at a time, if one group does not hold more.
 TREE_ROWS = 20_000
+#: Places of a hot prefix, and nodes of it, that a task holds at a time.
+BLOCK_ROWS, BLOCK_NODES = 4096, 50_000
 
 SUMMARY = "doc_id bigint, k bigint, n_words bigint, words_id binary, sha string, parts array<struct<h:bigint,s:int,e:int>>"
 
@@ -170,10 +173,12 @@ def tree_repeats(places: DataFrame, window: int, tree_rows: int) -> DataFrame:
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Texts of the wanted places: one row per place of a cold prefix, one per window of a hot one.
+    """(h, doc_id, k, s, context, n): text of the wanted places, each a run of n windows from word s on.
 
-    ``wanted`` holds (k, p): the row's runs as (h, s, e, hot).
+    ``wanted`` holds (k, p): the row's runs as (h, s, e).
     """
+    names = ["h", "doc_id", "k", "s", "context", "n"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,33 +188,65 @@ def contexts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 t = word_table(data, bounds, first, last)
                 rows = []
                 for i in range(first, last):
-                    a, b = t.rows[i - first], t.rows[i - first + 1]
-                    text = joined_words(t.data, t.start[a:b], t.end[a:b])
-                    lengths = t.end[a:b] - t.start[a:b] + 1
-                    begin = np.append(0, np.cumsum(lengths))
+                    a = t.rows[i - first]
                     for p in parts[i]:
-                        if p["hot"]:
-                            for s in range(p["s"], p["e"]):
-                                # The prefix grown to the whole window; its 128-bit digest names the node.
-                                node = xxhash.xxh3_128_digest(text[begin[s] : begin[s + window] - 1])
-                                rows.append((p["h"], ids[i], keys[i], s, None, 1, node))
-                        else:
-                            piece = text[begin[p["s"]] : begin[p["e"] + window - 1] - 1]
-                            rows.append((p["h"], ids[i], keys[i], p["s"], piece.decode(), p["e"] - p["s"], None))
-                    if len(rows) >= 5000:
-                        yield batch_of(rows)
-                        rows = []
+                        x, y = a + p["s"], a + p["e"] + window - 1
+                        rows.append((p["h"], ids[i], keys[i], p["s"], joined_words(t.data, t.start[x:y], t.end[x:y]).decode(), p["e"] - p["s"]))
                 if rows:
-                    yield batch_of(rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*rows), types)], names=names)
 
-    names = ["h", "doc_id", "k", "s", "context", "n", "node"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.binary()]
+    met = docs.join(wanted, "k").groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), F.any_value("p").alias("p"))
+    return met.mapInArrow(run, "h bigint, doc_id bigint, k bigint, s int, context string, n int")
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*rows), types)], names=names)
 
-    met = docs.join(wanted, "k").groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), F.any_value("p").alias("p"))
-    return met.mapInArrow(run, "h bigint, doc_id bigint, k bigint, s int, context string, n int, node binary")
+def window_nodes(context: str, window: int) -> list[bytes]:
+    """128-bit digests that name the nodes of a context's windows."""
+    words = context.encode().split(b" ")
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.append(0, ends[:-1])
+    data = context.encode()
+    return [xxhash.xxh3_128_digest(data[starts[i] : ends[i + window - 1] - 1]) for i in range(len(words) - window + 1)]
+
+
+def grown_repeats(places: DataFrame, window: int, block_rows: int, block_nodes: int) -> DataFrame:
+    """(k, s, e) as ``tree_repeats``, for hot prefixes."""
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [window_nodes(c, window) for c in batch["context"].to_pylist()]
+            sizes = [len(n) for n in nodes]
+            h, doc = (np.repeat(batch[c].to_numpy(), sizes) for c in ("h", "doc_id"))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array([x for n in nodes for x in n], pa.binary())], names=["h", "doc_id", "node"])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, least = None, {}
+        for batch in batches:
+            out = []
+            for h, part, salt, parts, node, doc, k, s, context in zip(*[batch[c].to_pylist() for c in columns]):
+                if (h, part, salt) != name:
+                    name, least = (h, part, salt), {}
+                if node is not None:
+                    least[node] = doc
+                    continue
+                hit = np.array([least.get(n, doc) < doc for n in window_nodes(context, window)])
+                out += [(k, s + int(x), s + int(y)) for x, y in zip(*runs_of(hit))]
+            if out:
+                k, s, e = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["k", "s", "e"])
+
+    nodes = places.mapInArrow(grow, "h bigint, doc_id bigint, node binary").groupBy("h", "node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    nodes = stage(nodes.where("lo <> hi").select("h", "node", "lo"), "nodes")
+    sizes = nodes.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / block_nodes).cast("int").alias("parts"))
+    sizes = sizes.join(places.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("salts")), "h")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["h", "part", "salt", "parts", "node", "doc_id", "k", "s", "context"]
+    named = nodes.join(sizes, "h").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("salt", every("salts"))
+    named = named.select("h", "part", "salt", "parts", "node", F.col("lo").alias("doc_id"), F.lit(None).cast("bigint").alias("k"), F.lit(None).cast("int").alias("s"), F.lit(None).cast("string").alias("context"))
+    placed = places.join(sizes, "h").withColumn("salt", F.pmod(F.xxhash64("k", "s"), F.col("salts")).cast("int")).withColumn("part", every("parts"))
+    placed = placed.withColumn("node", F.lit(None).cast("binary")).select(*columns)
+    # Nodes come before places.
+    dealt = named.unionByName(placed).repartition("h", "part", "salt").sortWithinPartitions("h", "part", "salt", F.col("node").isNull())
+    return dealt.mapInArrow(match, "k bigint, s int, e int")
 
 
 def without_repeats(docs: DataFrame, repeats: DataFrame, window: int, keep_text: bool) -> DataFrame:
@@ -248,7 +285,14 @@ def without_repeats(docs: DataFrame, repeats: DataFrame, window: int, keep_text:
 
 
 def substring_dedup(
-    docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_rows: int = GROUP_ROWS, tree_rows: int = TREE_ROWS, keep_text: bool = True
+    docs: DataFrame,
+    window: int = WINDOW,
+    prefix: int = PREFIX,
+    group_rows: int = GROUP_ROWS,
+    tree_rows: int = TREE_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    block_nodes: int = BLOCK_NODES,
+    keep_text: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, k, n_words, n_removed, kept_sha256, and kept (text left; null if nothing went).
 
@@ -262,15 +306,14 @@ def substring_dedup(
     heads = judged.where("doc_id = first_id").groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("parts").alias("parts"))
     places = stage(heads.select("k", "doc_id", F.explode("parts").alias("p")).select("k", "doc_id", "p.h", "p.s", "p.e"), "places")
 
-    shared = places.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    wanted = places.join(shared.select("h", (F.col("n") > group_rows).alias("hot")), "h")
-    wanted = wanted.groupBy("k").agg(F.collect_list(F.struct("h", "s", "e", "hot")).alias("p"))
+    shared = places.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
+    wanted = places.join(shared.select("h"), "h").groupBy("k").agg(F.collect_list(F.struct("h", "s", "e")).alias("p"))
     found = stage(contexts(source, wanted, window), "contexts")
+    often = found.groupBy("h").agg((F.count(F.lit(1)) > group_rows).alias("hot"))
+    split = found.join(often, "h")
 
-    trees = tree_repeats(found.where("node IS NULL"), window, tree_rows)
-    long = found.where("node IS NOT NULL").select("node", "doc_id", "k", "s")
-    nodes = long.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("node", "lo")
-    grown = long.join(nodes, "node").where("doc_id > lo").select("k", "s", (F.col("s") + 1).alias("e"))
+    trees = tree_repeats(split.where("NOT hot"), window, tree_rows)
+    grown = grown_repeats(split.where("hot"), window, block_rows, block_nodes)
     lost = without_repeats(source, trees.unionByName(grown), window, keep_text)
 
     out = summary.join(firsts, "words_id", "left").join(lost, "k", "left")
