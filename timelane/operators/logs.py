@@ -58,7 +58,8 @@ def cache_lookup(requests: DataFrame, price_micro: int) -> DataFrame:
 
     The first request of each key is a map-side minimum; joining it back lets the adaptive join split a hot key.
     """
-    key = F.sha1(F.concat_ws("::", "model", "image", "audio", "prompt"))
+    # A missing field is a value of its own, so keys with one never collide.
+    key = F.sha1(F.concat_ws("::", *[F.coalesce(c, F.lit("\x00")) for c in ("model", "image", "audio", "prompt")]))
     keyed = requests.select("request_no", key.alias("cache_key"), "seconds")
     first = keyed.groupBy("cache_key").agg(F.min("request_no").alias("_first"))
     hit = F.col("request_no") > F.col("_first")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,9 +26,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a fresh local one only where unset (tests)."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a fresh folder of its own; on a cluster, whose executors would not see that
+    folder, it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="timelane-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -20,12 +20,18 @@ from timelane.session import shared_folder
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def report_stream(spark: SparkSession, folder: str, file: str, schema) -> DataFrame:
-    """A Parquet file of the folder as a file stream; TIMESTAMP_NTZ event times become UTC timestamps."""
+def report_stream(spark: SparkSession, folder: str, table: str, schema, max_bytes: int | None = None) -> DataFrame:
+    """A Parquet table, one file or a directory of parts, as a stream; TIMESTAMP_NTZ event times become UTC timestamps.
+
+    Without ``max_bytes`` everything available is one micro-batch, so answers do not depend on how a table is cut into
+    files.  A live stream sets it; then rows later than the watermark are dropped, in whatever batch they come.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    # The size of a micro-batch bounds what one job can bring into one task at a time.
-    source = spark.readStream.schema(schema).option("pathGlobFilter", file).option("maxBytesPerTrigger", str(256 << 20))
-    raw = source.parquet(folder)
+    source = spark.readStream.schema(schema)
+    if max_bytes:
+        source = source.option("maxBytesPerTrigger", str(max_bytes))
+    # A pattern that only the table itself matches: unlike a plain path it may be a file as well as a directory.
+    raw = source.parquet(f"{folder}/{table[:-1]}[{table[-1]}]")
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -57,7 +63,7 @@ def stage_counts_stream(progress: DataFrame, minutes: int = 5, delay: str = "1 h
 
 def cache_dedup_stream(requests: DataFrame, horizon: str = "6 hours") -> DataFrame:
     """First request per cache key passes; repeats within the horizon are dropped."""
-    key = F.sha1(F.concat_ws("::", "model", "image", "audio", "prompt"))
+    key = F.sha1(F.concat_ws("::", *[F.coalesce(c, F.lit("\x00")) for c in ("model", "image", "audio", "prompt")]))
     return requests.withColumn("cache_key", key).withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["cache_key"])
 
 
@@ -77,47 +83,61 @@ def drain_sessions_stream(claims: DataFrame, delay: str = "1 hour") -> DataFrame
     )
 
 
-def job_state_stream(progress: DataFrame, delay: str = "1 hour") -> DataFrame:
+def job_state_stream(progress: DataFrame, delay: str = "1 hour", keep_s: int = 7 * 86_400) -> DataFrame:
     """A new version of a job's state per micro-batch: stage, status, reports, merged patch, absorbing end.
 
-    State per job is its last stage, its counters and one value per patch key; reports stream through.
+    State per job is its last stage, its counters, its end and one value per patch key with the time it was set, so a
+    report that comes late, but within the watermark, still counts and sets what no later report has set.  A job's state
+    goes ``keep_s`` of event time after its last report.
     """
     schema = "job_id bigint, version bigint, stage string, status string, reports bigint, meta map<string,string>"
-    state_schema = "at_us bigint, seq bigint, version bigint, stage string, status string, reports bigint, meta map<string,string>"
+    state_schema = "at_us bigint, seq bigint, end_us bigint, end_seq bigint, version bigint, stage string, status string, reports bigint, meta map<string,string>, meta_us map<string,bigint>, meta_seq map<string,bigint>"
+    never = 1 << 62
 
     def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, seq, version, stage, status, reports, meta = state.get if state.exists else (-1, -1, 0, None, None, 0, {})
-        meta = dict(meta)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known = state.get if state.exists else (-1, -1, never, never, 0, None, None, 0, {}, {}, {})
+        last, end, version, stage, status, reports = (known[0], known[1]), (known[2], known[3]), *known[4:8]
+        meta, meta_us, meta_seq = (dict(m) for m in known[8:])
         before = reports
         # A group's rows of one micro-batch arrive in pieces; order them by time before they are applied.
         rows = pd.concat(batches).sort_values(["at_us", "seq"], kind="stable")
-        for row in rows.itertuples(index=False):
-            if status in TERMINAL or (row.at_us, row.seq) < (at, seq):
+        for at_us, seq, new_stage, new_status, patch in zip(*[rows[c].tolist() for c in ("at_us", "seq", "stage", "status", "patch")]):
+            place = (at_us, seq)
+            if place > end:
                 continue
-            at, seq, stage, status = row.at_us, row.seq, row.stage, row.status
-            meta.update(dict(row.patch))
             reports += 1
-        if reports == before:
-            return
-        version += 1
-        state.update((int(at), int(seq), int(version), stage, status, int(reports), meta))
-        yield pd.DataFrame(
-            [{"job_id": key[0], "version": version, "stage": stage, "status": status, "reports": reports, "meta": meta}]
-        )
+            if new_status in TERMINAL:
+                end = place
+            if place >= last:
+                last, stage, status = place, new_stage, new_status
+            for name, value in dict(patch or {}).items():
+                if place >= (meta_us.get(name, -1), meta_seq.get(name, -1)):
+                    meta[name], meta_us[name], meta_seq[name] = value, at_us, seq
+        if reports > before:
+            version += 1
+            state.update((*last, *end, version, stage, status, reports, meta, meta_us, meta_seq))
+            yield pd.DataFrame(
+                [{"job_id": key[0], "version": version, "stage": stage, "status": status, "reports": reports, "meta": meta}]
+            )
+        if state.exists:
+            state.setTimeoutTimestamp(max(last[0] // 1000 + keep_s * 1000, state.getCurrentWatermarkMs() + 1))
 
     reports = progress.withWatermark("ts", delay).select("job_id", "ts", "at_us", "seq", "stage", "status", "patch")
-    return reports.groupBy("job_id").applyInPandasWithState(follow, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    return reports.groupBy("job_id").applyInPandasWithState(follow, schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def latest_version(states: DataFrame) -> DataFrame:
     return states.groupBy("job_id").agg(F.max_by(F.struct("stage", "status", "reports", "meta"), "version").alias("s")).select("job_id", "s.*")
 
 
-def stalled_jobs_stream(progress: DataFrame, delay: str = "1 hour") -> DataFrame:
+def stalled_jobs_stream(progress: DataFrame, delay: str = "1 hour", keep_s: int = 7 * 86_400) -> DataFrame:
     """One alarm per job whose deadline passes on the event clock without a terminal report.
 
     ``progress`` holds (job_id, kind, ts, at_us, status).  The state is the first report time and whether the
-    job has ended; an event-time timer raises the alarm.
+    job has ended; an event-time timer raises the alarm, and another one removes the state ``keep_s`` after that.
     """
     schema = "job_id bigint, kind string, first_us bigint, deadline_us bigint"
     limits = {kind: seconds * 1_000_000 for kind, seconds in DEADLINES_S.items()}
@@ -134,12 +154,15 @@ def stalled_jobs_stream(progress: DataFrame, delay: str = "1 hour") -> DataFrame
                     ended = min(ended, int(ends.min()))
         deadline = first + limits[kind]
         passed = deadline // 1000 < state.getCurrentWatermarkMs()
+        gone = deadline // 1000 + keep_s * 1000
+        if passed and state.hasTimedOut and gone < state.getCurrentWatermarkMs():
+            state.remove()
+        else:
+            waits = ended > deadline and not raised and not passed
+            state.update((first, ended, raised or (ended > deadline and passed)))
+            state.setTimeoutTimestamp(max(deadline // 1000 + 1 if waits else gone, state.getCurrentWatermarkMs() + 1))
         if ended > deadline and passed and not raised:
-            raised = True
             yield pd.DataFrame([{"job_id": job, "kind": kind, "first_us": first, "deadline_us": deadline}])
-        state.update((first, ended, raised))
-        if ended > deadline and not raised:
-            state.setTimeoutTimestamp(deadline // 1000 + 1)
 
     reports = progress.withWatermark("ts", delay).select("job_id", "kind", "ts", "at_us", "status")
     return reports.groupBy("job_id", "kind").applyInPandasWithState(
