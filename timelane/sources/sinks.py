@@ -8,10 +8,14 @@ from timelane.operators.joins import with_cost
 from timelane.operators.queue import result_keys
 
 
-def write_results(results: DataFrame, path: str, buckets: int = 256) -> None:
-    """Append results under their keys.  Jobs hash into a fixed number of folders, so one job's history is one read."""
+def write_results(results: DataFrame, path: str, buckets: int = 256, salts: int = 4) -> None:
+    """Append results under their keys.  Jobs hash into a fixed number of folders, so one job's history is one read.
+
+    Rows move to their folder's tasks first: a folder gets at most ``salts`` files per write, whatever the number of tasks.
+    """
     keyed = result_keys(results).withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int"))
-    keyed.write.mode("append").partitionBy("bucket").parquet(path)
+    dealt = keyed.repartition("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets * salts)))
+    dealt.write.mode("append").partitionBy("bucket").parquet(path)
 
 
 def write_caption_rows(rows: DataFrame, path: str) -> None:
