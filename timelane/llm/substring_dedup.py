@@ -213,10 +213,16 @@ def grown_repeats(places: DataFrame, window: int, block_rows: int, block_nodes:
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [window_nodes(c, window) for c in batch["context"].to_pylist()]
-            sizes = [len(n) for n in nodes]
-            h, doc = (np.repeat(batch[c].to_numpy(), sizes) for c in ("h", "doc_id"))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array([x for n in nodes for x in n], pa.binary())], names=["h", "doc_id", "node"])
+            # Combined in the task: a node that many places share is one row.
+            found: dict[tuple[int, bytes], list[int]] = {}
+            for h, doc, context in zip(batch["h"].to_pylist(), batch["doc_id"].to_pylist(), batch["context"].to_pylist()):
+                for node in window_nodes(context, window):
+                    span = found.setdefault((h, node), [doc, doc])
+                    span[0], span[1] = min(span[0], doc), max(span[1], doc)
+            if found:
+                h, nodes = zip(*found)
+                lo, hi = zip(*found.values())
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(nodes, pa.binary()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["h", "node", "lo", "hi"])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, least = None, {}
@@ -234,7 +240,9 @@ def grown_repeats(places: DataFrame, window: int, block_rows: int, block_nodes:
                 k, s, e = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["k", "s", "e"])
 
-    nodes = places.mapInArrow(grow, "h bigint, doc_id bigint, node binary").groupBy("h", "node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    # Places of a hot prefix are spread over all tasks.
+    places = stage(places.repartition(F.xxhash64("k", "s")), "hot")
+    nodes = places.mapInArrow(grow, "h bigint, node binary, lo bigint, hi bigint").groupBy("h", "node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     nodes = stage(nodes.where("lo <> hi").select("h", "node", "lo"), "nodes")
     sizes = nodes.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / block_nodes).cast("int").alias("parts"))
     sizes = sizes.join(places.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("salts")), "h")
@@ -313,7 +321,7 @@ def substring_dedup(
     split = found.join(often, "h")
 
     trees = tree_repeats(split.where("NOT hot"), window, tree_rows)
-    grown = grown_repeats(split.where("hot"), window, block_rows, block_nodes)
+    grown = grown_repeats(split.where("hot").drop("hot", "n"), window, block_rows, block_nodes)
     lost = without_repeats(source, trees.unionByName(grown), window, keep_text)
 
     out = summary.join(firsts, "words_id", "left").join(lost, "k", "left")
