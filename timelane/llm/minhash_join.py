@@ -33,6 +33,8 @@ COORDINATES, MATCHES = 32, 8
 LEADERS = 2
 #: Rows of a posting that one block holds.
 BLOCK_ROWS = 2048
+#: Shingles hashed under all seeds at a time.
+STRETCH = 2048
 
 SIGNATURE = "doc_id bigint, k bigint, n_shingles bigint, set_id binary, tokens array<bigint>"
 
@@ -54,6 +56,19 @@ def shingle_sets(data, bounds, first: int, last: int, words: int) -> Iterator[np
         yield np.unique(mix(total + np.uint64(n)))
 
 
+def minima(s: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Per seed the minima of both halves of the hashes (each half is a hash function of its own), as one number.
+
+    All seeds at once, over ``STRETCH`` shingles at a time, so a long text needs no more memory.
+    """
+    found = np.full((len(seeds), 2), np.iinfo(np.uint32).max, dtype=np.uint32)
+    for at in range(0, len(s), STRETCH):
+        halves = mix(s[None, at : at + STRETCH] ^ seeds[:, None]).view(np.uint32)
+        for i in range(2):
+            np.minimum(found[:, i], halves[:, i::2].min(axis=1), out=found[:, i])
+    return found.view(np.uint64).ravel()
+
+
 def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> DataFrame:
     """Set size, set identity and tokens of every document."""
     seeds = mix(np.arange(1, coordinates + 1, dtype=np.uint64) * MIX_A)
@@ -67,10 +82,8 @@ def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> D
                     sizes.append(len(s))
                     ids.append(xxhash.xxh3_128_digest(s.tobytes()))
                     # The coordinate is part of the token, so tokens of different coordinates never meet.
-                    # Both halves of a hash are hash functions of their own.
-                    low = [mix(s ^ seed).view(np.uint32).reshape(-1, 2).min(axis=0) for seed in seeds] if len(s) else []
-                    pairs = np.array(low, dtype=np.uint32).reshape(-1, 2).view(np.uint64).ravel()
-                    tokens.append((pairs ^ seeds[: len(pairs)]).view(np.int64))
+                    own = seeds if len(s) else seeds[:0]
+                    tokens.append((minima(s, own) ^ own).view(np.int64))
                 flat = pa.array(np.concatenate(tokens))
                 offsets = pa.array(np.append(0, np.cumsum([len(t) for t in tokens])), pa.int32())
                 part = batch.slice(first, last - first)
