@@ -31,6 +31,8 @@ from timelane.llm.common import crc32_text, ngram_hash, read, slices, utf8_colum
 GRAMS, BITS, DIM, WINDOW = (3, 4, 5, 6), 16, 8, 3
 SAMPLE_ROWS, SAMPLE_CHARS = 1500, 8192
 STEPS, BATCH, RATE = 240, 512, 0.03
+#: Bytes of the sample split, and words summed, at a time in training.
+TRAIN_BYTES, TRAIN_WORDS = 1 << 18, 1 << 16
 #: Every so many-th text of the sample is kept from training and sets scale and bias of the score.
 CALIBRATION = 5
 FOLDS, THRESHOLD = 3, 0.7
@@ -93,13 +95,18 @@ class Bag:
 def train(texts: list[str], toxic: np.ndarray, window: int = WINDOW, seed: int = 7) -> Bag:
     rng = np.random.default_rng(seed)
     data, bounds = utf8_column(pa.array(texts, pa.string()))
-    parts = grams(data, bounds, 0, len(texts))
-    rows, n = next(parts)
-    found = list(parts)
-    bucket, word = (np.concatenate([f[i] for f in found]) for i in range(2))
-    order = np.argsort(word, kind="stable")
-    bucket = bucket[order]
-    at = np.searchsorted(word[order], np.arange(n + 1))
+    # Slice by slice, and two bytes per n-gram, so the driver's memory holds little more than the sample.
+    rows, bucket, counts = [np.zeros(1, dtype=np.int64)], [], []
+    for first, last in slices(bounds, TRAIN_BYTES):
+        parts = grams(data, bounds, first, last)
+        own, n = next(parts)
+        rows.append(own[1:] + rows[-1][-1])
+        found = list(parts)
+        buckets, words = (np.concatenate([np.zeros(0, np.int64), *[f[i] for f in found]]) for i in range(2))
+        bucket.append(buckets[np.argsort(words, kind="stable")].astype(np.uint16))
+        counts.append(np.bincount(words, minlength=n))
+    rows, bucket = np.concatenate(rows), np.concatenate(bucket)
+    n, at = int(rows[-1]), np.append(0, np.cumsum(np.concatenate(counts)))
     size = np.diff(rows)
     first = np.arange(n)
     stop = np.minimum(first + window, np.repeat(rows[1:], size))
@@ -119,8 +126,12 @@ def train(texts: list[str], toxic: np.ndarray, window: int = WINDOW, seed: int =
         if epoch == 0:
             chosen, target = np.append(some(bad, 4), some(good, 4)), np.repeat([1.0, 0.0], [4 * len(bad), 4 * len(good)])
         else:
-            value = np.append(0, np.cumsum((embedding @ weight)[bucket]))
-            means = (value[hi] - value[lo]) / np.maximum(1, hi - lo)
+            table, value = embedding @ weight, np.zeros(n + 1)
+            for x in range(0, n, TRAIN_WORDS):
+                y = min(n, x + TRAIN_WORDS)
+                sums = np.append(0, np.cumsum(table[bucket[at[x] : at[y]]]))
+                value[x + 1 : y + 1] = value[x] + sums[at[x + 1 : y + 1] - at[x]]
+            means = (value[stop] - value[first]) / np.maximum(1, hi - lo)
             worst = {int(d): rows[d] + int(np.argmax(means[rows[d] : rows[d + 1]])) for d in full}
             pos, neg = [worst[d] for d in bad], np.append(np.array([worst[d] for d in good]), some(good, 3))
             for d in bad:
