@@ -317,6 +317,26 @@ def test_html_cases(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        *[(f"<div class='{c}'><nav>n</nav><article><h1>T</h1><p>a</p></article><div>o</div></div>", "T\na") for c in ("with-sidebar", "no-sidebar", "has-header page", "page sidebar", "comments")],
+        ("<form id=aspnetForm><header>h</header><article>a</article><aside>s</aside></form>", "a"),
+        ("<main><form><article>a</article></form></main>", "a"),
+        ("<div id=header><div role=main>a</div></div>", "a"),
+        ("<article><div class='article-header'><h1>T</h1></div><div class='elementor-widget-container'>a</div><div class='header'>b</div></article>", "T\na\nb"),
+        ("<article><p>a</p><div class='text ad'>x</div><div class='ad-slot'>x</div><form>f</form><ol id=comments><li><article class='comment-body'>c</article></ol></article>", "a"),
+        ("<article>a</article><div id=comments><article class='comment-body'>c</article></div><aside><article>teaser</article></aside>", "a"),
+        ("<article>area <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here</article>", "area x=2 here"),
+        ("<div class='no-sidebar'>a</div><div class='sidebar'>s</div>", "a"),
+    ],
+)
+def test_html_names_are_whole_and_articles_stay(body, text):
+    found = html_text.lines_of(PAGE.format(body))
+    wanted = html_text.ARTICLE if any(z == html_text.ARTICLE for _, z in found) else html_text.OTHER
+    assert "\n".join(t for t, z in found if z == wanted) == text
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(60):
