@@ -382,6 +382,15 @@ def test_end_of_a_job_is_absorbing(spark):
     assert (got["stage"], got["status"], got["reports"], got["meta"]) == ("done", "completed", 2, {"x": "1", "y": "2"})
 
 
+def test_drain_sessions_end_at_their_cap(spark, split):
+    minute = 60_000_000
+    # 50 dense claims of one worker, 8 after a gap, one more; two claims of another at one time.
+    claims = [(1, i * minute, i) for i in range(50)] + [(1, (200 + i) * minute, 100 + i) for i in range(8)] + [(1, 300 * minute, 200), (2, 0, 1), (2, 0, 2)]
+    found = rows(queue.drain_sessions(spark.createDataFrame(claims[::-1], "worker bigint, at_us bigint, seq bigint"), split), "worker", "session_no", "start_us", "last_us", "claims", "ended_by")
+    dense = [(1, k + 1, 8 * k * minute, (8 * k + 7) * minute, 8, "cap") for k in range(6)] + [(1, 7, 48 * minute, 49 * minute, 2, "empty_queue")]
+    assert found == [*dense, (1, 8, 200 * minute, 207 * minute, 8, "cap"), (1, 9, 300 * minute, 300 * minute, 1, "empty_queue"), (2, 1, 0, 0, 2, "empty_queue")]
+
+
 def test_global_rank_needs_no_common_task(spark):
     data = [(i, "queued", f"2024-01-0{1 + i % 3} 00:00:0{i % 2}") for i in range(50)] + [(99, "failed", "2020-01-01 00:00:00")]
     df = spark.createDataFrame(data, "job_id bigint, status string, t string").select("job_id", "status", F.to_timestamp("t").alias("created_at"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.compare import connect, difference, duck_rows, spark_rows
 from timelane import session
 from timelane.plans import catalog
+from timelane.streaming import progress
 
 FOLDER = "/root/testdata/sf0.001"
 STREAMS = ["job_state_stream", "stage_counts_stream", "stalled_jobs_stream", "cache_dedup_stream", "drain_sessions_stream"]
@@ -27,6 +28,19 @@ def test_parts_give_the_same_rows(spark, parts, name):
     assert difference(found, duck_rows(connect(FOLDER), catalog.checks()[name])) is None
 
 
+@pytest.mark.parametrize("max_bytes", [None, 1])
+def test_sessions_end_at_their_cap(spark, tmp_path, max_bytes):
+    minute = 60_000_000
+    # 50 dense claims in two files, 8 after a gap, and one far behind that closes them.
+    for part in ([*range(0, 50, 2)], [*range(1, 50, 2), *range(200, 208)], [10_000]):
+        claims = spark.createDataFrame([(1, m * minute) for m in part], "worker bigint, at_us bigint")
+        claims.select("worker", F.timestamp_micros("at_us").alias("ts")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/claims.parquet")
+    stream = progress.report_stream(spark, str(tmp_path), "claims.parquet", "worker bigint, ts timestamp", max_bytes)
+    found = sorted(map(tuple, progress.drain(progress.drain_sessions_stream(stream), "capped").collect()))
+    dense = [(1, 8 * k * minute, (8 * k + 7) * minute, 8, "cap") for k in range(6)] + [(1, 48 * minute, 49 * minute, 2, "empty_queue")]
+    assert found == [*dense, (1, 200 * minute, 207 * minute, 8, "cap")]
+
+
 def test_no_table_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         catalog.queries()["stage_counts_stream"](spark, str(tmp_path)).count()

@@ -97,15 +97,20 @@ def schedule_gaps(runs: DataFrame, key: str, at_us: str, id_column: str, wanted_
 
 
 def drain_sessions(claims: DataFrame, split: bool | None = None) -> DataFrame:
-    """Runs of claims (worker, at_us, seq) less than an hour apart; a run ends at its cap or on an empty queue."""
+    """Runs of claims (worker, at_us, seq) less than an hour apart; a run ends at its cap of 8 or on an empty queue."""
     split = has_hot_key(claims, ["worker"]) if split is None else split
     chunk = clock_levels("at_us", "seq") if split else None
     order = [F.col("at_us"), F.col("seq")]
-    lagged = running(claims, ["worker"], order, [Run("_prev", "lag", F.col("at_us"))], chunk)
-    opens = (F.col("_prev").isNull() | (F.col("at_us") - F.col("_prev") >= SESSION_GAP_S * 1_000_000)).cast("bigint")
+    ranked = running(claims, ["worker"], order, [Run("_prev", "lag", F.col("at_us")), Run("_rank", "rank")], chunk)
+    after_gap = F.col("_prev").isNull() | (F.col("at_us") - F.col("_prev") >= SESSION_GAP_S * 1_000_000)
     if split:
-        lagged = stage(lagged, "claims")
-    numbered = running(lagged, ["worker"], order, [Run("session_no", "sum", opens)], chunk)
+        ranked = stage(ranked, "claims")
+    # The rank of the first claim since the last gap; every eighth claim from there opens a run.
+    headed = running(ranked, ["worker"], order, [Run("_head", "max", F.when(after_gap, F.col("_rank")))], chunk)
+    if split:
+        headed = stage(headed, "headed")
+    opens = ((F.col("_rank") - F.col("_head")) % DRAIN_SIZE == 0).cast("bigint")
+    numbered = running(headed, ["worker"], order, [Run("session_no", "sum", opens)], chunk)
     sessions = numbered.groupBy("worker", "session_no").agg(
         F.min("at_us").alias("start_us"), F.max("at_us").alias("last_us"), F.count(F.lit(1)).alias("claims")
     )

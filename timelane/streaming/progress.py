@@ -68,18 +68,23 @@ def cache_dedup_stream(requests: DataFrame, horizon: str = "6 hours") -> DataFra
 
 
 def drain_sessions_stream(claims: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Runs of claims per worker with less than an hour between, emitted once closed."""
-    return (
+    """Runs of claims per worker with less than an hour between, cut at their cap, emitted once the gap has closed them.
+
+    Claims may come in any order within the watermark, so a cut is known only then; the state keeps their times.
+    """
+    closed = (
         claims.withWatermark("ts", delay)
         .groupBy("worker", F.session_window("ts", f"{SESSION_GAP_S} seconds").alias("s"))
-        .agg(F.count(F.lit(1)).alias("claims"), F.max(F.unix_micros("ts")).alias("last_us"))
-        .select(
-            "worker",
-            F.unix_micros("s.start").alias("start_us"),
-            "last_us",
-            "claims",
-            F.when(F.col("claims") >= DRAIN_SIZE, "cap").otherwise("empty_queue").alias("ended_by"),
-        )
+        .agg(F.sort_array(F.collect_list(F.unix_micros("ts"))).alias("times"))
+    )
+    firsts = F.sequence(F.lit(1), F.size("times"), F.lit(DRAIN_SIZE))
+    runs = closed.select("worker", F.explode(F.transform(firsts, lambda i: F.slice("times", i, F.lit(DRAIN_SIZE)))).alias("run"))
+    return runs.select(
+        "worker",
+        F.array_min("run").alias("start_us"),
+        F.array_max("run").alias("last_us"),
+        F.size("run").cast("bigint").alias("claims"),
+        F.when(F.size("run") >= DRAIN_SIZE, "cap").otherwise("empty_queue").alias("ended_by"),
     )
 
 
