@@ -414,6 +414,28 @@ def test_plan_must_be_an_object(spark):
     assert rows(got, "job_id", "has_plan", "event_ord", "time_ms") == [(1, True, 1, 1500), (2, False, None, None), (3, True, None, None)]
 
 
+def test_job_documents_are_read_whole(spark):
+    docs = [
+        '{"job":{"id":"7d0c-a","reaction_plan":{"events":[{"time":"3.5","type":"smirk","intensity":0.25,"duration":"2.4"},{"time":"x","comment":"c"}]}},"assets":[{"id":"a-1","reaction_type":"neutral","enabled":true,"intensity_min":"0.1","extra":{"k":1}},{"id":2,"enabled":null}]}',
+        '{"job":{"id":"7d0c-b","reaction_plan":{"events":[{"time":1,"duration":3}]}}}',
+        '{"job":{"id":12},"assets":[]}',
+    ]
+    documents = spark.createDataFrame([(d,) for d in docs], "document string")
+    got = readers.read_jobs(documents).orderBy("job_ref", "event_ord").select("job_id", "job_ref", "event_ord", "time_ms", "intensity_m", "duration_ms", "comment")
+    assert [tuple(r) for r in got.collect()] == [(12, "12", None, None, None, None, None), (None, "7d0c-a", 1, 3500, 250, 2400, None), (None, "7d0c-a", 2, None, None, None, "c"), (None, "7d0c-b", 1, 1000, None, 3000, None)]
+    offered = readers.read_job_assets(documents).orderBy("asset_ord").select("job_ref", "asset_ord", "asset_ref", "reaction_type", "enabled", "intensity_min_m", F.get_json_object("asset", "$.extra.k"))
+    assert [tuple(r) for r in offered.collect()] == [("7d0c-a", 1, "a-1", "neutral", True, 100, "1"), ("7d0c-a", 2, "2", None, None, None, None)]
+
+
+def test_every_clip_is_registered_or_refused(spark):
+    clips = spark.createDataFrame(
+        [(1, "p", "smirk_a", "m", "fal", 2100, ("pingpong", 900)), (2, "p", "nope", "m", "fal", 2100, ("pingpong", 900)), (3, "p", None, "m", "fal", 2100, None)],
+        "asset_id bigint, persona string, preset string, model string, backend string, stored_ms bigint, loop struct<mode string, peak_ms bigint>",
+    )
+    assert rows(sinks.register_assets(clips), "asset_id") == [(1,)]
+    assert rows(sinks.refused_clips(clips), "asset_id", "stored_ms", "reason") == [(2, 2100, "unknown preset nope"), (3, 2100, "unknown preset NULL")]
+
+
 def test_partial_frame_is_dropped(spark):
     df = spark.createDataFrame([(1, list(range(10)))], "clip_id bigint, bytes array<int>")
     got = readers.explode_frames(df, 2, 2)

@@ -6,28 +6,28 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from timelane.functions.scalars import floor_div, half_up
 
-PLAN_EVENT = T.StructType(
-    [
-        T.StructField("time", T.DoubleType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("intensity", T.DoubleType()),
-        T.StructField("duration", T.DoubleType()),
-        T.StructField("comment", T.StringType()),
-    ]
-)
+# Ids and numbers are read as text: ids may be no numbers, and numbers may stand in quotes.
+PLAN_EVENT = T.StructType([T.StructField(n, T.StringType()) for n in ("time", "type", "intensity", "duration", "comment")])
 JOB_DOCUMENT = T.StructType(
     [
         T.StructField(
             "job",
             T.StructType(
                 [
-                    T.StructField("id", T.LongType()),
+                    T.StructField("id", T.StringType()),
                     T.StructField("status", T.StringType()),
                     T.StructField("source_url", T.StringType()),
                     T.StructField("reaction_plan", T.StructType([T.StructField("events", T.ArrayType(PLAN_EVENT))])),
                 ]
             ),
-        )
+        ),
+        T.StructField("assets", T.ArrayType(T.StringType())),
+    ]
+)
+JOB_ASSET = T.StructType(
+    [
+        T.StructField(n, T.StringType())
+        for n in ("id", "label", "persona", "reaction_type", "video_url", "enabled", "speech_ready", "intensity_min", "intensity_max")
     ]
 )
 WORD = T.StructType([T.StructField(n, T.StringType()) for n in ("text", "start", "end")])
@@ -65,26 +65,52 @@ def _millis(text: Column) -> Column:
 def read_jobs(documents: DataFrame, column: str = "document") -> DataFrame:
     """Claim documents to one row per plan event; jobs with an empty plan keep one row without an event.
 
-    A document whose plan is not an object has ``has_plan`` false.  Event times in seconds become ms.
+    A document whose plan is not an object has ``has_plan`` false.  Event times and durations in seconds become ms,
+    intensities thousandths.  ``job_ref`` is the id as written; ``job_id`` is NULL for one that is no whole number.
     """
     parsed = documents.select(F.from_json(column, JOB_DOCUMENT).alias("d")).select("d.job.*")
     rows = parsed.select(
-        F.col("id").alias("job_id"),
+        F.col("id").try_cast("bigint").alias("job_id"),
+        F.col("id").alias("job_ref"),
         "status",
         F.col("reaction_plan").isNotNull().alias("has_plan"),
         F.posexplode_outer("reaction_plan.events").alias("pos", "event"),
     )
     return rows.select(
         "job_id",
+        "job_ref",
         "status",
         "has_plan",
         (F.col("pos") + 1).cast("bigint").alias("event_ord"),
-        _millis(F.col("event.time").cast("string")).alias("time_ms"),
+        _millis(F.col("event.time")).alias("time_ms"),
         F.col("event.type").alias("type"),
+        _millis(F.col("event.intensity")).alias("intensity_m"),
+        _millis(F.col("event.duration")).alias("duration_ms"),
         F.col("event.comment").alias("comment"),
     )
 
 
+def read_job_assets(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Claim documents to one row per asset offered with the job, in library order; ``asset`` is its whole JSON text."""
+    parsed = documents.select(F.from_json(column, JOB_DOCUMENT).alias("d"))
+    rows = parsed.select(F.col("d.job.id").alias("job_ref"), F.posexplode("d.assets").alias("pos", "asset"))
+    return rows.withColumn("a", F.from_json("asset", JOB_ASSET)).select(
+        F.col("job_ref").try_cast("bigint").alias("job_id"),
+        "job_ref",
+        (F.col("pos") + 1).cast("bigint").alias("asset_ord"),
+        F.col("a.id").alias("asset_ref"),
+        "a.label",
+        "a.persona",
+        "a.reaction_type",
+        "a.video_url",
+        F.col("a.enabled").try_cast("boolean").alias("enabled"),
+        F.col("a.speech_ready").try_cast("boolean").alias("speech_ready"),
+        _millis(F.col("a.intensity_min")).alias("intensity_min_m"),
+        _millis(F.col("a.intensity_max")).alias("intensity_max_m"),
+        "asset",
+    )
+
+
 def asset_catalog(assets: DataFrame, persona: str, reaction_type: str, limit: int = 1) -> DataFrame:
     """Catalog lookup: both filters reach the scan, three columns leave it, first in library order."""
     return (

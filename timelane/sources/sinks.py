@@ -40,14 +40,24 @@ PRESETS = [
 ]
 
 
+def _presets(clips: DataFrame) -> DataFrame:
+    presets = clips.sparkSession.createDataFrame(PRESETS, "preset string, label string, reaction_type string, requested_s bigint")
+    return F.broadcast(presets)  # twelve fixed rows
+
+
+def refused_clips(clips: DataFrame) -> DataFrame:
+    """The clips that ``register_assets`` refuses, whole, with the reason."""
+    reason = F.concat(F.lit("unknown preset "), F.coalesce("preset", F.lit("NULL")))
+    return clips.join(_presets(clips), "preset", "left_anti").select(*clips.columns, reason.alias("reason"))
+
+
 def register_assets(clips: DataFrame) -> DataFrame:
     """Catalog rows for new clips (asset_id, persona, preset, model, backend, stored_ms, loop struct).
 
-    New clips start disabled and not speech-ready: nothing is played before a person has seen it.  Unknown
-    presets are refused by the inner join.
+    New clips start disabled and not speech-ready: nothing is played before a person has seen it.  Clips with an
+    unknown preset are refused; ``refused_clips`` has them.
     """
-    presets = clips.sparkSession.createDataFrame(PRESETS, "preset string, label string, reaction_type string, requested_s bigint")
-    named = clips.join(F.broadcast(presets), "preset")  # twelve fixed rows
+    named = clips.join(_presets(clips), "preset")
     priced = with_cost(named)
     path = F.concat_ws("/", F.lit("assets"), "persona", F.col("asset_id").cast("string"), F.concat("preset", F.lit(".mp4")))
     metadata = F.struct(
