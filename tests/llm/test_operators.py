@@ -403,6 +403,30 @@ def test_pseudonyms(spark):
     assert all(a not in str(out) for a in ("ann.01@", "555-2485", "29.217", "078-05", "1980-02-29", "12/25/2001"))
 
 
+def remainder_97(account):
+    bare = account.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97
+
+
+@pytest.mark.parametrize(
+    "before, value, after",
+    [
+        ("to ", "DE89 3704 0044 0532 0130 00", " of us"), ("", "GB82 WEST 1234 5698 7654 32", ""), ("", "BE68 5390 0754 7034", " ON 12 EUR"), ("", "DE89370400440532013000", " 12"),
+        ("at ", "2023-01-02", "T10:00"), ("", "1980-02-29", "T23:59:59.5+01:00"),
+        ("call ", "555 123 4567", ", now"), ("", "020 7946 0958", ""), ("", "01 42 68 53 00", "."), ("seat AT61 ", "4111 1111 1111 1111", ""),
+        ("password=", "aZ9" * 100, " end"), ("", "0a1b2c3d" * 16, ""), ("", "jo.do", "@" + "a." * 12 + "example.org"),
+    ],
+)
+def test_values_in_common_forms(spark, before, value, after):
+    (out,) = pii.pseudonymise(spark.createDataFrame([(1, before + value + after)], "doc_id int, text string")).first()[1:]
+    assert out.startswith(before) and out.endswith(after) and len(out) == len(before + value + after)
+    new = out[len(before) : len(out) - len(after)]
+    shape = [re.sub("[0-9]", "0", re.sub("[A-Za-z]", "a", x)) for x in (new, value)]
+    assert new != value and (shape[0] == shape[1] or re.fullmatch("[0-9a-f]{128}", new))
+    if re.match("[A-Z]{2}[0-9]{2}", value):
+        assert remainder_97(value) == 1 and remainder_97(new) == 1
+
+
 def test_dates_stay_different(spark):
     days = spark.range(4000).select(F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
     assert pii.pseudonymise(days).select(F.to_date("text").alias("d")).where("d IS NOT NULL").distinct().count() == 4000

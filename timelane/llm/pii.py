@@ -19,6 +19,9 @@ ip         octets to 255, first 1 to 223                          all four octet
 card       13 to 19 digits with Luhn check digit                  digits between the first and the check digit
 =========  =====================================================  ==============================================
 
+IBANs may have single blanks inside, ISO dates a time behind them, national phone numbers blanks (3-3-4 digits, or ten or
+eleven from 0 on).  Secrets of more than ``BLOCK`` characters are permuted block by block.
+
 Whatever is not valid stays as it is.  A null text stays null, an empty one empty; rows and other columns pass through,
 and repeated rows get equal texts.  A date with slashes is month first unless only day first is in the calendar.
 """
@@ -33,17 +36,30 @@ from timelane.llm.common import read
 
 KEY, ROUNDS = "pseudonyms", 8
 
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-SECRET = r"AKIA[0-9A-Z]{16}|password=[^\s\"']{1,128}|[0-9a-f]{32,64}"
-IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
-PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
+SECRET = r"AKIA[0-9A-Z]{16}|password=[^\s\"']+|[0-9a-f]{32,}"
+#: Account characters by country; with these a printed IBAN, single blanks inside, ends where it should.
+ACCOUNTS = {
+    11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH HR LI LV",
+    18: "BG BH CR DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "LY PT ST", 22: "IS TR",
+    23: "BI DJ FR GR IT MC MR SM", 24: "AL AZ BY CY DO GT HN HU LB NI PL SV", 25: "BR EG PS QA UA", 26: "JO KW MU YE", 27: "MT SC", 28: "LC", 29: "RU",
+}
+KNOWN = "|".join("|".join(c.split()) for c in ACCOUNTS.values())
+IBAN = (
+    r"(?=[A-Z]{2}[0-9]{2})(?:"
+    + "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, c in ACCOUNTS.items())
+    + rf"|(?!{KNOWN})[A-Z]{{2}}[0-9]{{2}}(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?|[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}})"
+)
+PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|0[1-9](?=(?: ?[0-9]){8,9}(?! ?[0-9]))[0-9]{0,3}(?: [0-9]{2,4}){2,4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 DATE = r"[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}"
 IP = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 KINDS = {"email": EMAIL, "secret": SECRET, "iban": IBAN, "phone": PHONE, "ssn": SSN, "date": DATE, "ip": IP, "card": CARD}
-#: A value starts and ends where no letter or digit goes on, and no number does behind a point.
-PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(KINDS.values()) + r")(?![\p{L}\p{N}]|\.[0-9])"
+#: A value starts and ends where no letter or digit goes on, and no number does behind a point; only a date may have a time behind it.
+PATTERN = r"(?<![\p{L}\p{N}])(?:(?:" + "|".join(KINDS.values()) + r")(?![\p{L}\p{N}]|\.[0-9])|[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}(?=[Tt][0-9]{2}))"
+#: Longer secrets are permuted block by block, as the work of one network grows with the square of its length.
+BLOCK = 128
 
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 #: Days of 400 years of the calendar, always the same number, as a product.
@@ -157,11 +173,30 @@ def remainder_97(text: Column) -> Column:
 
 
 def iban(m: Column, key: str) -> Column:
-    country, account = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.length(m) - 4)
-    ok = remainder_97(F.concat(account, F.substring(m, 1, 4))) == 1
-    moved = by_alphabet(account, classes, "iban", key)
-    whole = let(moved, lambda a: F.concat(country, F.lpad((98 - remainder_97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
-    return F.when(ok, whole).otherwise(m)
+    def write(bare: Column) -> Column:
+        country, account = F.substring(bare, 1, 2), F.substring(bare, F.lit(5), F.length(bare) - 4)
+        ok = remainder_97(F.concat(account, F.substring(bare, 1, 4))) == 1
+        moved = by_alphabet(account, classes, "iban", key)
+        whole = let(moved, lambda a: F.concat(country, F.lpad((98 - remainder_97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
+        # Behind a word that only looks like the head of an IBAN may stand a card.
+        other = F.when(m.rlike(f"^[A-Z]{{2}}[0-9]{{2}} {CARD}$"), behind(m, "^.{5}", lambda rest: card(rest, key))).otherwise(m)
+        return F.when(ok, let(whole, lambda w: around_blanks(m, w))).otherwise(other)
+
+    return let(F.replace(m, F.lit(" "), F.lit("")), write)
+
+
+def around_blanks(m: Column, bare: Column) -> Column:
+    """The characters of ``bare`` in the places of those of ``m`` that are no blanks."""
+
+    def write(cs: Column) -> Column:
+        place = lambda i: F.size(F.filter(F.slice(cs, F.lit(1), i + 1), lambda c: c != " "))
+        return F.array_join(F.transform(cs, lambda c, i: F.when(c == " ", c).otherwise(F.substring(bare, place(i), F.lit(1)))), "")
+
+    return let(chars(m), write)
+
+
+def in_blocks(text: Column, body: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), body), "")
 
 
 def ssn(m: Column, key: str) -> Column:
@@ -229,8 +264,8 @@ def pseudonym(m: Column, key: str) -> Column:
     hexed = lambda c, _: F.lit(HEX)
     return (
         F.when(is_kind["email"], F.concat(by_alphabet(local, classes, "email", key), F.substring(m, F.length(local) + 1, F.length(m))))
-        .when(m.rlike("^[0-9a-f]{32,64}$"), by_alphabet(m, hexed, "hex", key))
-        .when(is_kind["secret"], behind(m, "^(?:AKIA|password=)", lambda rest: by_alphabet(rest, classes, "secret", key)))
+        .when(m.rlike("^[0-9a-f]{32,}$"), in_blocks(m, lambda b: by_alphabet(b, hexed, "hex", key)))
+        .when(is_kind["secret"], behind(m, "^(?:AKIA|password=)", lambda rest: in_blocks(rest, lambda b: by_alphabet(b, classes, "secret", key))))
         .when(is_kind["iban"], iban(m, key))
         .when(is_kind["ssn"], ssn(m, key))
         .when(is_kind["date"], date(m, key))
