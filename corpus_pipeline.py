@@ -20,9 +20,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; of repeated rows one."""
+    """One document of each group of near copies; of repeated rows the first by their other columns.
+
+    Rows without a doc_id repeat nothing: each of them stays.
+    """
     kept = minhash_join.near_duplicates(docs).where("kept").select("k").distinct()
-    return docs.withColumn("k", row_key("doc_id", "text")).join(kept, "k").dropDuplicates(["k"]).select(*docs.columns)
+    marked = docs.withColumn("k", row_key("doc_id", "text")).withColumn("lone", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    row, others = F.struct(*docs.columns), [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min_by(row, F.to_json(F.struct(*others)) if others else F.lit(""))
+    return marked.join(kept, "k").groupBy("k", "lone").agg(first.alias("row")).select("row.*")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

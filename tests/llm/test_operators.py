@@ -459,3 +459,13 @@ def test_pipeline(spark):
     total = kept[4].agg(F.sum("length")).first()[0]
     whole = best_fit.pack(kept[3]).agg(F.sum("length")).first()[0]
     assert total == whole and json.dumps(sizes)
+
+
+def test_pipeline_keeps_rows_without_an_id(spark):
+    import corpus_pipeline
+
+    data = [(None, "same", "en", "a"), (None, "same", "de", "b"), (None, None, "en", "a"), (None, None, "en", "a"), (1, "one", "fr", "b"), (1, "one", "en", "b"), (1, "one", "en", "a"), (2, "two", None, None)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string")
+    wanted = sorted([*data[:4], (1, "one", "en", "a"), data[7]], key=repr)
+    for rows in (docs, docs.orderBy(F.desc("lang"))):
+        assert sorted(map(tuple, corpus_pipeline.near_duplicate_stage(spark, rows, FOLDER).collect()), key=repr) == wanted
