@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timelane.llm import best_fit, byte_bpe, embedding_lsh, html_text, minhash_join, permutation_index, pii, quality, substring_dedup, toxicity
+from timelane.llm import (
+    best_fit,
+    byte_bpe,
+    centroid_clusters,
+    embedding_lsh,
+    html_text,
+    line_dedup,
+    minhash_join,
+    periodic_runs,
+    permutation_index,
+    pii,
+    quality,
+    substring_dedup,
+    toxicity,
+)
 
 MODULES = {
     "op1_substring_dedup": substring_dedup,
@@ -19,6 +33,9 @@ MODULES = {
     "op8_html_extraction": html_text,
     "op9_pii_pseudonyms": pii,
     "op10_byte_bpe": byte_bpe,
+    "op11_periodic_runs": periodic_runs,
+    "op12_centroid_clusters": centroid_clusters,
+    "op13_line_dedup": line_dedup,
 }
 
 
