@@ -1,12 +1,16 @@
 """Streams read a table as one file or as a directory of parts, in any order, with the same answer."""
 
+import glob
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import connect, difference, duck_rows, spark_rows
 from timelane import session
-from timelane.plans import catalog
-from timelane.streaming import progress
+from timelane.operators import logs
+from timelane.plans import catalog, registry
+from timelane.streaming import ordered, progress
 
 FOLDER = "/root/testdata/sf0.001"
 STREAMS = ["job_state_stream", "stage_counts_stream", "stalled_jobs_stream", "cache_dedup_stream", "drain_sessions_stream"]
@@ -28,15 +32,106 @@ def test_parts_give_the_same_rows(spark, parts, name):
     assert difference(found, duck_rows(connect(FOLDER), catalog.checks()[name])) is None
 
 
+@pytest.fixture(scope="module")
+def in_time(spark, tmp_path_factory):
+    """The events table as four part files, one after another in time."""
+    folder = str(tmp_path_factory.mktemp("in-time"))
+    events = spark.read.parquet(f"{FOLDER}/events.parquet")
+    bounds = events.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.0)
+    cuts = [events.where(F.col("event_id") == int(b)).first().ts for b in bounds]
+    cuts = [None, *sorted(cuts), None]
+    for low, high in zip(cuts, cuts[1:]):
+        part = events.where((F.lit(low is None) | (F.col("ts") >= F.lit(low))) & (F.lit(high is None) | (F.col("ts") < F.lit(high))))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    assert spark.read.parquet(f"{folder}/events.parquet").count() == events.count()
+    return folder
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_one_file_per_batch_gives_the_same_rows(spark, in_time, monkeypatch, name):
+    monkeypatch.setattr(registry, "MAX_BYTES", 1)
+    found = spark_rows(catalog.queries()[name](spark, in_time))
+    assert found[1]
+    assert difference(found, duck_rows(connect(FOLDER), catalog.checks()[name])) is None
+
+
+HOUR = 3_600_000_000
+START = 1_000 * HOUR  # a stream starts with its watermark at 0
+
+
+def parts_of(spark, folder, name, parts, columns):
+    for part in parts:
+        rows = spark.createDataFrame(part, columns)
+        rows.withColumn("ts", F.timestamp_micros("at_us")).coalesce(1).write.mode("append").parquet(f"{folder}/{name}.parquet")
+    return progress.report_stream(spark, str(folder), f"{name}.parquet", f"{columns}, ts timestamp", 1)
+
+
+def test_requests_pass_again_after_the_horizon(spark, tmp_path):
+    # At 0, 7, 20 and 40 hours one passes; repeats at 5 and 12.9 do not; of two at one time the smaller number does.
+    def asked(no, hours, model="m"):
+        return no, START + int(hours * HOUR), model, None, "a", "p"
+
+    parts = [[asked(2, 0), asked(1, 0), asked(9, 0, None)], [asked(3, 5), asked(4, 7)], [asked(5, 20), asked(6, 12.9), asked(8, 20.5, None)], [asked(7, 40)], [asked(10, 100)]]
+    stream = parts_of(spark, tmp_path, "asked", parts, "request_no bigint, at_us bigint, model string, image string, audio string, prompt string")
+    rows = progress.drain(progress.cache_dedup_stream(stream, delay="8 hours"), "asked").collect()
+    assert sorted((r.request_no, r.at_us - START) for r in rows) == [(1, 0), (4, 7 * HOUR), (5, 20 * HOUR), (7, 40 * HOUR), (8, int(20.5 * HOUR)), (9, 0)]
+    assert len({r.cache_key for r in rows}) == 2
+
+
+def test_reports_in_any_order(spark, tmp_path):
+    """One shuffled file per batch, within a long watermark; the batch form's answer, late ends and patches included."""
+    rng = random.Random(8)
+    reports = []
+    for n in range(300):
+        status = rng.choice(["rendering"] * 9 + ["completed", "failed"])
+        patch = rng.choice([None, {}, {"a": str(n)}, {"a": str(n), "b": None}, {"b": "x"}])
+        reports.append((n % 7, START + rng.randrange(50) * 60_000_000, n, f"stage {n % 4}", status, patch))
+    columns = "job_id bigint, at_us bigint, seq bigint, stage string, status string, patch map<string,string>"
+    twin = logs.job_state(spark.createDataFrame(reports, columns)).collect()
+    rng.shuffle(reports)
+    stream = parts_of(spark, tmp_path, "reports", [reports[i::5] for i in range(5)], columns)
+    states = progress.drain(progress.job_state_stream(stream, delay="2 hours"), "reports")
+    plain = lambda rows: sorted((r.job_id, r.stage, r.status, r.reports, sorted((r.meta or {}).items(), key=repr)) for r in rows)
+    assert plain(progress.latest_version(states).collect()) == plain(twin)
+    assert states.where("version > 1").count()
+
+
+def test_state_of_a_worker_that_never_pauses(spark, tmp_path):
+    """Claims every second; what waits is no more than the watermark's ten minutes."""
+    parts = [[(1, START + s * 1_000_000, s) for s in range(at, at + 2_000)] for at in (0, 2_000)]
+    stream = parts_of(spark, tmp_path, "claimed", parts, "worker bigint, at_us bigint, seq bigint")
+    rows = progress.drain(progress.drain_sessions_stream(stream, delay="10 minutes"), "restless").collect()
+    closed = (3_999 - 600 + 1) // 8
+    assert sorted(map(tuple, rows)) == [(1, START + 8_000_000 * k, START + 8_000_000 * k + 7_000_000, 8, "cap") for k in range(closed)]
+    (state,) = glob.glob(f"{session.shared_folder(spark)}/timelane-restless-*/progress")
+    waiting = spark.read.format("statestore").option("path", state).option("stateVarName", "waiting").load()
+    assert waiting.count() <= 601
+
+
+def test_long_waits_are_read_in_stretches(monkeypatch):
+    class Waiting(list):
+        get = list.__iter__
+
+    monkeypatch.setattr(ordered, "SORTED_ROWS", 5)
+    rng = random.Random(2)
+    rows = [(rng.randrange(20 * ordered.STRETCH_US), n) for n in range(100)] + [(7, n) for n in range(20)]
+    rng.shuffle(rows)
+    held = ordered.CappedRuns(1, 8)
+    held.waiting = Waiting(rows)
+    assert list(held.in_order()) == sorted(rows)
+    assert list(held.in_order(9 * ordered.STRETCH_US)) == [r for r in sorted(rows) if r[0] <= 9 * ordered.STRETCH_US]
+
+
 @pytest.mark.parametrize("max_bytes", [None, 1])
 def test_sessions_end_at_their_cap(spark, tmp_path, max_bytes):
     minute = 60_000_000
     # 50 dense claims in two files, 8 after a gap, and one far behind that closes them.
     for part in ([*range(0, 50, 2)], [*range(1, 50, 2), *range(200, 208)], [10_000]):
-        claims = spark.createDataFrame([(1, m * minute) for m in part], "worker bigint, at_us bigint")
-        claims.select("worker", F.timestamp_micros("at_us").alias("ts")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/claims.parquet")
-    stream = progress.report_stream(spark, str(tmp_path), "claims.parquet", "worker bigint, ts timestamp", max_bytes)
-    found = sorted(map(tuple, progress.drain(progress.drain_sessions_stream(stream), "capped").collect()))
+        claims = spark.createDataFrame([(1, START + m * minute, m) for m in part], "worker bigint, at_us bigint, seq bigint")
+        claims.select("worker", "seq", F.timestamp_micros("at_us").alias("ts")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/claims.parquet")
+    stream = progress.report_stream(spark, str(tmp_path), "claims.parquet", "worker bigint, seq bigint, ts timestamp", max_bytes)
+    found = progress.drain(progress.drain_sessions_stream(stream), "capped").collect()
+    found = sorted((r.worker, r.start_us - START, r.last_us - START, r.claims, r.ended_by) for r in found)
     dense = [(1, 8 * k * minute, (8 * k + 7) * minute, 8, "cap") for k in range(6)] + [(1, 48 * minute, 49 * minute, 2, "empty_queue")]
     assert found == [*dense, (1, 200 * minute, 207 * minute, 8, "cap")]
 

@@ -22,8 +22,18 @@ WHERE e IS NULL OR struct_pack(a := at_us, s := seq) <= e""",
     o_hits="SELECT request_no, cache_key, n > 1 AS hit, CASE WHEN n > 1 THEN seconds * 112000 ELSE 0 END AS saved_micro FROM (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY request_no) AS n FROM o_cache) AS q",
     o_sessions="""
 SELECT worker, session_no, min(at_us) AS start_us, max(at_us) AS last_us, count(*) AS claims, CASE WHEN count(*) >= 8 THEN 'cap' ELSE 'empty_queue' END AS ended_by FROM (
-  SELECT *, CAST(sum(CASE WHEN prev IS NULL OR at_us - prev >= 3600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY worker ORDER BY at_us, seq) AS BIGINT) AS session_no FROM (
-    SELECT user_id AS worker, event_id AS seq, epoch_us(ts) AS at_us, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events) AS a) AS b GROUP BY worker, session_no""",
+  SELECT *, CAST(sum(CASE WHEN (place - 1) % 8 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY worker ORDER BY at_us, seq) AS BIGINT) AS session_no FROM (
+    SELECT *, row_number() OVER (PARTITION BY worker, gap_no ORDER BY at_us, seq) AS place FROM (
+      SELECT *, sum(CASE WHEN prev IS NULL OR at_us - prev >= 3600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY worker ORDER BY at_us, seq) AS gap_no FROM (
+        SELECT *, lag(at_us) OVER (PARTITION BY worker ORDER BY at_us, seq) AS prev FROM fx_claims) AS a) AS b) AS c) AS d GROUP BY worker, session_no""",
+    o_requests="""
+SELECT request_no, at_us, sha1(concat(model, '::', image, '::', audio, '::', prompt)) AS cache_key FROM fx_requests
+WHERE at_us <= (SELECT max(at_us) // 1000 - 28800000 FROM fx_requests) * 1000""",
+    o_passed="""
+SELECT cache_key, min(struct_pack(a := at_us, n := request_no)) AS p FROM o_requests GROUP BY cache_key
+UNION ALL
+SELECT r.cache_key, min(struct_pack(a := r.at_us, n := r.request_no)) AS p
+FROM o_passed JOIN o_requests r ON r.cache_key = o_passed.cache_key AND r.at_us >= o_passed.p.a + 21600000000 GROUP BY r.cache_key, o_passed.p""",
     o_stalled="""
 SELECT job_id, kind, first_us, deadline_us FROM (
   SELECT *, first_us + CASE kind WHEN 'avatar' THEN 900 WHEN 'lipsync' THEN 600 WHEN 'generation' THEN 1200 ELSE 1500 END * 1000000 AS deadline_us FROM (
@@ -112,17 +122,18 @@ SELECT stage, count(*) AS reports, CAST(percentile_disc(0.5) WITHIN GROUP (ORDER
   SELECT stage, (lead(at_us) OVER (PARTITION BY job_id ORDER BY at_us, seq) - at_us) // 1000 AS ms FROM o_progress) AS q WHERE ms IS NOT NULL GROUP BY stage""",
     "stage_counts": "SELECT at_us // 300000000 * 300 AS window_start_s, stage, count(*) AS reports FROM o_progress GROUP BY ALL",
     "stalled_jobs": "SELECT * FROM o_stalled",
-    # Streams: windows and sessions still open behind the one-hour watermark are not emitted.
+    # Streams: windows, sessions and requests behind the watermark (one, two, eight hours) are not emitted.
     "job_state_stream": """
 SELECT job_id, arg_max(stage, struct_pack(a := at_us, s := seq)) AS stage, arg_max(status, struct_pack(a := at_us, s := seq)) AS status, count(*) AS reports, arg_max(k, struct_pack(a := at_us, s := seq)) AS k FROM o_live GROUP BY job_id""",
     "stage_counts_stream": """
 SELECT * FROM (SELECT at_us // 300000000 * 300 AS window_start_s, stage, count(*) AS reports FROM o_progress GROUP BY ALL) AS q
 WHERE (window_start_s + 300) * 1000 <= (SELECT max(at_us) // 1000 - 3600000 FROM o_progress)""",
-    # One file is one micro-batch, so no key expires within it.
-    "cache_dedup_stream": "SELECT DISTINCT cache_key FROM o_cache",
+    "cache_dedup_stream": "SELECT cache_key, p.n AS request_no, p.a AS at_us FROM o_passed",
     "stalled_jobs_stream": "SELECT * FROM o_stalled WHERE deadline_us // 1000 < (SELECT max(at_us) // 1000 - 3600000 FROM o_progress)",
+    # A run of eight is known once the watermark has passed it, any other once the gap after it has gone by.
     "drain_sessions_stream": """
-SELECT worker, start_us, last_us, claims, ended_by FROM o_sessions WHERE (last_us + 3600000000) // 1000 <= (SELECT max(epoch_us(ts)) // 1000 - 3600000 FROM events)""",
+SELECT worker, start_us, last_us, claims, ended_by FROM o_sessions
+WHERE last_us + CASE ended_by WHEN 'cap' THEN 0 ELSE 3600000000 END <= (SELECT max(at_us) // 1000 - 7200000 FROM fx_claims) * 1000""",
 }
 
 

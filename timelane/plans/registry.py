@@ -21,7 +21,7 @@ from timelane.operators import (
 from timelane.plans import render
 from timelane.session import stage, tune
 from timelane.sources import readers, sinks
-from timelane.sources.derived import Entities
+from timelane.sources.derived import Entities, claims, requests
 from timelane.streaming import progress as S
 
 Query = Callable[[Entities], DataFrame]
@@ -586,10 +586,7 @@ def schedule_gaps(e):
 
 @query
 def drain_sessions(e):
-    claims = e.table("events").select(
-        F.col("user_id").alias("worker"), F.col("event_id").alias("seq"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us")
-    )
-    return K.drain_sessions(claims, e.hot("events", "user_id"))
+    return K.drain_sessions(claims(e.table("events")))
 
 
 # ---------------------------------------------------------------- logs, caches, progress
@@ -661,8 +658,12 @@ def stalled_jobs(e):
 
 # ---------------------------------------------------------------- streams over the event file
 
+#: Bytes per micro-batch; None reads everything available as one.
+MAX_BYTES = None
+
+
 def _event_stream(e):
-    return S.report_stream(e.spark, e.folder, "events.parquet", e.table("events").schema)
+    return S.report_stream(e.spark, e.folder, "events.parquet", e.table("events").schema, MAX_BYTES)
 
 
 def _progress_stream(e):
@@ -696,18 +697,12 @@ def stalled_jobs_stream(e):
 
 @query
 def cache_dedup_stream(e):
-    n = F.col("event_id")
-    requests = _event_stream(e).select(
-        "ts", n.alias("request_no"),
-        F.concat(F.lit("model-"), (n % 3).cast("string")).alias("model"),
-        F.concat(F.lit("img-"), F.col("user_id").cast("string")).alias("image"),
-        F.concat(F.lit("aud-"), "event_type").alias("audio"),
-        F.lit("hold still").alias("prompt"),
-    )
-    return S.drain(S.cache_dedup_stream(requests), "dedup").select("cache_key")
+    # Requests come again up to seven hours after their event.
+    asked = requests(_event_stream(e)).withColumn("ts", F.timestamp_micros("at_us"))
+    return S.drain(S.cache_dedup_stream(asked, delay="8 hours"), "dedup").select("cache_key", "request_no", "at_us")
 
 
 @query
 def drain_sessions_stream(e):
-    claims = _event_stream(e).select(F.col("user_id").alias("worker"), "ts")
-    return S.drain(S.drain_sessions_stream(claims), "sessions")
+    made = claims(_event_stream(e)).withColumn("ts", F.timestamp_micros("at_us"))
+    return S.drain(S.drain_sessions_stream(made, delay="2 hours"), "sessions")

@@ -105,8 +105,18 @@ _WORD_LENGTHS = """job_id, ord, text, 120 + 40 * (length(text) % 8) AS dur,
 _CELL_COLUMNS = """clip_id, frame_no, cell, cell % 8 AS x, CAST(floor(cell / 8) AS INT) AS y, v,
        (v * 3) % 256 AS r, (v * 5) % 256 AS g, (v * 7) % 256 AS b, (v * 11) % 256 AS alpha"""
 
+#: A tenth of the claims opens a burst of up to 23, two and a half minutes apart; a tenth of the requests comes again.
+BURST_STEP_US = 150_000_000
+REPEATED_AFTER_H = (0, 2, 5, 7)
+
 # Spellings for an engine without Spark's explode; used by the result checks only.
 SEQUENCED_SQL = {
+    "fx_claims": f"""
+SELECT user_id AS worker, event_id * 64 + i AS seq, epoch_us(ts) + i * {BURST_STEP_US} AS at_us
+FROM events, LATERAL unnest(range(CASE WHEN event_id % 10 = 0 THEN 1 + event_id % 23 ELSE 1 END)) AS t(i)""",
+    "fx_requests": f"""
+SELECT event_id * 8 + h AS request_no, epoch_us(ts) + h * 3600000000 AS at_us, model, image, audio, prompt
+FROM events JOIN fx_cache ON request_no = event_id, LATERAL unnest(CASE WHEN event_id % 10 = 0 THEN {list(REPEATED_AFTER_H)} ELSE [0] END) AS t(h)""",
     "fx_events": f"""
 SELECT {_EVENT_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS event_ord FROM lineitem) AS n""",
     "fx_words": f"""
@@ -124,6 +134,28 @@ SELECT {_CELL_COLUMNS} FROM (
 }
 
 
+def claims(events: DataFrame) -> DataFrame:
+    """(worker, seq, at_us) of an event table or stream."""
+    n = F.col("event_id")
+    size = F.when(n % 10 == 0, 1 + n % 23).otherwise(1)
+    spread = events.select("user_id", n, "ts", F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1)).alias("i"))
+    return spread.select(F.col("user_id").alias("worker"), (n * 64 + F.col("i")).alias("seq"), (F.unix_micros(F.col("ts").cast("timestamp")) + F.col("i") * BURST_STEP_US).alias("at_us"))
+
+
+def requests(events: DataFrame) -> DataFrame:
+    """(request_no, at_us, model, image, audio, prompt) of an event table or stream."""
+    n = F.col("event_id")
+    hours = F.when(n % 10 == 0, F.array(*map(F.lit, REPEATED_AFTER_H))).otherwise(F.array(F.lit(0)))
+    return events.select(n, "ts", "user_id", "event_type", F.explode(hours).alias("h")).select(
+        (n * 8 + F.col("h")).alias("request_no"),
+        (F.unix_micros(F.col("ts").cast("timestamp")) + F.col("h") * F.lit(3_600_000_000)).alias("at_us"),
+        F.concat(F.lit("model-"), (n % 3).cast("string")).alias("model"),
+        F.concat(F.lit("img-"), F.col("user_id").cast("string")).alias("image"),
+        F.concat(F.lit("aud-"), "event_type").alias("audio"),
+        F.lit("hold still").alias("prompt"),
+    )
+
+
 class Entities:
     """Lazy entity tables over one folder of Parquet files."""
 

@@ -16,7 +16,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from timelane.operators.logs import DEADLINES_S, TERMINAL
 from timelane.operators.queue import DRAIN_SIZE, SESSION_GAP_S
 from timelane.session import shared_folder
+from timelane.streaming.ordered import CappedRuns, FirstPerHorizon, Followed
 
+# Fixed value: how long a result is reused.
+CACHE_HORIZON_S = 6 * 3600
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -61,77 +64,39 @@ def stage_counts_stream(progress: DataFrame, minutes: int = 5, delay: str = "1 h
     )
 
 
-def cache_dedup_stream(requests: DataFrame, horizon: str = "6 hours") -> DataFrame:
-    """First request per cache key passes; repeats within the horizon are dropped."""
+def cache_dedup_stream(requests: DataFrame, horizon_s: int = CACHE_HORIZON_S, delay: str = "1 hour") -> DataFrame:
+    """Requests (ts, request_no, model, image, audio, prompt) without repeats of a cache key.
+
+    A request passes unless one of its key has passed less than the horizon before it.  It is let through once the
+    watermark has passed it, as one that comes later may still have been before it.
+    """
     key = F.sha1(F.concat_ws("::", *[F.coalesce(c, F.lit("\x00")) for c in ("model", "image", "audio", "prompt")]))
-    return requests.withColumn("cache_key", key).withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["cache_key"])
+    keyed = requests.withWatermark("ts", delay).select(
+        F.unix_micros("ts").alias("at_us"), F.col("request_no").cast("bigint").alias("request_no"), key.alias("cache_key"), "model", "image", "audio", "prompt", "ts"
+    )
+    schema = "at_us bigint, request_no bigint, cache_key string, model string, image string, audio string, prompt string, ts timestamp"
+    return keyed.groupBy("cache_key").transformWithState(FirstPerHorizon(schema, horizon_s * 1_000_000), schema, "append", "EventTime")
 
 
 def drain_sessions_stream(claims: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Runs of claims per worker with less than an hour between, cut at their cap, emitted once the gap has closed them.
+    """Runs of claims (worker, ts, seq) per worker with less than an hour between, cut at their cap.
 
-    Claims may come in any order within the watermark, so a cut is known only then; the state keeps their times.
+    Claims may come in any order within the watermark.  A run is emitted once the watermark has passed its last claim
+    of eight or the gap after it, so the state is one open run and the claims behind the watermark.
     """
-    closed = (
-        claims.withWatermark("ts", delay)
-        .groupBy("worker", F.session_window("ts", f"{SESSION_GAP_S} seconds").alias("s"))
-        .agg(F.sort_array(F.collect_list(F.unix_micros("ts"))).alias("times"))
-    )
-    firsts = F.sequence(F.lit(1), F.size("times"), F.lit(DRAIN_SIZE))
-    runs = closed.select("worker", F.explode(F.transform(firsts, lambda i: F.slice("times", i, F.lit(DRAIN_SIZE)))).alias("run"))
-    return runs.select(
-        "worker",
-        F.array_min("run").alias("start_us"),
-        F.array_max("run").alias("last_us"),
-        F.size("run").cast("bigint").alias("claims"),
-        F.when(F.size("run") >= DRAIN_SIZE, "cap").otherwise("empty_queue").alias("ended_by"),
-    )
+    clocked = claims.withWatermark("ts", delay).select("worker", F.unix_micros("ts").alias("at_us"), F.col("seq").cast("bigint").alias("seq"), "ts")
+    return clocked.groupBy("worker").transformWithState(CappedRuns(SESSION_GAP_S * 1_000_000, DRAIN_SIZE), CappedRuns.schema, "append", "EventTime")
 
 
 def job_state_stream(progress: DataFrame, delay: str = "1 hour", keep_s: int = 7 * 86_400) -> DataFrame:
     """A new version of a job's state per micro-batch: stage, status, reports, merged patch, absorbing end.
 
-    State per job is its last stage, its counters, its end and one value per patch key with the time it was set, so a
-    report that comes late, but within the watermark, still counts and sets what no later report has set.  A job's state
-    goes ``keep_s`` of event time after its last report.
+    A report that comes late, but within the watermark, takes its place: it counts, it sets what no later report has
+    set, and a terminal one takes back what came after it.  A job's state goes ``keep_s`` of event time after its last
+    report.
     """
-    schema = "job_id bigint, version bigint, stage string, status string, reports bigint, meta map<string,string>"
-    state_schema = "at_us bigint, seq bigint, end_us bigint, end_seq bigint, version bigint, stage string, status string, reports bigint, meta map<string,string>, meta_us map<string,bigint>, meta_seq map<string,bigint>"
-    never = 1 << 62
-
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known = state.get if state.exists else (-1, -1, never, never, 0, None, None, 0, {}, {}, {})
-        last, end, version, stage, status, reports = (known[0], known[1]), (known[2], known[3]), *known[4:8]
-        meta, meta_us, meta_seq = (dict(m) for m in known[8:])
-        before = reports
-        # A group's rows of one micro-batch arrive in pieces; order them by time before they are applied.
-        rows = pd.concat(batches).sort_values(["at_us", "seq"], kind="stable")
-        for at_us, seq, new_stage, new_status, patch in zip(*[rows[c].tolist() for c in ("at_us", "seq", "stage", "status", "patch")]):
-            place = (at_us, seq)
-            if place > end:
-                continue
-            reports += 1
-            if new_status in TERMINAL:
-                end = place
-            if place >= last:
-                last, stage, status = place, new_stage, new_status
-            for name, value in dict(patch or {}).items():
-                if place >= (meta_us.get(name, -1), meta_seq.get(name, -1)):
-                    meta[name], meta_us[name], meta_seq[name] = value, at_us, seq
-        if reports > before:
-            version += 1
-            state.update((*last, *end, version, stage, status, reports, meta, meta_us, meta_seq))
-            yield pd.DataFrame(
-                [{"job_id": key[0], "version": version, "stage": stage, "status": status, "reports": reports, "meta": meta}]
-            )
-        if state.exists:
-            state.setTimeoutTimestamp(max(last[0] // 1000 + keep_s * 1000, state.getCurrentWatermarkMs() + 1))
-
-    reports = progress.withWatermark("ts", delay).select("job_id", "ts", "at_us", "seq", "stage", "status", "patch")
-    return reports.groupBy("job_id").applyInPandasWithState(follow, schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    reports = progress.withWatermark("ts", delay).select("job_id", "ts", "at_us", F.col("seq").cast("bigint").alias("seq"), "stage", "status", F.to_json("patch", {"ignoreNullFields": "false"}).alias("patch"))
+    return reports.groupBy("job_id").transformWithState(Followed(TERMINAL, keep_s * 1_000_000), Followed.schema, "append", "EventTime")
 
 
 def latest_version(states: DataFrame) -> DataFrame:
