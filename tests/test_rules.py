@@ -208,12 +208,25 @@ def test_cyclic_fill_matches_the_sequential_rule(spark, split):
     assert rows(got, "job_id", "gap_no", "chunk_no", "asset_id", "start_ms", "duration_ms") == sorted(want)
 
 
-def test_pool_larger_than_one_array_is_cut_where_no_job_reaches(spark, monkeypatch):
-    monkeypatch.setattr(timeline, "POOL_ROWS", 3)
+@pytest.mark.parametrize("piece_ms", [2_000, 1 << 18])
+def test_pools_lie_in_pieces(spark, monkeypatch, piece_ms, split):
+    monkeypatch.setattr(timeline, "TAPE_MS", piece_ms)
     assets = spark.createDataFrame([asset(i, "neutral", length=1000 + i) for i in range(1, 40)], ASSETS)
-    gaps = spark.createDataFrame([(1, "p", 1, 0, 3500), (1, "p", 2, 5000, 7100)], "job_id bigint, persona string, gap_no bigint, gap_start_ms bigint, gap_end_ms bigint")
-    got = rows(timeline.fill_gaps_cyclic(gaps, assets), "start_ms", "duration_ms", "asset_id")
-    assert got == [(0, 1001, 1), (1001, 1002, 2), (2003, 1003, 3), (3006, 494, 4), (5000, 1005, 5), (6005, 1006, 6), (7011, 89, 7)]
+    gaps = [(1, "p", 1, 0, 3500), (1, "p", 2, 5000, 7100), *((2, "p", n, 10_000 * n, 10_000 * n + 9_000) for n in range(1, 30)), (3, "p", 1, 0, 200_000)]
+    df = spark.createDataFrame(gaps, "job_id bigint, persona string, gap_no bigint, gap_start_ms bigint, gap_end_ms bigint")
+    got = rows(timeline.fill_gaps_cyclic(df, assets, split), "job_id", "start_ms", "duration_ms", "asset_id")
+    assert got[:7] == [(1, 0, 1001, 1), (1, 1001, 1002, 2), (1, 2003, 1003, 3), (1, 3006, 494, 4), (1, 5000, 1005, 5), (1, 6005, 1006, 6), (1, 7011, 89, 7)]
+    want, turn = [], {2: 0, 3: 0}
+    for job, _, _, at, end in gaps[2:]:
+        while end - at > 40:
+            number = turn[job] % 39 + 1
+            want.append((job, at, min(end - at, 1000 + number), number))
+            at, turn[job] = at + want[-1][2], turn[job] + 1
+    assert got[7:] == want
+    reached = timeline._with_reach(
+        spark.createDataFrame([(1, "p", 0, 3500, 1)], "job_id bigint, persona string, chunk bigint, _need bigint, _needs bigint"), timeline.cycle_tape(timeline.neutral_pool(assets))
+    ).first()
+    assert len(reached.clips) == (6 if piece_ms == 2_000 else 39)
 
 
 def test_carriers_cover_a_line_or_are_flagged(spark, split):

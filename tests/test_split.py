@@ -3,6 +3,7 @@
 import pytest
 
 from tests.compare import connect, difference, duck_rows, spark_rows
+from timelane.functions import folds
 from timelane.functions.skew import Limits
 from timelane.plans import catalog
 
@@ -42,6 +43,7 @@ def duck():
 def small_limits(monkeypatch):
     monkeypatch.setattr(Limits, "split_rows", 2)
     monkeypatch.setattr(Limits, "chunk_rows", 7)
+    monkeypatch.setattr(folds, "FAN", 2)
 
 
 @pytest.mark.parametrize("name", SPLITTING)

@@ -2,8 +2,8 @@
 
 A rule such as "start a new line when five words are full" depends on where the previous line started, so it
 is no running sum.  Its state at a chunk boundary is one small integer, though.  Each chunk can therefore be
-reduced on its own to a table "state on entry -> state on exit", the tables of one key are chained in order
-(one small row per chunk), and a second pass solves every chunk with its real entry state.
+reduced on its own to a table "state on entry -> state on exit", the tables of one key are chained level by level, and
+a second pass solves every chunk with its real entry state.
 """
 
 from __future__ import annotations
@@ -13,7 +13,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType
+
+from timelane.functions.scalars import floor_div
+from timelane.session import stage
+
+#: Chunks that are chained at once.
+FAN = 64
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
@@ -51,28 +56,24 @@ def group_starts(frame: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
 def chain_entries(steps: DataFrame, key: str, index: str = "chunk") -> DataFrame:
     """Entry state of every chunk from the tables ``steps(key, index, step array)`` of its predecessors.
 
-    One row per chunk, streamed in order with one integer of state, so even a key with very many chunks
-    needs no memory.  A key starts in state 0.
+    A key starts in state 0 and its tables are numbered from 0 without gaps.  Composing tables is associative, so they
+    are chained in a tree: ``FAN`` neighbours become one table, those are chained the same way, and what enters a group
+    is then led through its own tables.  No task meets more than ``FAN`` chunks of a key at once.
     """
-    schema = steps.select(key, F.col(index).cast("bigint").alias(index)).schema
-
-    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, 0
-        for batch in batches:
-            keys, chunks, entries = [], [], []
-            for k, i, step in zip(batch[key], batch[index], batch["step"]):
-                if k != current:
-                    current, state = k, 0
-                state = int(step[state])
-                keys.append(k)
-                chunks.append(i + 1)
-                entries.append(state)
-            if keys:
-                yield pd.DataFrame({key: keys, index: chunks, "entry": entries})
-
-    return (
-        steps.select(key, F.col(index).cast("bigint").alias(index), "step")
-        .repartition(key)
-        .sortWithinPartitions(key, index)
-        .mapInPandas(follow, schema.add("entry", LongType()))
+    fan = FAN
+    steps = stage(steps.select(key, F.col(index).cast("bigint").alias(index), "step"), "steps")
+    group = floor_div(F.col(index), fan)
+    tables = steps.groupBy(key, group.alias("_group")).agg(F.array_sort(F.collect_list(F.struct(index, "step"))).alias("_tables"))
+    if (steps.agg(F.max(index)).first()[0] or 0) < fan:
+        entered = tables.withColumn("entry", F.lit(0).cast("bigint"))
+    else:
+        through = F.aggregate(F.slice("_tables", 2, fan), F.col("_tables")[0]["step"], lambda whole, t: F.transform(whole, lambda state: F.get(t["step"], state.cast("int"))))
+        above = chain_entries(tables.select(key, F.col("_group").alias(index), through.alias("step")), key, index)
+        entered = tables.join(above.withColumnRenamed(index, "_group"), [key, "_group"], "left").withColumn("entry", F.coalesce("entry", F.lit(0).cast("bigint")))
+    states = F.aggregate(
+        "_tables",
+        F.array(F.struct((F.col("_group") * fan).alias(index), F.col("entry").alias("entry"))),
+        lambda found, t: F.concat(found, F.array(F.struct((t[index] + 1).alias(index), F.get(t["step"], F.element_at(found, -1)["entry"].cast("int")).alias("entry")))),
     )
+    # The state on a group's first chunk comes from the group before it.
+    return entered.select(key, F.explode(F.slice(states, 2, fan)).alias("_state")).select(key, f"_state.{index}", "_state.entry")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from bisect import bisect_left
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -30,8 +30,8 @@ BED_TOLERANCE = 50
 MIN_SEGMENT = 120
 FRAMES_PER_SECOND = 30
 
-# A persona's pool up to this size is handed to a task as one array.
-POOL_ROWS = 10_000
+# Length of the pieces in which a pool is handed to the jobs that reach them.
+TAPE_MS = 1 << 18
 
 
 # ---------------------------------------------------------------- nearest asset
@@ -174,19 +174,14 @@ def open_gaps(placed: DataFrame, jobs: DataFrame, split: bool = False) -> DataFr
 
 # ---------------------------------------------------------------- round robin over a pool
 
-def largest_pool(pool: DataFrame) -> int:
-    """Clips of the best supplied persona: one number, which decides how pools are handled."""
-    return pool.groupBy("persona").count().agg(F.max("count")).first()[0] or 0
-
-
-def cycle_tape(pool: DataFrame, largest: int) -> DataFrame:
+def cycle_tape(pool: DataFrame) -> DataFrame:
     """Number a persona's clips in library order with the time before each, the pool size and the cycle length."""
     length = clip_length()
     sized = pool.select(
         "persona", "asset_ord", "asset_id", F.when(length > 0, length).otherwise(F.lit(DEFAULT_LOOP)).cast("bigint").alias("clip_ms")
     )
     runs = [Run("_rank", "rank"), Run("before_ms", "sum_before", F.col("clip_ms"))]
-    split = largest > Limits.split_rows
+    split = has_hot_key(pool, ["persona"])
     laid = running(sized, ["persona"], [F.col("asset_ord")], runs, [[block_of("asset_ord")]] if split else None)
     if split:
         totals = sized.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"), F.sum("clip_ms").alias("cycle_ms"))
@@ -201,125 +196,145 @@ def cycle_tape(pool: DataFrame, largest: int) -> DataFrame:
     )
 
 
-def _tape_arrays(tape: DataFrame, needs: DataFrame, largest: int) -> DataFrame:
-    """Clip lengths of a persona as one array.
+def _with_reach(grouped: DataFrame, tape: DataFrame) -> DataFrame:
+    """Rows with the clips (lengths, in order) that they can reach, whatever the size of the pool.
 
-    A pool larger than POOL_ROWS is cut to the part that the longest job can reach: clips are taken in order
-    from the first, so a job needs at most (its total need / shortest clip + its number of needs) of them.
+    A job starts at the first clip, and a need overshoots by less than one clip, so ``reach_ms`` from the start of the
+    cycle is all it can meet: never more clips than the job itself could be filled with.  The tape lies in pieces of
+    TAPE_MS; a row is joined with those it reaches, nearly always the first alone.
     """
-    if largest > POOL_ROWS:
-        per_job = needs.groupBy("persona", "job_id").agg(F.sum("need_ms").alias("need"), F.count(F.lit(1)).alias("n"))
-        shortest = tape.groupBy("persona").agg(F.min("clip_ms").alias("shortest"))
-        reach = per_job.join(shortest, "persona").groupBy("persona").agg(
-            F.max(F.ceil(F.col("need") / F.col("shortest")) + F.col("n") + 1).alias("reach")
-        )
-        tape = tape.join(reach, "persona").filter((F.col("pool_size") <= POOL_ROWS) | (F.col("pos") < F.col("reach")))
-    return tape.groupBy("persona").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "clip_ms"))), lambda c: c["clip_ms"]).alias("clips"),
-        F.max("pool_size").alias("pool_size"),
+    pieces = tape.groupBy("persona", floor_div(F.col("before_ms"), TAPE_MS).alias("_piece")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "clip_ms"))), lambda c: c["clip_ms"]).alias("_clips")
+    )
+    pools = tape.groupBy("persona").agg(
+        F.max("pool_size").alias("pool_size"), F.max("cycle_ms").alias("cycle_ms"), F.max("clip_ms").alias("_longest")
+    )
+    reach = F.least(F.col("cycle_ms"), F.col("_need") + F.col("_needs") * F.col("_longest"))
+    last = floor_div(F.greatest(reach, F.lit(1)) - 1, TAPE_MS)
+    spread = grouped.join(pools, "persona").withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    met = spread.join(pieces, ["persona", "_piece"])
+    rest = [c for c in grouped.columns if c not in ("job_id", "persona", "chunk", "_need", "_needs")]
+    return met.groupBy("job_id", "persona", "chunk").agg(
+        *[F.first(c).alias(c) for c in (*rest, "pool_size", "cycle_ms")],
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_clips"))), lambda p: p["_clips"])).alias("clips"),
     )
 
 
-def _reach(clips, pool_size: int):
-    """Prefix sums over two turns of the pool (one when it was cut and never wraps)."""
-    lengths = np.asarray(clips, dtype=np.int64)
-    turns = np.concatenate([lengths, lengths]) if len(lengths) == pool_size else lengths
-    return np.concatenate([[0], np.cumsum(turns)]), int(lengths.sum())
-
-
-def cycle_cover(
-    needs: DataFrame, tape: DataFrame, largest: int, slack_ms: int = 0, at_most: int | None = None, split: bool = False
-) -> DataFrame:
+class _Tapes:
+    """Prefix sums of the clips of many rows in one rising array, so that one search serves all rows."""
+
+    def __init__(self, clips: pa.Array, pool_size: np.ndarray, cycle_ms: np.ndarray):
+        lengths = pc.list_value_length(clips).to_numpy()
+        ends = np.cumsum(lengths)
+        self.head = ends - lengths + np.arange(len(lengths))
+        total = np.append(0, np.cumsum(clips.flatten().to_numpy()))
+        self.before = np.zeros(len(total) - 1 + len(lengths), dtype=np.int64)
+        first = np.zeros(len(self.before), dtype=bool)
+        first[self.head] = True
+        self.before[~first] = total[1:]
+        base = total[ends - lengths]
+        self.before[self.head] = base
+        self.before -= np.repeat(base, lengths + 1)
+        self.size, self.cycle = pool_size, cycle_ms
+        self.apart = np.arange(len(lengths)) * (int(self.before.max(initial=0)) + int(cycle_ms.max(initial=0)) + 1)
+        self.rising = self.before + np.repeat(self.apart, lengths + 1)
+
+    def taken(self, row: np.ndarray, at: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """How many clips from ``at`` on cover ``target`` ms: whole turns, then up to the first boundary not before it."""
+        cycle = self.cycle[row]
+        turns = (target - 1) // cycle
+        end = self.before[self.head[row] + at] + target - turns * cycle
+        wrapped = end > cycle
+        stop = np.searchsorted(self.rising, end - wrapped * cycle + self.apart[row]) - self.head[row]
+        return np.where(target > 0, (turns + wrapped) * self.size[row] + stop - at, 0)
+
+    def passed(self, row: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Length of ``count`` clips from ``at`` on."""
+        turns, rest = np.divmod(at + count, self.size[row])
+        return turns * self.cycle[row] + self.before[self.head[row] + rest] - self.before[self.head[row] + at]
+
+
+def cycle_cover(needs: DataFrame, tape: DataFrame, slack_ms: int = 0, at_most: int | None = None, split: bool = False) -> DataFrame:
     """Serve needs (job_id, persona, seq without gaps, need_ms, carried) from the pool in turn, never restarting in a job.
 
     Adds ``first_index``, ``taken`` and, for the clips first_index, first_index+1, ... (modulo the pool) that are
     taken until no more than ``slack_ms`` stays uncovered or ``at_most`` are used up, their length ``covered_ms``,
     plus ``base_ms`` (where the first lies in the cycle), ``pool_size`` and ``cycle_ms``.
+
+    A batch takes the first need of all its rows at once, then the second, and so on.  Long jobs are cut into chunks
+    whose tables "clip on entry -> clip on exit" are chained by levels (``functions.folds``).
     """
-    arrays = _tape_arrays(tape, needs, largest)
     piece = chunk_of("seq") if split else F.lit(0).cast("bigint")
+    met = [F.sum(F.greatest(F.col("need_ms"), F.lit(0))).alias("_need"), F.count(F.lit(1)).alias("_needs")]
     grouped = (
-        needs.select("job_id", "persona", piece.alias("chunk"), F.struct("seq", "need_ms", "carried").alias("need"))
+        needs.select("job_id", "persona", piece.alias("chunk"), "need_ms", F.struct("seq", "need_ms", "carried").alias("need"))
         .groupBy("job_id", "persona", "chunk")
-        .agg(F.array_sort(F.collect_list("need")).alias("needs"))  # at most chunk_rows, or split_rows when unsplit
-        .select("job_id", "persona", "chunk", "needs.seq", "needs.need_ms", "needs.carried")
-        .join(arrays, "persona")
+        .agg(F.array_sort(F.collect_list("need")).alias("needs"), *met)  # at most chunk_rows, or split_rows when unsplit
+        .select("job_id", "persona", "chunk", "needs.seq", "needs.need_ms", "needs.carried", "_need", "_needs")
     )
     if split:
-        def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grouped = grouped.drop("_need", "_needs").join(needs.groupBy("job_id").agg(*met), "job_id")
+    grouped = _with_reach(grouped, tape)
+
+    if split:
+        def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                tapes = _Tapes(batch["clips"], batch["pool_size"].to_numpy(), batch["cycle_ms"].to_numpy())
+                lengths = pc.list_value_length(batch["clips"]).to_numpy()
                 tables = []
-                for clips, size, wants in zip(batch["clips"], batch["pool_size"], batch["need_ms"]):
-                    reach, cycle = _reach(clips, size)
-                    state = np.arange(len(clips), dtype=np.int64)
-                    for want in wants:
-                        target = int(want) - slack_ms
-                        if target <= 0:
-                            continue
-                        full = (target - 1) // cycle
-                        stop = np.searchsorted(reach, reach[state] + (target - full * cycle))
-                        count = full * size + stop - state
+                for i, wants in enumerate(batch["need_ms"]):
+                    state = np.arange(lengths[i], dtype=np.int64)
+                    row = np.full(len(state), i)
+                    for want in wants.values.to_numpy() - slack_ms:
+                        count = tapes.taken(row, state, want)
                         if at_most is not None:
                             count = np.minimum(count, at_most)
-                        state = np.minimum((state + count) % size, len(clips) - 1)
-                    tables.append(state.tolist())
-                if tables:
-                    yield pd.DataFrame({"job_id": batch["job_id"], "chunk": batch["chunk"], "step": tables})
+                        # Entries that the job cannot reach may lead anywhere inside.
+                        state = np.minimum((state + count) % tapes.size[i], lengths[i] - 1)
+                    tables.append(state)
+                table = pa.array(tables, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch["job_id"], batch["chunk"], table], names=["job_id", "chunk", "step"])
 
         schema = grouped.select("job_id", "chunk").schema.add("step", ArrayType(LongType()))
         many = needs.filter(F.col("seq") > Limits.chunk_rows).select("job_id").distinct()
-        tables = grouped.join(many, "job_id", "left_semi").select("job_id", "chunk", "need_ms", "clips", "pool_size")
-        grouped = grouped.join(chain_entries(tables.mapInPandas(steps, schema), "job_id"), ["job_id", "chunk"], "left")
+        tables = grouped.join(many, "job_id", "left_semi").select("job_id", "chunk", "need_ms", "clips", "pool_size", "cycle_ms")
+        grouped = grouped.join(chain_entries(tables.mapInArrow(steps, schema), "job_id"), ["job_id", "chunk"], "left")
     else:
         grouped = grouped.withColumn("entry", F.lit(0).cast("bigint"))
 
     names = ("seq", "need_ms", "carried", "first_index", "taken", "covered_ms", "base_ms", "pool_size", "cycle_ms")
 
-    def serve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def serve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            jobs, personas = [], []
-            out: dict[str, list[int]] = {name: [] for name in names}
-            cached_persona, reach, cycle = None, None, 0
-            for job, persona, order, wants, carried, clips, size, entry in zip(
-                batch["job_id"], batch["persona"], batch["seq"], batch["need_ms"], batch["carried"],
-                batch["clips"], batch["pool_size"], batch["entry"].fillna(0).astype("int64"),
-            ):
-                if persona != cached_persona:
-                    sums, cycle = _reach(clips, size)
-                    reach, cached_persona = sums.tolist(), persona
-                at = int(entry)
-                for want in wants.tolist():
-                    target, count, covered = want - slack_ms, 0, 0
-                    if target > 0:
-                        full = (target - 1) // cycle
-                        stop = bisect_left(reach, reach[at] + target - full * cycle, at + 1)
-                        count = full * size + stop - at
-                        if at_most is not None:
-                            count = min(count, at_most)
-                        turns, rest = divmod(count, size)
-                        covered = turns * cycle + reach[at + rest] - reach[at]
-                    out["first_index"].append(at)
-                    out["taken"].append(count)
-                    out["covered_ms"].append(covered)
-                    out["base_ms"].append(reach[at])
-                    at = (at + count) % size
-                n = len(order)
-                jobs.extend([job] * n)
-                personas.extend([persona] * n)
-                out["seq"].extend(order.tolist())
-                out["need_ms"].extend(wants.tolist())
-                out["carried"].extend(carried.tolist())
-                out["pool_size"].extend([size] * n)
-                out["cycle_ms"].extend([cycle] * n)
-            if jobs:
-                yield pd.DataFrame({"job_id": jobs, "persona": personas, **out})
+            size, cycle = batch["pool_size"].to_numpy(), batch["cycle_ms"].to_numpy()
+            tapes = _Tapes(batch["clips"], size, cycle)
+            n = pc.list_value_length(batch["seq"]).to_numpy()
+            first, order = np.cumsum(n) - n, np.argsort(-n, kind="stable")
+            wants = batch["need_ms"].flatten().to_numpy()
+            index, taken, covered, base = np.zeros((4, len(wants)), dtype=np.int64)
+            at = batch["entry"].fill_null(0).to_numpy().copy()
+            for turn in range(int(n.max(initial=0))):
+                row = order[: np.searchsorted(-n[order], -turn)]
+                here = first[row] + turn
+                count = tapes.taken(row, at[row], wants[here] - slack_ms)
+                if at_most is not None:
+                    count = np.minimum(count, at_most)
+                index[here], taken[here] = at[row], count
+                covered[here] = tapes.passed(row, at[row], count)
+                base[here] = tapes.before[tapes.head[row] + at[row]]
+                at[row] = (at[row] + count) % size[row]
+            owner = pa.array(np.repeat(np.arange(len(n)), n))
+            arrays = [batch["seq"].flatten(), batch["need_ms"].flatten(), batch["carried"].flatten()]
+            arrays += [pa.array(x) for x in (index, taken, covered, base)]
+            arrays += [batch[c].take(owner) for c in ("pool_size", "cycle_ms")]
+            yield pa.RecordBatch.from_arrays([batch["job_id"].take(owner), batch["persona"].take(owner), *arrays], names=["job_id", "persona", *names])
 
     schema = grouped.select("job_id", "persona").schema
     for name in names:
         schema = schema.add(name, LongType())
     return grouped.select(
-        "job_id", "persona", "seq", "need_ms", "carried", "clips", "pool_size", "entry"
-    ).mapInPandas(serve, schema)
+        "job_id", "persona", "seq", "need_ms", "carried", "clips", "pool_size", "cycle_ms", "entry"
+    ).mapInArrow(serve, schema)
 
 
 def _each_taken(served: DataFrame, block: int = 1024) -> DataFrame:
@@ -339,16 +354,14 @@ def neutral_pool(assets: DataFrame, dialect: str = "v4") -> DataFrame:
 
 def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Fill every gap with whole neutral clips in round robin; the turn carries on from gap to gap of a job."""
-    pool = neutral_pool(assets)
-    largest = largest_pool(pool)
-    tape = cycle_tape(pool, largest)
+    tape = cycle_tape(neutral_pool(assets))
     needs = gaps.select(
         "job_id", "persona", F.col("gap_no").cast("bigint").alias("seq"),
         (F.col("gap_end_ms") - F.col("gap_start_ms")).cast("bigint").alias("need_ms"),
         F.col("gap_start_ms").cast("bigint").alias("carried"),
     )
     place = F.col("first_index") + F.col("k")
-    clips = _each_taken(cycle_cover(needs, tape, largest, FILL_SLACK, split=split)).select(
+    clips = _each_taken(cycle_cover(needs, tape, FILL_SLACK, split=split)).select(
         "*", F.pmod(place, F.col("pool_size")).alias("pos"), F.call_function("div", place, F.col("pool_size")).alias("turn")
     )
     laid = clips.join(tape.select("persona", "pos", "asset_id", "clip_ms", "before_ms"), ["persona", "pos"])
@@ -373,7 +386,7 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
     numbered = running(counted, ["job_id"], [F.col("gap_no")], [Run("_used", "sum_before", F.col("taken"))], chunk)
     pool = neutral_pool(assets, "v2")
     sizes = pool.groupBy("persona").agg(F.count(F.lit(1)).alias("pool_size"))
-    tape = cycle_tape(pool, largest_pool(pool))
+    tape = cycle_tape(pool)
     chunks = _each_taken(numbered.join(sizes, "persona")).withColumn(
         "pos", F.pmod(F.col("_used") + F.col("k"), F.col("pool_size"))
     )
@@ -391,9 +404,7 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
 def cover_with_cycle(lines: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Chain speech carriers in turn under every spoken line (job_id, persona, seq, need_ms), 24 at most."""
     needs = lines.withColumn("carried", F.lit(0).cast("bigint"))
-    pool = speech_carriers(assets)
-    largest = largest_pool(pool)
-    served = cycle_cover(needs, cycle_tape(pool, largest), largest, 0, BED_PARTS, split)
+    served = cycle_cover(needs, cycle_tape(speech_carriers(assets)), 0, BED_PARTS, split)
     return served.select(
         "job_id", "seq", "need_ms", "first_index", F.col("taken").alias("parts"), "covered_ms",
         (F.col("covered_ms") + BED_TOLERANCE < F.col("need_ms")).alias("too_short"),
