@@ -1,9 +1,12 @@
 """The same answers when keys are too large for one task: limits are lowered so that every job is cut up."""
 
+import re
+
 import pytest
 
 from tests.compare import connect, difference, duck_rows, spark_rows
 from timelane.functions import folds
+from timelane.functions.sides import Sides
 from timelane.functions.skew import Limits
 from timelane.plans import catalog
 
@@ -49,3 +52,22 @@ def small_limits(monkeypatch):
 @pytest.mark.parametrize("name", SPLITTING)
 def test_split_matches_check(spark, duck, small_limits, name):
     assert difference(spark_rows(QUERIES[name](spark, FOLDER)), duck_rows(duck, CHECKS[name])) is None
+
+
+LOOKED_UP = ("admission_gate", "cap_comments", "adapt_plan", "nearest_asset", "layout_plan", "fill_gaps_cyclic")
+
+
+@pytest.mark.parametrize("name", LOOKED_UP)
+def test_lookups_of_a_large_catalog(spark, duck, monkeypatch, name):
+    """Without estimates of small files: a measured lookup travels, so no job or event is dealt by persona."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit in (64 << 20, 0):
+            monkeypatch.setattr(Sides, "broadcast_bytes", limit)
+            found = QUERIES[name](spark, FOLDER)
+            joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin) \[persona", found._jdf.queryExecution().executedPlan().toString())
+            assert set(joins) <= {"BroadcastHashJoin" if limit else "SortMergeJoin"} and (joins or name == "fill_gaps_cyclic")
+            assert difference(spark_rows(found), duck_rows(duck, CHECKS[name])) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from timelane.functions.scalars import is_true
+from timelane.functions.sides import beside
 from timelane.functions.skew import Run, block_of, has_hot_key, running
 from timelane.operators.gates import persona_flags, reaction_assets
 
@@ -44,7 +45,7 @@ def _with_requests(events: DataFrame, jobs: DataFrame, assets: DataFrame, dialec
     if dialect == "v4":
         voiced = voiced & F.coalesce(F.col("has_carrier"), F.lit(False))
     cap = F.when(voiced, F.greatest(F.lit(0), F.coalesce(F.col("max_voice_comments"), F.lit(DEFAULT_COMMENT_CAP))))
-    requests = jobs.join(flags, "persona", "left").select(
+    requests = jobs.join(beside(flags), "persona", "left").select(
         "job_id",
         "persona",
         "total_ms",
@@ -88,7 +89,7 @@ def map_reaction_type(events: DataFrame, assets: DataFrame, dialect: str = "v4")
     known = vocabulary(assets, dialect).select(
         "persona", F.col("reaction_type").alias("requested"), F.lit(True).alias("_known")
     )
-    looked_up = events.join(known, ["persona", "requested"], "left")
+    looked_up = events.join(beside(known), ["persona", "requested"], "left")
     mapped = F.when(F.col("_known"), F.col("requested")).otherwise(_fallback(F.col("requested")))
     return looked_up.withColumn("mapped", mapped).drop("_known")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from timelane.functions.scalars import is_not_false, is_true
+from timelane.functions.sides import beside
 
 # Asset types a timeline cannot play.
 REFERENCE_TYPE = "reference"
@@ -63,7 +64,7 @@ def _with_reason(jobs: DataFrame, assets: DataFrame, avatar_key: bool, dialect:
     if dialect == "v4":
         without_still = no("has_reference") if avatar_key else F.lit(True)
         reason = reason.when(is_true(F.col("voice_lipsync")) & no("has_carrier") & without_still, "no_voice_source")
-    return jobs.join(flags, "persona", "left").select(*jobs.columns, reason.alias("reason"))
+    return jobs.join(beside(flags), "persona", "left").select(*jobs.columns, reason.alias("reason"))
 
 
 def admission_gate(jobs: DataFrame, assets: DataFrame, avatar_key: bool = True, dialect: str = "v4") -> DataFrame:

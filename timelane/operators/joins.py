@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from timelane.functions.scalars import floor_div
+from timelane.functions.sides import beside
 from timelane.operators.gates import persona_flags
 
 # List price per second in millionths, and the lengths a model offers where it restricts them.
@@ -129,7 +130,7 @@ def layout_plan(jobs: DataFrame, assets: DataFrame, cut_x: int = 0, cut_width: i
     corner = F.when(F.col("ovr_avatar").isin(*PLACEMENTS), F.col("ovr_avatar"))
     plate_wish = F.coalesce(F.nullif(F.col("ovr_background"), F.lit("")), F.lit("auto"))
     has_layout = F.col("dir_avatar").isNotNull()
-    resolved = jobs.join(persona_flags(assets).select("persona", "has_background"), "persona", "left").select(
+    resolved = jobs.join(beside(persona_flags(assets).select("persona", "has_background")), "persona", "left").select(
         "job_id",
         "persona",
         F.coalesce("has_background", F.lit(False)).alias("has_plate"),

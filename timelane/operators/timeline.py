@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from timelane.functions.folds import chain_entries
 from timelane.functions.scalars import clamp, floor_div, half_up
+from timelane.functions.sides import beside
 from timelane.functions.skew import Limits, Run, block_of, chunk_of, has_hot_key, running
 from timelane.operators.gates import clip_length, reaction_assets, speech_carriers
 from timelane.session import stage
@@ -87,7 +88,7 @@ def nearest_asset(events: DataFrame, assets: DataFrame, dialect: str = "v4") ->
     aimed = events.withColumn("_at", 2 * F.coalesce(F.col("intensity_m").cast("bigint"), F.lit(350))).withColumn(
         "_bucket", _intensity_bucket(F.col("_at"))
     )
-    a, r = aimed.alias("a"), ranges.alias("r")
+    a, r = aimed.alias("a"), beside(ranges).alias("r")
     same = [F.col(f"a.{c}") == F.col(f"r.{c}") for c in ("persona", "type", "_bucket")]
     within = F.col("a._at").between(F.col("r._low"), F.col("r._high"))
     return a.join(r, [*same, within], "left").select(
@@ -211,8 +212,8 @@ def _with_reach(grouped: DataFrame, tape: DataFrame) -> DataFrame:
     )
     reach = F.least(F.col("cycle_ms"), F.col("_need") + F.col("_needs") * F.col("_longest"))
     last = floor_div(F.greatest(reach, F.lit(1)) - 1, TAPE_MS)
-    spread = grouped.join(pools, "persona").withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    met = spread.join(pieces, ["persona", "_piece"])
+    spread = grouped.join(beside(pools), "persona").withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    met = spread.join(beside(pieces), ["persona", "_piece"])
     rest = [c for c in grouped.columns if c not in ("job_id", "persona", "chunk", "_need", "_needs")]
     return met.groupBy("job_id", "persona", "chunk").agg(
         *[F.first(c).alias(c) for c in (*rest, "pool_size", "cycle_ms")],
@@ -354,7 +355,7 @@ def neutral_pool(assets: DataFrame, dialect: str = "v4") -> DataFrame:
 
 def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Fill every gap with whole neutral clips in round robin; the turn carries on from gap to gap of a job."""
-    tape = cycle_tape(neutral_pool(assets))
+    tape = stage(cycle_tape(neutral_pool(assets)), "tape")
     needs = gaps.select(
         "job_id", "persona", F.col("gap_no").cast("bigint").alias("seq"),
         (F.col("gap_end_ms") - F.col("gap_start_ms")).cast("bigint").alias("need_ms"),
@@ -364,7 +365,7 @@ def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
     clips = _each_taken(cycle_cover(needs, tape, FILL_SLACK, split=split)).select(
         "*", F.pmod(place, F.col("pool_size")).alias("pos"), F.call_function("div", place, F.col("pool_size")).alias("turn")
     )
-    laid = clips.join(tape.select("persona", "pos", "asset_id", "clip_ms", "before_ms"), ["persona", "pos"])
+    laid = clips.join(beside(tape.select("persona", "pos", "asset_id", "clip_ms", "before_ms")), ["persona", "pos"])
     offset = F.col("turn") * F.col("cycle_ms") + F.col("before_ms") - F.col("base_ms")
     return laid.select(
         "job_id",
@@ -404,7 +405,7 @@ def fill_gaps_fixed(gaps: DataFrame, assets: DataFrame, split: bool = False) ->
 def cover_with_cycle(lines: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
     """Chain speech carriers in turn under every spoken line (job_id, persona, seq, need_ms), 24 at most."""
     needs = lines.withColumn("carried", F.lit(0).cast("bigint"))
-    served = cycle_cover(needs, cycle_tape(speech_carriers(assets)), 0, BED_PARTS, split)
+    served = cycle_cover(needs, stage(cycle_tape(speech_carriers(assets)), "tape"), 0, BED_PARTS, split)
     return served.select(
         "job_id", "seq", "need_ms", "first_index", F.col("taken").alias("parts"), "covered_ms",
         (F.col("covered_ms") + BED_TOLERANCE < F.col("need_ms")).alias("too_short"),
