@@ -5,7 +5,9 @@ also occurs in a document with a smaller doc_id; windows are judged on the input
 
 1. Suffixes are split by prefixes.  Each window names its split point by content alone: the ``prefix`` neighbouring
    words inside it with the smallest hash (leftmost of equals), so equal windows of different documents always name the
-   same prefix.  Prefixes found in one document only hold no repeat and end here.
+   same prefix.  Neighbouring windows with one prefix are a place; its words have a digest, and equal places are one
+   class: all but those of the smallest doc_id are repeats as they are, whatever their number, and no text of them is
+   read.  Prefixes whose classes all start in one document hold no other repeat and end here.
 2. Where a prefix has at most ``group_rows`` places, their texts are one memory-sized group: a task sorts the group's
    suffixes, which with the common length of neighbours is the suffix tree; internal nodes at least ``window`` deep are
    the repeats, and the smallest doc_id below a node decides.
@@ -28,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from timelane.functions.sides import beside
 from timelane.llm.common import mix, ngram_hash, read, row_key, slices, stage, utf8_column, word_table
 
 WINDOW, PREFIX = 50, 8
@@ -37,7 +40,10 @@ TREE_ROWS = 20_000
 #: Places of a hot prefix, and nodes of it, that a task holds at a time.
 BLOCK_ROWS, BLOCK_NODES = 4096, 50_000
 
-SUMMARY = "doc_id bigint, k bigint, n_words bigint, words_id binary, sha string, parts array<struct<h:bigint,s:int,e:int>>"
+#: Rows of one key that may meet in one task of a join.
+JOIN_ROWS = 4096
+
+SUMMARY = "doc_id bigint, k bigint, n_words bigint, words_id binary, sha string, parts array<struct<h:bigint,s:int,e:int,c:binary>>"
 
 
 def split_points(h: np.ndarray, window: int, prefix: int) -> np.ndarray:
@@ -76,7 +82,7 @@ def summaries(docs: DataFrame, window: int, prefix: int) -> DataFrame:
             data, bounds = utf8_column(batch["text"])
             for first, last in slices(bounds):
                 t = word_table(data, bounds, first, last)
-                counts, ids, shas, runs, sizes = [], [], [], [], []
+                counts, ids, shas, runs, sizes, places = [], [], [], [], [], []
                 for a, b in zip(t.rows[:-1], t.rows[1:]):
                     text = joined_words(t.data, t.start[a:b], t.end[a:b])
                     counts.append(b - a)
@@ -91,8 +97,11 @@ def summaries(docs: DataFrame, window: int, prefix: int) -> DataFrame:
                     end = np.append(begin[1:], len(at))
                     runs.append((ngram_hash(h, prefix)[at[begin]].view(np.int64), begin, end))
                     sizes.append(len(begin))
+                    stops = np.cumsum(t.end[a:b] - t.start[a:b] + 1)
+                    starts = stops - (t.end[a:b] - t.start[a:b] + 1)
+                    places += [xxhash.xxh3_128_digest(text[x:y]) for x, y in zip(starts[begin].tolist(), (stops[end + window - 2] - 1).tolist())]
                 h, s, e = (np.concatenate([r[i] for r in runs]) if runs else np.zeros(0, np.int64) for i in range(3))
-                parts = pa.StructArray.from_arrays([pa.array(h, pa.int64()), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], names=["h", "s", "e"])
+                parts = pa.StructArray.from_arrays([pa.array(h, pa.int64()), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(places, pa.binary())], names=["h", "s", "e", "c"])
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["k"], pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(shas),
@@ -107,6 +116,18 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key("doc_id", "text").alias("k"))
 
 
+def sized_join(rows: DataFrame, facts: DataFrame, keys: list[str], most: int = JOIN_ROWS) -> DataFrame:
+    """``rows`` with the ``facts`` of their keys, null where there are none; ``facts`` also counts the rows ``n`` of a key.
+
+    The facts of keys with more than ``most`` rows travel to the rows, if they are measured to be small.
+    """
+    rest = [c for c in facts.columns if c not in (*keys, "n")]
+    frequent = beside(facts.where(F.col("n") > most).select(*keys, *rest, F.lit(True).alias("__met")))
+    first = rows.join(frequent, keys, "left")
+    others = first.where("__met IS NULL").drop("__met", *rest).join(facts.where(F.col("n") <= most).drop("n"), keys, "left")
+    return first.where("__met").drop("__met").unionByName(others)
+
+
 def suffix_tree(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order and the depth of the node that joins each suffix with the one before it (0 for the first)."""
     keys = np.ascontiguousarray(rows.byteswap()).view(np.dtype((np.void, rows.shape[1] * 8))).ravel()
@@ -173,12 +194,12 @@ def tree_repeats(places: DataFrame, window: int, tree_rows: int) -> DataFrame:
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(h, doc_id, k, s, context, n): text of the wanted places, each a run of n windows from word s on.
+    """(h, doc_id, k, s, context, n, hot): text of the wanted places, each a run of n windows from word s on.
 
-    ``wanted`` holds (k, p): the row's runs as (h, s, e).
+    ``wanted`` holds (k, p): the row's runs as (h, s, e, hot).
     """
-    names = ["h", "doc_id", "k", "s", "context", "n"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32()]
+    names = ["h", "doc_id", "k", "s", "context", "n", "hot"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,12 +212,12 @@ def contexts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                     a = t.rows[i - first]
                     for p in parts[i]:
                         x, y = a + p["s"], a + p["e"] + window - 1
-                        rows.append((p["h"], ids[i], keys[i], p["s"], joined_words(t.data, t.start[x:y], t.end[x:y]).decode(), p["e"] - p["s"]))
+                        rows.append((p["h"], ids[i], keys[i], p["s"], joined_words(t.data, t.start[x:y], t.end[x:y]).decode(), p["e"] - p["s"], p["hot"]))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*rows), types)], names=names)
 
     met = docs.join(wanted, "k").groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), F.any_value("p").alias("p"))
-    return met.mapInArrow(run, "h bigint, doc_id bigint, k bigint, s int, context string, n int")
+    return met.mapInArrow(run, "h bigint, doc_id bigint, k bigint, s int, context string, n int, hot boolean")
 
 
 def window_nodes(context: str, window: int) -> list[bytes]:
@@ -312,17 +333,22 @@ def substring_dedup(
     firsts = named.where(F.col("n_words") >= window).groupBy("words_id").agg(F.min("doc_id").alias("first_id"))
     judged = named.join(firsts, "words_id")
     heads = judged.where("doc_id = first_id").groupBy("k").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("parts").alias("parts"))
-    places = stage(heads.select("k", "doc_id", F.explode("parts").alias("p")).select("k", "doc_id", "p.h", "p.s", "p.e"), "places")
-
-    shared = places.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
-    wanted = places.join(shared.select("h"), "h").groupBy("k").agg(F.collect_list(F.struct("h", "s", "e")).alias("p"))
-    found = stage(contexts(source, wanted, window), "contexts")
-    often = found.groupBy("h").agg((F.count(F.lit(1)) > group_rows).alias("hot"))
-    split = found.join(often, "h")
+    places = stage(heads.select("k", "doc_id", F.explode("parts").alias("p")).select("k", "doc_id", "p.h", "p.s", "p.e", "p.c"), "places")
+
+    classes = places.groupBy("h", "c").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    copied = stage(classes.where("lo <> hi").drop("hi"), "copied")
+    judged = stage(sized_join(places, copied, ["h", "c"]).withColumn("repeats", F.coalesce(F.col("doc_id") > F.col("lo"), F.lit(False))).drop("lo", "c"), "judged")
+    copies = judged.where("repeats").select("k", "s", "e")
+    first = judged.where("NOT repeats")
+    shared = first.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
+    shared = stage(shared.select("h", "n", (F.col("n") > group_rows).alias("hot")), "shared")
+    met = sized_join(first, shared, ["h"]).where("hot IS NOT NULL")
+    wanted = met.groupBy("k").agg(F.collect_list(F.struct("h", "s", "e", "hot")).alias("p"))
+    split = stage(contexts(source, wanted, window), "contexts")
 
     trees = tree_repeats(split.where("NOT hot"), window, tree_rows)
     grown = grown_repeats(split.where("hot").drop("hot", "n"), window, block_rows, block_nodes)
-    lost = without_repeats(source, trees.unionByName(grown), window, keep_text)
+    lost = without_repeats(source, trees.unionByName(grown).unionByName(copies), window, keep_text)
 
     out = summary.join(firsts, "words_id", "left").join(lost, "k", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))

@@ -10,7 +10,7 @@ Training follows the same rule: of a toxic text its currently worst stretch is l
 few random ones.  As softmax and average are linear, a trained model scores with one number per n-gram.
 
 The model is fitted on a bounded sample: per class at most ``sample_rows`` labelled rows of at most ``sample_chars``
-characters, by hash of doc_id.  Every whole text is scored.
+characters, by hash of doc_id; of repeated rows one is learnt.  Every whole text is scored.
 
 Null and empty texts have no n-gram; their score is that of the softmax bias.  Labels that are null or belong to no
 document are ignored; of several labels of one doc_id the largest counts.  Without labels of both classes every score
@@ -180,11 +180,15 @@ def held_out(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, window: int = WINDOW) -> Bag:
     marks = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    usable = docs.where(F.length("text") <= sample_chars).select("doc_id", "text")
-    sample = []
-    for label in (0, 1):
-        chosen = marks.where(F.col("toxic") == label).select("doc_id").join(usable, "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(sample_rows)
-        sample += [(r["text"], label) for r in chosen.select("text").collect()]
+    # The sample is chosen by id, so no text is shuffled; then its texts, a bounded number, are read by a second scan.
+    usable = docs.where(F.length("text") <= sample_chars).select("doc_id", F.xxhash64("text").alias("t")).distinct()
+    known = marks.join(usable, "doc_id").select("toxic", "doc_id", "t", F.xxhash64("doc_id").alias("turn"))
+    chosen = [known.where(F.col("toxic") == label).orderBy("turn", "t").limit(sample_rows) for label in (0, 1)]
+    chosen = sorted((tuple(r) for part in chosen for r in part.collect()), key=lambda r: (r[0], r[3], r[2]))
+    wanted = docs.sparkSession.createDataFrame(chosen, "toxic int, doc_id bigint, t bigint, turn bigint")
+    read_again = docs.where(F.length("text") <= sample_chars).select("doc_id", "text", F.xxhash64("text").alias("t"))
+    texts_of = {(r["doc_id"], r["t"]): r["text"] for r in read_again.join(F.broadcast(wanted.select("doc_id", "t")), ["doc_id", "t"]).collect()}
+    sample = [(texts_of[doc_id, t], label) for label, doc_id, t, _ in chosen]
     toxic = np.array([label for _, label in sample])
     if len(set(toxic.tolist())) < 2:
         return Bag(np.zeros(1 << BITS), -np.inf, window)
