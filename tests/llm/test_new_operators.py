@@ -1,14 +1,20 @@
 """Periodic runs, centroid clusters and line dedup against plain restatements, and the cases that tables may hold."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from tests.llm.test_operators import FOLDER, by_id, none, odd, words  # noqa: F401
-from timelane.llm import catalog, centroid_clusters, line_dedup, periodic_runs
+from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, line_dedup, periodic_runs
+from timelane.llm.common import stage
 
 VECTORS = "vec_id bigint, embedding array<float>, v string, cluster string, distance string"
 
@@ -188,3 +194,35 @@ def test_shard_numbers_have_no_gap():
         assert (shard.keepers[number] == np.arange(n)).all()
         other = rng.integers(0, 1 << 63, (2, 10_000), dtype=np.uint64)
         assert not shard.lost(*other, np.full(10_000, -1), np.ones(10_000, bool), 0).any()
+
+
+# ---------------------------------------------------------------- workers
+
+
+@pytest.mark.parametrize("make", ["words", "ranks", "places", "runs", "lines"])
+def test_workers_need_no_copy_of_the_package(tmp_path, make):
+    """What Spark sends runs in a process that cannot import the package."""
+    import public_tokenizers
+
+    functions = {
+        "words": partial(best_fit.word_ids, ["some words", ""], public_tokenizers.path(best_fit.VOCABULARY)),
+        "ranks": partial(byte_bpe.encoding, public_tokenizers.path(byte_bpe.RANKS)),
+        "places": partial(byte_bpe.boundaries, "some words"),
+        "runs": partial(periodic_runs.runs_of, [[b"a"] * 20]),
+        "lines": partial(line_dedup.digests, [b"a"]),
+    }
+    sent = tmp_path / "function"
+    sent.write_bytes(cloudpickle.dumps(functions[make]))
+    code = f"import sys, pickle; assert not any('repo' in p for p in sys.path); found = pickle.load(open({str(sent)!r}, 'rb'))(); found = list(found) if hasattr(found, '__next__') else found; assert 'timelane' not in sys.modules"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONPATH": os.path.dirname(os.path.dirname(public_tokenizers.__file__))}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
+def test_equal_rows_are_spread_over_packers(spark):
+    from pyspark.sql import functions as F
+
+    parts = spark.createDataFrame([(None, 0, 0, 100, 7)] * 2000, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    packed = best_fit.best_fit(stage(parts, "equal"), packer_rows=100)
+    sizes = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 40)).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) < 200

@@ -5,7 +5,7 @@ A document becomes the ids of its text and an end id; only one longer than ``len
 free space that still takes it; a bit set with one bit per amount of free space finds it in one step.  Without such a
 sequence a new one is opened, and if all are open, the fullest is closed first.
 
-Full pieces are sequences of their own where they are.  All other pieces are dealt out by hash over packers, one per
+Full pieces are sequences of their own where they are.  All other pieces are dealt out by hash and place over packers, one per
 ``packer_rows`` of them, so a packer's unfilled rest is a small part of it; a packer keeps only its open bins, however
 many pieces pass.  Pieces carry length and checksum only, never text.
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from timelane.llm.common import read, stage
+from timelane.llm.common import read, slices, stage, utf8_column, worker_cache
 
 VOCABULARY = "word_bpe_49k.json"
 LENGTH, END_ID = 2048, 0
@@ -41,11 +40,14 @@ CONTROLS = re.compile("[\x1c-\x1f]")
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found, {}
+    """The tokenizer and the ids of words met before, loaded once per worker."""
+    name = f"words of {path}"
+    if name not in worker_cache():
+        found = Tokenizer.from_file(path)
+        found.encode_special_tokens = True
+        worker_cache()[name] = found, {}
+    return worker_cache()[name]
 
 
 def encoded_words(words: list[str], coder: Tokenizer) -> dict[str, bytes]:
@@ -94,8 +96,8 @@ def pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for first, last in slices(utf8_column(batch["text"])[1]):
+                part = batch.slice(first, last - first)
                 rows = []
                 for doc_id, ids in zip(part["doc_id"].to_pylist(), word_ids(part["text"].to_pylist(), path)):
                     ids += end
@@ -163,7 +165,9 @@ def best_fit(parts: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS,
                 name, offset = zip(*placed)
                 yield batch.assign(sequence_id=[base + n for n in name], offset=offset)
 
-    dealt = parts.where(small).repartition(packers, F.xxhash64("doc_id", "piece", "ids_crc32"))
+    # Equal rows have places of their own in the staged table, so they are dealt out like any others.
+    numbered = parts.where(small).withColumn("__row", F.monotonically_increasing_id())
+    dealt = numbered.repartition(packers, F.xxhash64("doc_id", "piece", "ids_crc32", "__row")).drop("__row")
     packed = dealt.sortWithinPartitions(F.xxhash64("ids_crc32", "doc_id", "piece")).mapInPandas(run, schema)
     # Full pieces: negative numbers, so they never meet a packer's.
     full = parts.where(~small).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))

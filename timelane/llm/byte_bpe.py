@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,21 +25,24 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from timelane.llm.common import read
+from timelane.llm.common import read, worker_cache
 
 RANKS = "byte_bpe_50k.tiktoken"
 CHUNK, OVERLAP, MARGIN = 32_768, 512, 32
 
 
-@lru_cache(maxsize=4)
 def encoding(path: str) -> tiktoken.Encoding:
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    """The encoding of a file of ranks, loaded once per worker."""
+    name = f"ranks of {path}"
+    if name not in worker_cache():
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
+        worker_cache()[name] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return worker_cache()[name]
 
 
-@lru_cache(maxsize=1)
 def splitter() -> regex.Pattern:
+    # Compiled once: the module keeps patterns it has met.
     return regex.compile(public_tokenizers.PATTERN)
 
 

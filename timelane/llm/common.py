@@ -6,6 +6,8 @@ at once.  A slice is cut at ``SLICE_BYTES`` so that a task needs memory for one
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +24,7 @@ _powers = np.ones(1, dtype=np.uint64)
 
 __all__ = [
     "SLICE_BYTES", "Words", "components", "crc32_text", "edge_components", "mix", "ngram_hash", "read", "row_key",
-    "slices", "stage", "tune", "word_table", "utf8_column",
+    "slices", "stage", "tune", "word_table", "worker_cache", "utf8_column",
 ]
 
 
@@ -35,6 +37,11 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def worker_cache() -> dict:
+    """Kept by a worker process from task to task; functions travel by value, so their own globals are not."""
+    return sys.modules.setdefault("_timelane_cache", types.ModuleType("_timelane_cache")).__dict__
+
+
 def crc32_text(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
