@@ -4,6 +4,7 @@ One job of every random table holds about a third of the rows.
 """
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -463,6 +464,39 @@ def test_results_are_appended_under_their_keys(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 4
     assert rows(queue.overwrite_audit(back.drop("key", "bucket")), "key", "writes", "latest_render") == [("results/1.mp4", 2, 11)]
+    one = sinks.read_results(spark, path, 1)
+    assert re.search(r"PartitionFilters: \[.*bucket", one._jdf.queryExecution().executedPlan().toString())
+    assert rows(one, "job_id", "render_id") == [(1, 10), (1, 11), (1, 12)]
+    assert sinks.read_results(spark, path).count() == 4
+
+
+def test_results_of_one_job_are_many_files(spark, tmp_path):
+    n = F.col("id")
+    writes = spark.range(2000).select(F.when(n < 1800, 1).otherwise(n).cast("bigint").alias("job_id"), n.alias("render_id"), n.alias("written_at"), F.lit(True).alias("immutable"))
+    path = str(tmp_path / "results")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        sinks.write_results(writes, path, buckets=4, file_rows=200)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    back = spark.read.parquet(path)
+    files = back.withColumn("file", F.input_file_name()).groupBy("bucket", "file").count().groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("most")).collect()
+    assert back.count() == 2000 and max(f["n"] for f in files) >= 6 and max(f["most"] for f in files) < 500
+
+
+def test_clips_without_a_box_fail(spark):
+    frames = spark.createDataFrame([(1, 0, None), (1, 1, 5), (2, 0, None)], "clip_id bigint, frame_no bigint, box bigint")
+    assert rows(timeline.box_coverage(frames), "clip_id", "valid", "total", "failed") == [(1, 1, 2, False), (2, 0, 1, True)]
+
+
+def test_assets_of_any_shape(spark):
+    docs = ['{"job":{"id":1},"assets":"none"}', '{"job":{"id":2},"assets":[null,3,{"id":{"a":1},"enabled":"maybe","metadata":[1]}]}', "no json", None]
+    got = readers.read_job_assets(spark.createDataFrame([(d,) for d in docs], "document string"))
+    assert rows(got, "job_id", "asset_ord", "asset_ref", "enabled", "metadata") == [(2, 1, None, None, None), (2, 2, None, None, None), (2, 3, None, None, "[1]")]
 
 
 def test_new_clips_start_disabled(spark):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType
 
 from timelane.functions.folds import chain_entries, group_starts, whole_groups
-from timelane.functions.scalars import clock
+from timelane.functions.scalars import clock, floor_div
 from timelane.functions.skew import Limits, Run, block_of, chunk_of, has_hot_key, running
 from timelane.session import stage
 
@@ -25,6 +25,9 @@ MAX_LINE_MS = 2_400
 MAX_PAUSE_MS = 700
 MIN_HOLD_MS = 500
 
+# Cues of a caption document in one row.
+PART_CUES = 4096
+
 
 def _next_start(frame: pd.DataFrame, bounds: np.ndarray, dialect: str) -> np.ndarray:
     """For every word: where the next line would start if a line started here."""
@@ -192,11 +195,11 @@ def caption_rows(lines: DataFrame, fmt: str, split: bool = False) -> DataFrame:
 
 
 def export_captions(lines: DataFrame, fmt: str, layout: DataFrame | None = None, split: bool = False) -> DataFrame:
-    """Caption documents in parts of at most ``Limits.chunk_rows`` cues (job_id, part, document).
+    """Caption documents in parts of at most PART_CUES cues (job_id, part, document).
 
     The parts of a job, put together in order, are its document; nearly every job has just part 0.
     """
-    rows = caption_rows(lines, fmt, split).withColumn("part", chunk_of("cue"))
+    rows = caption_rows(lines, fmt, split).withColumn("part", floor_div(F.col("cue") - 1, PART_CUES))
     ordered = F.array_sort(F.collect_list(F.struct("cue", "row")))
     body = F.array_join(F.transform(ordered, lambda r: r["row"]), "\n")
     parts = rows.groupBy("job_id", "part").agg(body.alias("body"))

@@ -68,6 +68,14 @@ def cache_lookup(requests: DataFrame, price_micro: int) -> DataFrame:
     )
 
 
+def download_cache(downloads: DataFrame) -> DataFrame:
+    """Per cached file (the digest of its url and an extension): downloads asked for, and how many the cache answered."""
+    key = F.concat(F.sha1(F.col("url").cast("binary")), F.coalesce("extension", F.lit(".mp4")))
+    return downloads.where("url IS NOT NULL").groupBy(key.alias("cache_key")).agg(
+        F.count(F.lit(1)).alias("asked"), (F.count(F.lit(1)) - 1).alias("hits"), F.min_by("url", "asked_no").alias("url")
+    )
+
+
 def error_digest(failures: DataFrame, top: int, chars: int = ERROR_CHARS) -> DataFrame:
     """Most frequent messages per stage, cut to the reported length.  Ranks are limited before the shuffle."""
     counted = failures.select("stage", F.left("message", F.lit(chars)).alias("message")).groupBy("stage", "message").agg(

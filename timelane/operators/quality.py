@@ -101,36 +101,45 @@ def delivery_budget(renders: DataFrame) -> DataFrame:
 
 
 def render_summary(
-    jobs: DataFrame, events: DataFrame, segments: DataFrame, spoken: DataFrame, captions: DataFrame, layout: DataFrame, qc: DataFrame
+    jobs: DataFrame, events: DataFrame, placed: DataFrame, fill: DataFrame, captions: DataFrame, layout: DataFrame, qc: DataFrame, delivery: DataFrame, gains: DataFrame
 ) -> DataFrame:
-    """One provenance row per job.
+    """One provenance row per job, from everything that is known about its render.
 
-    ``events``, ``segments`` and ``captions`` are reduced to one row per job before the join, so all of them
-    meet already aggregated.  A localized source replacement outranks the other layout sources.
+    All parts become rows of one table that is aggregated by job: one exchange, counted before it, instead of a join per
+    part.  ``placed`` are reactions and spoken comments, ``fill`` (job_id, fill_count) the clips between them.  A
+    localized source replacement outranks the other layout sources.
     """
-    event_counts = events.groupBy("job_id").agg(F.count(F.lit(1)).alias("event_count"))
-    segment_counts = segments.groupBy("job_id").agg(
-        F.count(F.lit(1)).alias("segment_count"), F.count_if(F.col("kind") == "comment").alias("comment_count")
+    spoken = F.col("kind") == "comment"
+    comment = F.struct("start_ms", "duration_ms", F.col("comment").alias("text"), "lipsync_provider")
+    parts = [
+        jobs.select("job_id", F.struct("source_replacement", F.col("total_ms").cast("bigint").alias("duration_ms")).alias("job")),
+        events.select("job_id", F.lit(1).alias("event_count")),
+        placed.select("job_id", F.lit(1).alias("segment_count"), spoken.cast("int").alias("comment_count"), F.when(spoken, comment).alias("comment")),
+        fill.select("job_id", F.col("fill_count").alias("segment_count")),
+        captions.select("job_id", F.lit(1).alias("caption_lines"), F.col("words").alias("caption_words")),
+        layout.select("job_id", F.struct("avatar", "layout_source", "crop_x", "crop_width").alias("layout")),
+        qc.select("job_id", F.struct("verdict").alias("qc")),
+        delivery.select("job_id", F.struct("bytes", "kbps", "outcome").alias("delivery")),
+        gains.select("job_id", F.struct("loudness_lufs", "gain_db").alias("gain")),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    counts = ("event_count", "segment_count", "comment_count", "caption_lines", "caption_words")
+    one = ("job", "layout", "qc", "delivery", "gain")
+    summed = rows.groupBy("job_id").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+        *[F.any_value(c, True).alias(c) for c in one],
+        F.array_sort(F.collect_list("comment")).alias("comments"),  # at most the job's comment cap
     )
-    caption_counts = captions.groupBy("job_id").agg(
-        F.count(F.lit(1)).alias("caption_lines"), F.sum("words").alias("caption_words")
-    )
-    comment = F.struct("start_ms", "duration_ms", F.col("comment").alias("text"))
-    comments = spoken.groupBy("job_id").agg(
-        F.min_by("comment", "start_ms").alias("first_comment"),
-        F.array_sort(F.collect_list(comment)).alias("comments"),  # at most the job's comment cap
-    )
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    joined = jobs.select("job_id", "source_replacement")
-    for part in (event_counts, segment_counts, caption_counts, comments, layout.select("job_id", "avatar", "layout_source"), qc):
-        joined = joined.join(part, "job_id", "left")
-    said = F.transform("comments", lambda c: F.concat_ws("|", c["start_ms"], c["duration_ms"], c["text"]))
-    return joined.select(
-        "job_id",
-        zero("event_count"), zero("segment_count"), zero("comment_count"), zero("caption_lines"), zero("caption_words"),
-        "first_comment",
-        F.coalesce(F.array_join(said, ";"), F.lit("")).alias("comments"),
-        "avatar",
-        F.when(is_true(F.col("source_replacement")), "localized_source_replacement").otherwise(F.col("layout_source")).alias("layout_source"),
-        F.col("verdict").alias("validation"),
+    replaced = F.when(is_true(F.col("job.source_replacement")), "localized_source_replacement")
+    return summed.where("job IS NOT NULL").select(
+        "job_id", "job.duration_ms", *counts,
+        F.get("comments", F.lit(0))["text"].alias("first_comment"),
+        F.get("comments", F.lit(0))["lipsync_provider"].alias("lipsync_provider"),
+        "comments",
+        "layout.avatar", F.coalesce(replaced, F.col("layout.layout_source")).alias("layout_source"), "layout.crop_x", "layout.crop_width",
+        F.col("qc.verdict").alias("validation"),
+        F.col("delivery.bytes").alias("result_bytes"), F.col("delivery.kbps").alias("delivery_kbps"), F.col("delivery.outcome").alias("outcome"),
+        F.col("gain.loudness_lufs").alias("voice_loudness_lufs"), F.col("gain.gain_db").alias("voice_gain_db"),
     )

@@ -353,16 +353,25 @@ def neutral_pool(assets: DataFrame, dialect: str = "v4") -> DataFrame:
     return reaction_assets(assets, dialect).filter(F.col("reaction_type") == "neutral")
 
 
-def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
-    """Fill every gap with whole neutral clips in round robin; the turn carries on from gap to gap of a job."""
-    tape = stage(cycle_tape(neutral_pool(assets)), "tape")
-    needs = gaps.select(
+def fill_counts(gaps: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
+    """Per job how many clips fill its gaps, without making any of them a row."""
+    served = cycle_cover(_gap_needs(gaps), stage(cycle_tape(neutral_pool(assets)), "tape"), FILL_SLACK, split=split)
+    return served.groupBy("job_id").agg(F.sum("taken").alias("fill_count"))
+
+
+def _gap_needs(gaps: DataFrame) -> DataFrame:
+    return gaps.select(
         "job_id", "persona", F.col("gap_no").cast("bigint").alias("seq"),
         (F.col("gap_end_ms") - F.col("gap_start_ms")).cast("bigint").alias("need_ms"),
         F.col("gap_start_ms").cast("bigint").alias("carried"),
     )
+
+
+def fill_gaps_cyclic(gaps: DataFrame, assets: DataFrame, split: bool = False) -> DataFrame:
+    """Fill every gap with whole neutral clips in round robin; the turn carries on from gap to gap of a job."""
+    tape = stage(cycle_tape(neutral_pool(assets)), "tape")
     place = F.col("first_index") + F.col("k")
-    clips = _each_taken(cycle_cover(needs, tape, FILL_SLACK, split=split)).select(
+    clips = _each_taken(cycle_cover(_gap_needs(gaps), tape, FILL_SLACK, split=split)).select(
         "*", F.pmod(place, F.col("pool_size")).alias("pos"), F.call_function("div", place, F.col("pool_size")).alias("turn")
     )
     laid = clips.join(beside(tape.select("persona", "pos", "asset_id", "clip_ms", "before_ms")), ["persona", "pos"])
@@ -477,6 +486,13 @@ def crossfade_offsets(segments: DataFrame, split: bool = False) -> DataFrame:
     )
 
 
+def box_coverage(frames: DataFrame) -> DataFrame:
+    """Per clip: frames with a valid box of all, and whether it fails for want of any."""
+    return frames.groupBy("clip_id").agg(
+        F.count_if(F.col("box").isNotNull()).alias("valid"), F.count(F.lit(1)).alias("total"), (F.count_if(F.col("box").isNotNull()) == 0).alias("failed")
+    )
+
+
 def forward_fill_boxes(frames: DataFrame, split: bool | None = None) -> DataFrame:
     """Carry the last valid box (clip_id, frame_no, box) forward; leading frames without one stay empty."""
     split = has_hot_key(frames, ["clip_id"]) if split is None else split

@@ -14,6 +14,13 @@ SELECT p.job_id, CASE WHEN NOT has_video THEN 'no_video' WHEN width <> 1080 OR h
   WHEN source_has_audio AND NOT has_audio THEN 'audio_missing' WHEN source_has_audio AND audio_ms < expected_ms - 500 THEN 'audio_ends_early' ELSE 'passed' END AS verdict,
   CASE WHEN has_video AND width = 1080 AND height = 1920 THEN 'passed' ELSE 'wrong_size' END AS clip_verdict
 FROM fx_probes p JOIN fx_jobs j ON j.job_id = p.job_id""",
+    o_gain=r"""
+SELECT job_id, x AS loudness_lufs, CASE WHEN x IS NULL THEN 0 ELSE round(greatest(-6, least(18, -13 - x)), 2) END AS gain_db FROM (
+  SELECT job_id, TRY_CAST(regexp_extract_all(log, 'I:\s*(-?[\d.]+)\s*LUFS', 1)[-1] AS DOUBLE) AS x FROM fx_loudness) AS q""",
+    o_delivery="""
+SELECT job_id, kbps, CASE WHEN bytes > 48234496 THEN CAST(floor(CAST(kbps * 82 AS DOUBLE) / 100 + 0.5) AS BIGINT) END AS retry_kbps,
+       CASE WHEN bytes <= 48234496 THEN 'delivered' WHEN bytes * 85 // 100 > 48234496 THEN 'too_large' ELSE 'delivered_on_retry' END AS outcome
+FROM (SELECT *, CAST(greatest(1500, least(12000, floor(CAST(48234496 * 8 * 0.94 AS DOUBLE) / greatest(1000, duration_ms)) - 160)) AS BIGINT) AS kbps FROM fx_probes) AS q""",
     o_progress="SELECT job_id, seq, epoch_us(ts) AS at_us, stage, status, CAST(json_extract_string(patch, '$.k') AS VARCHAR) AS k FROM fx_progress",
     o_live="""
 SELECT p.* FROM o_progress p JOIN (SELECT job_id, min(struct_pack(a := at_us, s := seq)) FILTER (WHERE status IN ('completed', 'failed')) AS e FROM o_progress GROUP BY job_id) t ON t.job_id = p.job_id
@@ -48,9 +55,16 @@ _PRESETS = [
 
 CHECKS = {
     "read_jobs": """
-SELECT job_id, status, has_plan, i + 1 AS event_ord, CASE WHEN (job_id + i) % 7 <> 0 THEN (job_id * 131 + i * 9973) % 90000 END AS time_ms,
-       CASE WHEN (job_id + i) % 4 <> 0 THEN concat('type-', (job_id + i) % 4) END AS type, CASE WHEN (job_id + i) % 3 = 0 THEN concat(' line ', i) END AS comment
+SELECT CASE WHEN job_id % 9 <> 0 THEN job_id END AS job_id, CASE WHEN job_id % 9 = 0 THEN concat('job-', job_id) ELSE CAST(job_id AS VARCHAR) END AS job_ref, status, has_plan, i + 1 AS event_ord,
+       CASE WHEN (job_id + i) % 7 <> 0 THEN (job_id * 131 + i * 9973) % 90000 END AS time_ms, CASE WHEN (job_id + i) % 4 <> 0 THEN concat('type-', (job_id + i) % 4) END AS type,
+       CASE WHEN (job_id + i) % 5 <> 0 THEN (job_id * 37 + i * 211) % 1001 END AS intensity_m, CASE WHEN (job_id + i) % 6 > 1 THEN (job_id * 53 + i * 400) % 8000 END AS duration_ms,
+       CASE WHEN (job_id + i) % 3 = 0 THEN concat(' line ', i) END AS comment
 FROM fx_jobs LEFT JOIN (VALUES (0), (1), (2), (3)) AS t(i) ON has_plan AND i < job_id % 5""",
+    "read_job_assets": """
+SELECT CASE WHEN job_id % 9 <> 0 THEN job_id END AS job_id, CASE WHEN job_id % 9 = 0 THEN concat('job-', job_id) ELSE CAST(job_id AS VARCHAR) END AS job_ref, i + 1 AS asset_ord,
+       CASE WHEN k % 2 = 0 THEN CAST(k AS VARCHAR) ELSE concat('a-', k) END AS asset_ref, persona, CASE WHEN k % 5 <> 0 THEN 'neutral' END AS reaction_type, CASE k % 3 WHEN 0 THEN true WHEN 1 THEN false END AS enabled,
+       CASE WHEN k % 4 <> 0 THEN k % 1001 END AS intensity_min_m, CASE k % 7 WHEN 0 THEN '{"loop":[1,2]}' WHEN 1 THEN '"none"' END AS metadata
+FROM (SELECT *, job_id * 2 + i AS k FROM fx_jobs JOIN (VALUES (0), (1)) AS t(i) ON i < job_id % 4 AND job_id % 4 < 3) AS q""",
     "read_transcripts": """
 SELECT job_id, 'local' AS provider, role AS language, row_number() OVER (PARTITION BY job_id ORDER BY pos) AS ord, word AS text, (pos - 1) * 300 AS start_ms, (pos - 1) * 300 + 240 AS end_ms
 FROM (SELECT conv_id * 1000 + turn AS job_id, role, u.word AS word, u.pos AS pos FROM conversations, LATERAL unnest(string_split(conversations.text, ' ')) WITH ORDINALITY AS u(word, pos)) AS q
@@ -62,32 +76,33 @@ FROM (SELECT *, CASE WHEN job_id % 13 <> 0 THEN duration_ms ELSE 0 END AS d FROM
     "overwrite_audit": """
 SELECT job_id, key, count(*) AS writes, arg_max(render_id, struct_pack(a := ts, b := render_id)) AS latest_render FROM (
   SELECT user_id AS job_id, event_id AS render_id, ts, CASE WHEN event_id % 3 <> 0 THEN concat('results/', user_id, '/', event_id, '.mp4') ELSE concat('results/', user_id, '.mp4') END AS key FROM events) AS q GROUP BY job_id, key HAVING count(*) > 1""",
+    "write_results": """
+SELECT job_id, count(*) AS renders, count(DISTINCT key) AS keys, arg_max(render_id, struct_pack(a := ts, b := render_id)) AS latest_render, arg_max(key, struct_pack(a := ts, b := render_id)) AS latest_key FROM (
+  SELECT user_id AS job_id, event_id AS render_id, ts, CASE WHEN event_id % 3 <> 0 THEN concat('results/', user_id, '/', event_id, '.mp4') ELSE concat('results/', user_id, '.mp4') END AS key FROM events) AS q GROUP BY job_id""",
     "register_assets": """
 SELECT p_partkey AS asset_id, p_brand AS persona, rt AS reaction_type, t.label, concat('assets/', p_brand, '/', p_partkey, '/', lower(replace(t.label, ' ', '_')), '.mp4') AS storage_path, 2000 + p_size * 100 AS duration_ms,
        false AS speech_ready, CASE WHEN rt = 'neutral' THEN 'neutral' ELSE 'none' END AS anchor_role, false AS enabled, s.model AS generated_by,
        CASE WHEN s.i = 5 THEN CASE WHEN t.sec = 10 THEN 8 ELSE 4 END ELSE t.sec END AS requested_duration_s, CASE WHEN s.i = 5 THEN CASE WHEN t.sec = 10 THEN 8 ELSE 4 END ELSE t.sec END * s.price AS cost_micro, 700 + p_size * 40 AS peak_ms
 FROM part JOIN (VALUES """ + ",".join(f"({i},'{l}','{r}',{s})" for i, (l, r, s) in enumerate(_PRESETS)) + """) AS t(k, label, rt, sec) ON t.k = p_partkey % 13 JOIN m_specs s ON s.i = p_partkey % 8""",
-    "loudness_gain": """
-SELECT job_id, x AS loudness_lufs, CASE WHEN x IS NULL THEN 0 ELSE round(greatest(-6, least(18, -13 - x)), 2) END AS gain_db FROM (
-  SELECT job_id, TRY_CAST(regexp_extract_all(log, 'I:\\s*(-?[\\d.]+)\\s*LUFS', 1)[-1] AS DOUBLE) AS x FROM fx_loudness) AS q""",
+    "loudness_gain": "SELECT * FROM o_gain",
     "render_qc": "SELECT * FROM o_qc",
     "render_qc_rates": "SELECT coalesce(verdict, 'all') AS verdict, count(*) AS renders FROM o_qc GROUP BY ROLLUP (verdict)",
     "replacement_rect": """
 SELECT job_id, CASE WHEN NOT fits THEN 'invalid' WHEN pw < 120 OR ph < 120 THEN 'too_small' ELSE 'ok' END AS verdict, CASE WHEN fits THEN px END AS px, CASE WHEN fits THEN py END AS py, CASE WHEN fits THEN pw END AS pw, CASE WHEN fits THEN ph END AS ph
 FROM (SELECT *, least(pw0, 1080 - px) AS pw, least(ph0, 1920 - py) AS ph FROM o_rects) AS q""",
-    "delivery_budget": """
-SELECT job_id, kbps, CASE WHEN bytes > 48234496 THEN CAST(floor(CAST(kbps * 82 AS DOUBLE) / 100 + 0.5) AS BIGINT) END AS retry_kbps,
-       CASE WHEN bytes <= 48234496 THEN 'delivered' WHEN bytes * 85 // 100 > 48234496 THEN 'too_large' ELSE 'delivered_on_retry' END AS outcome
-FROM (SELECT *, CAST(greatest(1500, least(12000, floor(CAST(48234496 * 8 * 0.94 AS DOUBLE) / greatest(1000, duration_ms)) - 160)) AS BIGINT) AS kbps FROM fx_probes) AS q""",
+    "delivery_budget": "SELECT * FROM o_delivery",
     "render_summary": """
-SELECT j.job_id, coalesce(ev.n, 0) AS event_count, coalesce(sg.n, 0) AS segment_count, coalesce(sg.c, 0) AS comment_count, coalesce(cl.n, 0) AS caption_lines, coalesce(cl.w, 0) AS caption_words,
-       cm.first_comment, coalesce(cm.comments, '') AS comments, l.avatar, CASE WHEN j.job_id % 13 = 0 THEN 'localized_source_replacement' ELSE l.layout_source END AS layout_source, q.verdict AS validation
+SELECT j.job_id, j.total_ms AS duration_ms, coalesce(ev.n, 0) AS event_count, coalesce(sg.n, 0) AS segment_count, coalesce(sg.c, 0) AS comment_count, coalesce(cl.n, 0) AS caption_lines, coalesce(cl.w, 0) AS caption_words,
+       cm.first_comment, CASE WHEN cm.job_id IS NULL THEN NULL WHEN j.job_id % 2 = 0 THEN 'fal' WHEN j.job_id % 3 = 0 THEN 'kaggle' END AS lipsync_provider, coalesce(cm.comments, '') AS comments,
+       l.avatar, CASE WHEN j.job_id % 13 = 0 THEN 'localized_source_replacement' ELSE l.layout_source END AS layout_source, l.crop_x, l.crop_width, q.verdict AS validation,
+       p.bytes AS result_bytes, d.kbps AS delivery_kbps, d.outcome, g.loudness_lufs AS voice_loudness_lufs, g.gain_db AS voice_gain_db
 FROM k_jobs j
 LEFT JOIN (SELECT job_id, count(*) AS n FROM fx_events WHERE time_ms IS NOT NULL GROUP BY job_id) ev ON ev.job_id = j.job_id
 LEFT JOIN (SELECT job_id, count(*) AS n, count(*) FILTER (WHERE kind = 'comment') AS c FROM k_segments GROUP BY job_id) sg ON sg.job_id = j.job_id
 LEFT JOIN (SELECT job_id, count(*) AS n, CAST(sum(words) AS BIGINT) AS w FROM m_lines GROUP BY job_id) cl ON cl.job_id = j.job_id
 LEFT JOIN (SELECT job_id, arg_min(comment, start_ms) AS first_comment, string_agg(concat(start_ms, '|', duration_ms, '|', comment), ';' ORDER BY start_ms) AS comments FROM k_placed WHERE kind = 'comment' GROUP BY job_id) cm ON cm.job_id = j.job_id
-LEFT JOIN m_layout l ON l.job_id = j.job_id LEFT JOIN o_qc q ON q.job_id = j.job_id""",
+LEFT JOIN m_layout l ON l.job_id = j.job_id LEFT JOIN o_qc q ON q.job_id = j.job_id LEFT JOIN fx_probes p ON p.job_id = j.job_id
+LEFT JOIN o_delivery d ON d.job_id = j.job_id LEFT JOIN o_gain g ON g.job_id = j.job_id""",
     "claim_order": "SELECT job_id, persona FROM fx_jobs WHERE status = 'queued' ORDER BY created_at, job_id LIMIT 1",
     "drain_batches": "SELECT job_id, rank, (rank + 7) // 8 AS run_no FROM (SELECT job_id, row_number() OVER (ORDER BY created_at, job_id) AS rank FROM fx_jobs WHERE status = 'queued') AS q",
     "preferred_artifact": """
@@ -112,6 +127,9 @@ SELECT ref, CASE WHEN regexp_matches(lower(text), 'complete|success') THEN 'comp
        CASE WHEN ref % 3 = 0 THEN regexp_extract(push_log, '(owner-[0-9]+/lip_[0-9]+)', 1) WHEN ref % 3 = 1 THEN regexp_extract(push_log, '(me[0-9]+/lip.sync)', 1) END AS kernel FROM fx_statuses""",
     "cache_lookup": "SELECT * FROM o_hits",
     "cache_savings": "SELECT hit, count(*) AS requests, CAST(sum(saved_micro) AS BIGINT) AS saved_micro FROM o_hits GROUP BY hit",
+    "download_cache": """
+SELECT concat(sha1(url), CASE WHEN page_id % 3 = 0 THEN '.png' ELSE '.mp4' END) AS cache_key, count(*) AS asked, count(*) - 1 AS hits
+FROM events JOIN pages ON page_id = event_id % 50 GROUP BY ALL""",
     "error_digest": """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY failures DESC, message) AS rank FROM (
   SELECT concat('attempt ', attempt) AS stage, concat(log, ' host ', request_id % 7) AS message, count(*) AS failures FROM fx_attempts WHERE exit_code <> 0 GROUP BY ALL) AS a) AS b WHERE rank <= 3""",

@@ -197,8 +197,11 @@ SELECT type, count(*) AS reactions, count(*) FILTER (WHERE e > 0) AS late, count
        CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY abs(e)) AS BIGINT) AS p50_off_ms, CAST(percentile_disc(0.95) WITHIN GROUP (ORDER BY abs(e)) AS BIGINT) AS p95_off_ms
 FROM (SELECT *, start_ms + peak_ms - time_ms AS e FROM k_placed WHERE kind = 'reaction') AS q GROUP BY type""",
     "reaction_density": """
-SELECT j.job_id, j.total_ms * 40 // 1000 AS target_milli_events, coalesce(n, 0) AS placed, coalesce(n, 0) * 1000 - j.total_ms * 40 // 1000 AS over_milli_events
-FROM k_jobs j LEFT JOIN (SELECT job_id, count(*) AS n FROM k_placed GROUP BY job_id) p ON p.job_id = j.job_id""",
+SELECT j.job_id, j.total_ms * 40 // 1000 AS target_milli_events, coalesce(m, 0) AS planned, coalesce(n, 0) AS placed,
+       coalesce(m, 0) * 1000 - j.total_ms * 40 // 1000 AS planned_over_milli, coalesce(n, 0) * 1000 - j.total_ms * 40 // 1000 AS over_milli_events
+FROM k_jobs j LEFT JOIN (SELECT job_id, count(*) AS n FROM k_placed GROUP BY job_id) p ON p.job_id = j.job_id
+LEFT JOIN (SELECT job_id, count(*) AS m FROM fx_events GROUP BY job_id) e ON e.job_id = j.job_id""",
+    "box_coverage": "SELECT clip_id, count(box) AS valid, count(*) AS total, count(box) = 0 AS failed FROM k_boxes GROUP BY clip_id",
 }
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from timelane.functions.scalars import floor_div
 from timelane.operators import (
     adapt,
     captions as C,
@@ -19,7 +21,7 @@ from timelane.operators import (
     timeline as T,
 )
 from timelane.plans import render
-from timelane.session import stage, tune
+from timelane.session import shared_folder, stage, tune
 from timelane.sources import readers, sinks
 from timelane.sources.derived import Entities, claims, requests
 from timelane.streaming import progress as S
@@ -220,8 +222,7 @@ def cover_with_cycle(e):
     return T.cover_with_cycle(lines, e.assets, e.events_hot)
 
 
-@query
-def forward_fill_boxes(e):
+def _boxes(e):
     """Boxes derived from the vector ids; two of seven frames have none."""
     numbered = T.running(
         e.table("embeddings").select(F.col("label").alias("clip_id"), "vec_id"),
@@ -231,10 +232,20 @@ def forward_fill_boxes(e):
     n = F.col("vec_id")
     box = F.struct((n % 50).alias("x1"), (n % 40).alias("y1"), (n % 50 + 20).alias("x2"), (n % 40 + 30).alias("y2"))
     frames = numbered.select("clip_id", (F.col("ord") - 1).alias("frame_no"), F.when(n % 7 >= 2, box).alias("box"))
-    filled = T.forward_fill_boxes(frames, e.hot("embeddings", "label"))
+    return frames
+
+
+@query
+def forward_fill_boxes(e):
+    filled = T.forward_fill_boxes(_boxes(e), e.hot("embeddings", "label"))
     return filled.select("clip_id", "frame_no", "valid", "box.x1", "box.y1", "box.x2", "box.y2")
 
 
+@query
+def box_coverage(e):
+    return T.box_coverage(_boxes(e))
+
+
 @query
 def landing_error(e):
     return render.landing_error(place_reactions(e))
@@ -242,7 +253,7 @@ def landing_error(e):
 
 @query
 def reaction_density(e):
-    return render.reaction_density(place_reactions(e), _ready(e))
+    return render.reaction_density(e.events, place_reactions(e), _ready(e))
 
 
 # ---------------------------------------------------------------- prices, windows, markers, layout
@@ -398,24 +409,52 @@ def stable_region(e):
 # ---------------------------------------------------------------- sources and sinks
 
 
+def _claims(e):
+    """One claim document per order, as text, for its planted shapes: ids that are no numbers, numbers in quotes, plans
+    that are no object, up to four plan events and two assets with missing or mistyped fields."""
+    n, q = F.col("job_id"), F.lit('"')
+    text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    seconds = lambda ms: F.concat(floor_div(ms, 1000).cast("string"), F.lit("."), F.lpad((ms % 1000).cast("string"), 3, "0"))
+    quoted = lambda when, value: F.when(when, F.concat(q, value, q)).otherwise(value)
+    record = lambda *fields: text("{", F.array_join(F.array_compact(F.array(*fields)), ","), "}")
+    listed = lambda size, make: F.array_join(F.transform(F.filter(F.array(*[F.lit(i) for i in range(4)]), lambda i: i < size), make), ",")
+
+    def event(i):
+        k = n + i
+        return record(
+            F.when(k % 7 != 0, text('"time":', quoted(k % 3 == 1, seconds((n * 131 + i * 9973) % 90000)))),
+            F.when(k % 4 != 0, text('"type":"type-', (k % 4).cast("string"), q)),
+            F.when(k % 5 != 0, text('"intensity":', quoted(k % 2 == 1, seconds((n * 37 + i * 211) % 1001)))),
+            F.when(k % 6 != 0, text('"duration":', F.when(k % 6 == 1, F.lit('"soon"')).otherwise(seconds((n * 53 + i * 400) % 8000)))),
+            F.when(k % 3 == 0, text('"comment":" line ', i.cast("string"), q)),
+        )
+
+    def offered(i):
+        k = n * 2 + i
+        return record(
+            text('"id":', F.when(k % 2 == 0, k.cast("string")).otherwise(text('"a-', k.cast("string"), q))),
+            text('"persona":"', F.col("persona"), q),
+            F.when(k % 5 != 0, F.lit('"reaction_type":"neutral"')),
+            F.when(k % 3 == 0, F.lit('"enabled":true')).when(k % 3 == 1, F.lit('"enabled":"false"')),
+            F.when(k % 4 != 0, text('"intensity_min":', quoted(k % 4 == 1, seconds(k % 1001)))),
+            F.when(k % 7 == 0, F.lit('"metadata":{"loop":[1,2]}')).when(k % 7 == 1, F.lit('"metadata":"none"')),
+        )
+
+    ref = F.when(n % 9 == 0, text('"job-', n.cast("string"), q)).otherwise(quoted(n % 9 == 1, n.cast("string")))
+    plan = F.when(F.col("has_plan"), text('{"events":[', listed(n % 5, event), "]}")).otherwise(F.lit('"none"'))
+    assets = F.when(n % 4 == 3, F.lit("null")).otherwise(text("[", listed(n % 4, offered), "]"))
+    return e.jobs.select(text('{"job":{"id":', ref, ',"status":"', F.col("status"), '","reaction_plan":', plan, '},"assets":', assets, "}").alias("document"))
+
+
 @query
 def read_jobs(e):
-    """One claim document per order: up to four plan events, some without a time, a type or a comment."""
-    n = F.col("job_id")
-    events = F.transform(
-        F.filter(F.array(*[F.lit(i) for i in range(4)]), lambda i: i < n % 5),
-        lambda i: F.struct(
-            F.when((n + i) % 7 != 0, (n * 131 + i * 9973) % 90000 / 1000).alias("time"),
-            F.when((n + i) % 4 != 0, F.concat(F.lit("type-"), ((n + i) % 4).cast("string"))).alias("type"),
-            F.when((n + i) % 3 == 0, F.concat(F.lit(" line "), i.cast("string"))).alias("comment"),
-        ),
-    )
-    plan = F.when(F.col("has_plan"), F.struct(events.alias("events"))).alias("reaction_plan")
-    documents = e.jobs.select(
-        F.to_json(F.struct(F.struct(n.alias("id"), "status", plan).alias("job"))).alias("document")
-    )
-    # The columns that the check states; the documents here have no assets, intensities or durations.
-    return readers.read_jobs(documents).select("job_id", "status", "has_plan", "event_ord", "time_ms", "type", "comment")
+    return readers.read_jobs(_claims(e))
+
+
+@query
+def read_job_assets(e):
+    found = readers.read_job_assets(_claims(e))
+    return found.select("job_id", "job_ref", "asset_ord", "asset_ref", "persona", "reaction_type", "enabled", "intensity_min_m", "metadata")
 
 
 @query
@@ -470,6 +509,22 @@ def overwrite_audit(e):
     return K.overwrite_audit(_writes(e))
 
 
+@query
+def write_results(e):
+    """Written under their keys to a table of their own, in two appends, read back and audited."""
+    path = f"{shared_folder(e.spark)}/timelane-results-{uuid.uuid4().hex}"
+    writes = _writes(e)
+    for half in (0, 1):
+        sinks.write_results(writes.where(F.col("render_id") % 2 == half), path)
+    back = sinks.read_results(e.spark, path)
+    return back.groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("renders"),
+        F.countDistinct("key").alias("keys"),
+        F.max_by("render_id", F.struct("written_at", "render_id")).alias("latest_render"),
+        F.max_by("key", F.struct("written_at", "render_id")).alias("latest_key"),
+    )
+
+
 @query
 def register_assets(e):
     n = F.col("p_partkey")
@@ -525,21 +580,21 @@ def delivery_budget(e):
 
 @query
 def render_summary(e):
-    jobs = _ready(e).withColumn("source_replacement", F.col("job_id") % 13 == 0)
-    placed = stage(place_reactions(e), "placed")
-    gaps = T.open_gaps(placed, _ready(e), e.events_hot)
-    segments = placed.select("job_id", "kind").unionByName(
-        T.fill_gaps_cyclic(gaps, e.assets, e.events_hot).select("job_id", F.lit("neutral").alias("kind"))
+    ready = _ready(e)
+    placed = stage(place_reactions(e), "placed").withColumn(
+        "lipsync_provider", F.when(F.col("job_id") % 2 == 0, "fal").when(F.col("job_id") % 3 == 0, "kaggle")
     )
     return Q.render_summary(
-        jobs,
+        ready.withColumn("source_replacement", F.col("job_id") % 13 == 0),
         e.events.filter("time_ms IS NOT NULL"),
-        segments,
-        placed.filter("kind = 'comment'"),
+        placed,
+        T.fill_counts(T.open_gaps(placed, ready, e.events_hot), e.assets, e.events_hot),
         C.caption_lines(e.words, e.words_hot),
         J.layout_plan(e.jobs, e.assets),
-        Q.render_qc(e.probes, e.jobs).select("job_id", "verdict"),
-    )
+        Q.render_qc(e.probes, e.jobs),
+        delivery_budget(e).join(e.probes.select("job_id", "bytes"), "job_id"),
+        Q.loudness_gain(e.loudness),
+    ).withColumn("comments", F.array_join(F.transform("comments", lambda c: F.concat_ws("|", c["start_ms"], c["duration_ms"], c["text"])), ";"))
 
 
 # ---------------------------------------------------------------- queue and files
@@ -623,6 +678,15 @@ def cache_savings(e):
     return found.groupBy("hit").agg(F.count(F.lit(1)).alias("requests"), F.sum("saved_micro").alias("saved_micro"))
 
 
+@query
+def download_cache(e):
+    """Downloads of the pages' urls, asked for again by every event of a page's number."""
+    pages = e.table("pages").select("page_id", "url")
+    asked = e.table("events").select(F.col("event_id").alias("asked_no"), (F.col("event_id") % 50).alias("page_id"))
+    extension = F.when(F.col("page_id") % 3 == 0, ".png").alias("extension")
+    return L.download_cache(asked.join(pages, "page_id").select("asked_no", "url", extension)).select("cache_key", "asked", "hits")
+
+
 @query
 def error_digest(e):
     n = F.col("request_id")

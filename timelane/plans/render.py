@@ -78,12 +78,20 @@ def landing_error(placed: DataFrame) -> DataFrame:
     return counts.join(ranks.drop("n"), "type")
 
 
-def reaction_density(placed: DataFrame, jobs: DataFrame, density_pct: int = 40) -> DataFrame:
-    """Placed events against the density target (length / 10 s x density, density held within 0.08 to 0.7)."""
+def reaction_density(events: DataFrame, placed: DataFrame, jobs: DataFrame, density_pct: int = 40) -> DataFrame:
+    """Planned and placed events against the density target (length / 10 s x density, density held within 0.08 to 0.7).
+
+    One exchange: jobs, their saved events and their placed clips meet as rows of one table.
+    """
     held = min(70, max(8, density_pct))
-    made = placed.groupBy("job_id").agg(F.count(F.lit(1)).alias("placed"))
-    target_milli = F.expr(f"CAST(total_ms AS BIGINT) * {held} div 1000")
-    return jobs.join(made, "job_id", "left").select(
-        "job_id", target_milli.alias("target_milli_events"), F.coalesce("placed", F.lit(0)).alias("placed"),
-        (F.coalesce("placed", F.lit(0)) * 1000 - target_milli).alias("over_milli_events"),
+    rows = jobs.select("job_id", F.col("total_ms").cast("bigint").alias("total_ms")).unionByName(
+        events.select("job_id", F.lit(1).alias("planned")), allowMissingColumns=True
+    ).unionByName(placed.select("job_id", F.lit(1).alias("placed")), allowMissingColumns=True)
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    counted = rows.groupBy("job_id").agg(F.max("total_ms").alias("total_ms"), zero("planned"), zero("placed")).where("total_ms IS NOT NULL")
+    target_milli = F.expr(f"total_ms * {held} div 1000")
+    return counted.select(
+        "job_id", target_milli.alias("target_milli_events"), "planned", "placed",
+        (F.col("planned") * 1000 - target_milli).alias("planned_over_milli"),
+        (F.col("placed") * 1000 - target_milli).alias("over_milli_events"),
     )

@@ -21,13 +21,6 @@ JOB_DOCUMENT = T.StructType(
                 ]
             ),
         ),
-        T.StructField("assets", T.ArrayType(T.StringType())),
-    ]
-)
-JOB_ASSET = T.StructType(
-    [
-        T.StructField(n, T.StringType())
-        for n in ("id", "label", "persona", "reaction_type", "video_url", "enabled", "speech_ready", "intensity_min", "intensity_max")
     ]
 )
 WORD = T.StructType([T.StructField(n, T.StringType()) for n in ("text", "start", "end")])
@@ -91,23 +84,26 @@ def read_jobs(documents: DataFrame, column: str = "document") -> DataFrame:
 
 
 def read_job_assets(documents: DataFrame, column: str = "document") -> DataFrame:
-    """Claim documents to one row per asset offered with the job, in library order; ``asset`` is its whole JSON text."""
-    parsed = documents.select(F.from_json(column, JOB_DOCUMENT).alias("d"))
-    rows = parsed.select(F.col("d.job.id").alias("job_ref"), F.posexplode("d.assets").alias("pos", "asset"))
-    return rows.withColumn("a", F.from_json("asset", JOB_ASSET)).select(
+    """Claim documents to one row per asset offered with the job, in library order.
+
+    Assets have no fixed shape: they are read as VARIANT, fields of another type or missing ones are NULL, and
+    ``metadata`` and ``asset`` keep what no column names, as JSON text.  ``assets`` that are no array give no rows.
+    """
+    parsed = documents.select(F.try_parse_json(column).alias("d"))
+    rows = parsed.select(
+        F.try_variant_get("d", "$.job.id", "string").alias("job_ref"), F.posexplode(F.try_variant_get("d", "$.assets", "array<variant>")).alias("pos", "a")
+    )
+    text = lambda name: F.try_variant_get("a", f"$.{name}", "string")
+    return rows.select(
         F.col("job_ref").try_cast("bigint").alias("job_id"),
         "job_ref",
         (F.col("pos") + 1).cast("bigint").alias("asset_ord"),
-        F.col("a.id").alias("asset_ref"),
-        "a.label",
-        "a.persona",
-        "a.reaction_type",
-        "a.video_url",
-        F.col("a.enabled").try_cast("boolean").alias("enabled"),
-        F.col("a.speech_ready").try_cast("boolean").alias("speech_ready"),
-        _millis(F.col("a.intensity_min")).alias("intensity_min_m"),
-        _millis(F.col("a.intensity_max")).alias("intensity_max_m"),
-        "asset",
+        text("id").alias("asset_ref"),
+        *[text(name).alias(name) for name in ("label", "persona", "reaction_type", "video_url")],
+        *[text(name).try_cast("boolean").alias(name) for name in ("enabled", "speech_ready")],
+        *[_millis(text(name)).alias(f"{name}_m") for name in ("intensity_min", "intensity_max")],
+        F.to_json(F.try_variant_get("a", "$.metadata", "variant")).alias("metadata"),
+        F.to_json("a").alias("asset"),
     )
 
 

@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from timelane.operators.joins import with_cost
 from timelane.operators.queue import result_keys
 
 
-def write_results(results: DataFrame, path: str, buckets: int = 256, salts: int = 4) -> None:
+#: Folders of a results table, and rows of one write that share a file.
+BUCKETS, FILE_ROWS = 256, 1_000_000
+
+
+def _folder(job_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(job_id), F.lit(buckets)).cast("int")
+
+
+def write_results(results: DataFrame, path: str, buckets: int = BUCKETS, file_rows: int = FILE_ROWS) -> None:
     """Append results under their keys.  Jobs hash into a fixed number of folders, so one job's history is one read.
 
-    Rows move to their folder's tasks first: a folder gets at most ``salts`` files per write, whatever the number of tasks.
+    Rows move to their folder's tasks first, by render: a folder gets one file per ``file_rows`` of its rows, whatever
+    the number of tasks, and a job with very many renders is spread over all files of its folder.
     """
-    keyed = result_keys(results).withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int"))
-    dealt = keyed.repartition("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets * salts)))
+    keyed = result_keys(results).withColumn("bucket", _folder(F.col("job_id"), buckets))
+    sizes = keyed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / file_rows).cast("int").alias("_files"))
+    sized = keyed.join(F.broadcast(sizes), "bucket")  # one row per folder
+    salt = F.pmod(F.xxhash64("job_id", "render_id"), F.col("_files"))
+    dealt = sized.withColumn("_file", salt).repartition("bucket", "_file").drop("_files", "_file")
     dealt.write.mode("append").partitionBy("bucket").parquet(path)
 
 
+def read_results(spark: SparkSession, path: str, job_id: int | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Results as written; those of one job come from its folder alone."""
+    rows = spark.read.parquet(path)
+    if job_id is not None:
+        job = F.lit(job_id).cast("bigint")
+        rows = rows.where((F.col("bucket") == _folder(job, buckets)) & (F.col("job_id") == job))
+    return rows.drop("bucket")
+
+
 def write_caption_rows(rows: DataFrame, path: str) -> None:
     """Write caption rows ordered inside each file; a job may span files, its cue numbers keep the order."""
     rows.repartitionByRange("job_id", "cue").sortWithinPartitions("job_id", "cue").write.mode("append").parquet(path)
