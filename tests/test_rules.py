@@ -303,7 +303,7 @@ def test_captions_match_the_sequential_rule(spark, split, dialect):
 def test_caption_parts_put_together_are_one_document(spark, monkeypatch):
     lines = spark.createDataFrame([(1, i, 1, i * 1000, i * 1000 + 500, f"a\nb{i}") for i in range(1, 6)], "job_id bigint, first_ord bigint, words bigint, start_ms bigint, end_ms bigint, text string")
     whole = captions.export_captions(lines, "srt").first()["document"]
-    monkeypatch.setattr(Limits, "chunk_rows", 2)
+    monkeypatch.setattr(captions, "PART_CUES", 2)
     parts = sorted(captions.export_captions(lines, "srt", split=True).collect(), key=lambda r: r["part"])
     assert len(parts) == 3 and "".join(r["document"] for r in parts) == whole
     assert whole.startswith("1\n00:00:01,000 --> 00:00:01,500\na\nb1\n\n2\n")
@@ -496,7 +496,7 @@ def test_clips_without_a_box_fail(spark):
 def test_assets_of_any_shape(spark):
     docs = ['{"job":{"id":1},"assets":"none"}', '{"job":{"id":2},"assets":[null,3,{"id":{"a":1},"enabled":"maybe","metadata":[1]}]}', "no json", None]
     got = readers.read_job_assets(spark.createDataFrame([(d,) for d in docs], "document string"))
-    assert rows(got, "job_id", "asset_ord", "asset_ref", "enabled", "metadata") == [(2, 1, None, None, None), (2, 2, None, None, None), (2, 3, None, None, "[1]")]
+    assert rows(got, "job_id", "asset_ord", "asset_ref", "enabled", "metadata") == [(2, 1, None, None, None), (2, 2, None, None, None), (2, 3, '{"a":1}', None, "[1]")]
 
 
 def test_new_clips_start_disabled(spark):

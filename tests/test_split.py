@@ -1,13 +1,15 @@
 """The same answers when keys are too large for one task: limits are lowered so that every job is cut up."""
 
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.compare import connect, difference, duck_rows, spark_rows
 from timelane.functions import folds
 from timelane.functions.sides import Sides
-from timelane.functions.skew import Limits
+from timelane.functions.skew import Limits, Run, range_running, running
 from timelane.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
@@ -71,3 +73,25 @@ def test_lookups_of_a_large_catalog(spark, duck, monkeypatch, name):
             assert difference(spark_rows(found), duck_rows(duck, CHECKS[name])) is None
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_ranges_carry_every_running_value(spark):
+    """Keys of one row, of many, a hot one over many ranges, null keys; the plain window's answer."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, "hot", "hot", "hot", *"abcdefgh"]), n, rng.choice([None, rng.randrange(9)])) for n in range(3000)]
+    rows += [(f"k{n}", n, 1) for n in range(200)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, at bigint, v bigint").repartition(8)
+    v = F.col("v")
+    runs = [Run("rank", "rank"), Run("sum", "sum", v), Run("before", "sum_before", v), Run("most", "max", v), Run("prev", "lag", v), Run("last", "last", v)]
+    for keys in (["k"], []):
+        order = [F.col("at"), F.col("k")]
+        plain = running(df.withColumn("one", F.lit(1)), keys or ["one"], order, runs).select(*df.columns, *[r.name for r in runs])
+        settings = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            found = range_running(df, keys, order, runs).collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", settings)
+        zero = lambda r: tuple(0 if c in ("sum", "before") and x is None else x for c, x in r.asDict().items())
+        assert sorted(map(zero, found), key=repr) == sorted(map(zero, plain.collect()), key=repr)

@@ -8,7 +8,8 @@ value is computed in three steps instead:
 2. reduce every chunk to one row and run the window over those few rows, in several levels if needed;
 3. join the carried-in value of each chunk back and combine.
 
-``has_hot_key`` decides with one cheap aggregate which form to use.
+``has_hot_key`` decides with one cheap aggregate which form to use.  ``range_running`` is a third form, for orders that
+nothing but their own ranges can cut.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from timelane.functions.scalars import floor_div
+from timelane.session import stage
 
 class Limits:
     """Sizes a single task may meet.  Tests lower them to run the split forms on small tables."""
@@ -196,3 +198,36 @@ def running(
             for run in runs
         ],
     )
+
+
+def range_running(df: DataFrame, keys: Sequence[str], order: Sequence[Column], runs: Sequence[Run]) -> DataFrame:
+    """As ``running``, whatever the keys hold: rows are range-sorted once by keys and order.
+
+    A range ends where Spark's sample says, so it needs no ordinal without gaps and no clock to be cut by, and a key with
+    very many rows is many ranges.  Only the first and the last key of a range can reach into another; what those carry
+    over, at most two rows per range, travels to the rows.
+    """
+    keys = list(keys)
+    sorted_rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    # The number of the range and the place in it.
+    placed = sorted_rows.withColumn("_id", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_id", 33))
+    window = Window.partitionBy(*keys, "_range").orderBy("_id")
+    local = stage(
+        placed.select("*", *[_window_value(run, window).alias(f"_local_{run.name}") for run in runs], (F.row_number().over(window) == 1).alias("_first")),
+        "ranges",
+    )
+    same = lambda left, right: [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    inside = local.alias("l")
+    if keys:
+        ends = local.groupBy("_range").agg(F.min_by(F.struct(*keys), "_id").alias("a"), F.max_by(F.struct(*keys), "_id").alias("b"))
+        reaching = ends.select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct()
+        inside = inside.join(F.broadcast(reaching).alias("r"), same("l", "r"), "left_semi")
+    totals = inside.groupBy(*keys, "_range").agg(*[_chunk_total(run, [F.col("_id")]).alias(f"_total_{run.name}") for run in runs])
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range")
+    carries = totals.select(*keys, "_range", *[_before_chunk(run, F.col(f"_total_{run.name}"), before).alias(f"_carry_{run.name}") for run in runs])
+    met = local.alias("l").join(F.broadcast(carries).alias("c"), [F.col("l._range") == F.col("c._range"), *same("l", "c")], "left")
+    neutral = lambda run, carry: F.coalesce(carry, F.lit(0)) if run.kind in ("rank", "sum", "sum_before") else carry
+    return met.select(
+        *[F.col(f"l.{c}") for c in df.columns],
+        *[_combine(run, F.col(f"_local_{run.name}"), neutral(run, F.col(f"_carry_{run.name}")), F.col("_first")).alias(run.name) for run in runs],
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from timelane.functions.scalars import is_true
 from timelane.functions.sides import beside
-from timelane.functions.skew import Run, block_of, has_hot_key, running
+from timelane.functions.skew import Run, has_hot_key, range_running, running
 from timelane.operators.gates import persona_flags, reaction_assets
 
 # What to play instead of a type the library lacks, best first; any other type becomes neutral.
@@ -27,9 +27,8 @@ def vocabulary(assets: DataFrame, dialect: str = "v4") -> DataFrame:
 
 
 def _in_time(runs, split: bool, events: DataFrame) -> DataFrame:
-    # event_ord has no gaps, so (time, block of ordinals) cuts even copies at one instant into bounded chunks.
-    chunk = [[block_of("time_ms")], [F.col("time_ms"), block_of("event_ord")]] if split else None
-    return running(events, ["job_id"], [F.col("time_ms"), F.col("event_ord")], runs, chunk)
+    order = [F.col("time_ms"), F.col("event_ord")]
+    return range_running(events, ["job_id"], order, runs) if split else running(events, ["job_id"], order, runs)
 
 
 def order_events(events: DataFrame, split: bool | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from timelane.functions.quantiles import upper_median_rank, value_at_ranks
 from timelane.functions.scalars import floor_div
-from timelane.functions.skew import Run, clock_levels, has_hot_key, running
+from timelane.functions.skew import Run, clock_levels, has_hot_key, range_running, running
 from timelane.session import stage
 
 # Fixed values.
@@ -27,10 +27,7 @@ def claim_order(jobs: DataFrame, exact_id: int | None = None) -> DataFrame:
 def drain_batches(jobs: DataFrame, size: int = DRAIN_SIZE) -> DataFrame:
     """Queued jobs to scheduled runs of at most ``size``, oldest first."""
     queued = jobs.filter(F.col("status") == "queued").select("job_id", "created_at")
-    clocked = queued.withColumn("_us", F.unix_micros(F.col("created_at").cast("timestamp")))
-    # The order runs over the whole table, so only days are ever compared on a single task.
-    levels = [[floor_div(F.col("_us"), 86_400_000_000)], *clock_levels("_us", "job_id")]
-    ranked = running(clocked, [], [F.col("_us"), F.col("job_id")], [Run("rank", "rank")], levels)
+    ranked = range_running(queued, [], [F.col("created_at"), F.col("job_id")], [Run("rank", "rank")])
     return ranked.select("job_id", "rank", (floor_div(F.col("rank") - 1, size) + 1).alias("run_no"))
 
 
