@@ -13,7 +13,7 @@ import pytest
 from pyspark import cloudpickle
 
 from tests.llm.test_operators import FOLDER, by_id, none, odd, words  # noqa: F401
-from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, line_dedup, periodic_runs
+from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, line_dedup, periodic_runs, permutation_index
 from timelane.llm.common import stage
 
 VECTORS = "vec_id bigint, embedding array<float>, v string, cluster string, distance string"
@@ -226,3 +226,38 @@ def test_equal_rows_are_spread_over_packers(spark):
     packed = best_fit.best_fit(stage(parts, "equal"), packer_rows=100)
     sizes = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 40)).count().collect()]
     assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) < 200
+
+
+# ---------------------------------------------------------------- 5
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.7, 1.2])
+def test_recall_of_a_full_shard(spread):
+    """A shard of registered size, searched by footrule: unit vectors, and lengths that vary."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(permutation_index.SHARD_ROWS, 64)) + 2 * rng.normal(size=(40, 64))[rng.integers(0, 40, permutation_index.SHARD_ROWS)]
+    x = x / np.sqrt((x**2).sum(axis=1))[:, None] * np.exp(rng.normal(0, spread, len(x)))[:, None]
+    pivots = x[: permutation_index.PIVOTS] / np.sqrt((x[: permutation_index.PIVOTS] ** 2).sum(axis=1))[:, None]
+    order = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, : permutation_index.NEAR]
+    ids = np.arange(len(x))
+    shard = permutation_index.Shard(ids, x, order, len(pivots))
+    hit = 0
+    for q in range(0, 8000, 100):
+        score = x @ x[q]
+        score[q] = -np.inf
+        found, _ = shard.search(q, x[q], order[q], permutation_index.CANDIDATES, 20)
+        hit += len(set(np.argsort(-score)[:20].tolist()) & set(found.tolist()))
+    assert hit / (80 * 20) >= 0.9
+
+
+def test_units_of_few_queries(spark):
+    """Several shards and blocks give what one unit gives, by footrule."""
+    from pyspark.sql import functions as F
+
+    table = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    settings = {"pivots": 16, "near": 8, "candidates": 10_000}
+    whole = permutation_index.nearest(table, F.col("vec_id") % 3 == 0, k=5, **settings).collect()
+    parts = permutation_index.nearest(table, F.col("vec_id") % 3 == 0, k=5, shard_rows=40, block_rows=20, **settings).collect()
+    whole, parts = sorted(map(tuple, whole)), sorted(map(tuple, parts))
+    assert [r[:3] for r in whole] == [r[:3] for r in parts]
+    assert np.allclose([r[3] for r in whole], [r[3] for r in parts], rtol=1e-12)
