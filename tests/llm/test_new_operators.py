@@ -13,7 +13,7 @@ import pytest
 from pyspark import cloudpickle
 
 from tests.llm.test_operators import FOLDER, by_id, none, odd, words  # noqa: F401
-from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, line_dedup, periodic_runs, permutation_index
+from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, html_text, line_dedup, periodic_runs, permutation_index
 from timelane.llm.common import stage
 
 VECTORS = "vec_id bigint, embedding array<float>, v string, cluster string, distance string"
@@ -261,3 +261,52 @@ def test_units_of_few_queries(spark):
     whole, parts = sorted(map(tuple, whole)), sorted(map(tuple, parts))
     assert [r[:3] for r in whole] == [r[:3] for r in parts]
     assert np.allclose([r[3] for r in whole], [r[3] for r in parts], rtol=1e-12)
+
+
+# ---------------------------------------------------------------- 8
+
+
+def test_pages_against_plain_differencing(spark):
+    """The whole operator restated page by page: neighbours by sorted paths, shared lines gone, article lines kept."""
+    rng = random.Random(12)
+    rows = []
+    for host in range(12):
+        for path in rng.sample(range(100), rng.randint(1, 6)):
+            blocks = [f"<div>{rng.choice(['Home', 'About us', 'Contact', f'own {rng.randrange(999)}'])}</div>" for _ in range(rng.randint(0, 6))]
+            if rng.random() < 0.5:
+                blocks.insert(rng.randint(0, len(blocks)), f"<article><p>text {path}</p><p>Home</p></article>")
+            rows.append((len(rows), f"http://h{host}.x/n/{path:02d}", f"<html><body>{''.join(blocks)}<footer>f</footer></body></html>"))
+    want = {}
+    for page, url, html in rows:
+        same = sorted((u, p) for p, u, _ in rows if u.split("/")[2] == url.split("/")[2])
+        at = same.index((url, page))
+        near = [(len(os.path.commonprefix([url, same[i][0]])), -i, same[i][1]) for i in (at - 1, at + 1) if 0 <= i < len(same)]
+        lines = html_text.lines_of(html)
+        shared = None
+        if near:
+            theirs = html_text.lines_of(rows[max(near)[2]][2])
+            names = {text: n for n, (text, _) in enumerate(lines + theirs)}
+            if theirs:
+                shared = set(html_text.common_lines([names[t] for t, _ in lines], [names[t] for t, _ in theirs]))
+        marked = any(z == html_text.ARTICLE for _, z in lines)
+        if shared is None:
+            shared = set(range(len(lines))) if marked else set()
+        kept = [t for i, (t, z) in enumerate(lines) if z == html_text.ARTICLE or z == html_text.OTHER and i not in shared]
+        want[page] = "\n".join(kept or [t for t, z in lines if z != html_text.FURNITURE])
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == want and len(found) == len(rows)
+
+
+@pytest.mark.parametrize(
+    "body, texts",
+    [
+        ("<div>Menu</div><div class=content><p>Story {i}</p></div><article>Teaser</article>", "Story {i}\nTeaser"),
+        ("<div>Menu</div><h1>Title {i}</h1><article>Body</article>", "Title {i}\nBody"),
+        ("<div class=top-menu>m{i}</div><div class=cookie-banner>c{i}</div><p>Story {i}</p>", "Story {i}"),
+        ("<div class=no-sidebar><p>Story {i}</p></div>", "Story {i}"),
+    ],
+)
+def test_text_beside_articles(spark, body, texts):
+    rows = [(i, f"http://a.x/{i}", f"<html><body>{body.format(i=i)}</body></html>") for i in range(2)]
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {i: texts.format(i=i) for i in range(2)}
