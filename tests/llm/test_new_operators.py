@@ -13,7 +13,7 @@ import pytest
 from pyspark import cloudpickle
 
 from tests.llm.test_operators import FOLDER, by_id, none, odd, words  # noqa: F401
-from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, html_text, line_dedup, periodic_runs, permutation_index
+from timelane.llm import best_fit, byte_bpe, catalog, centroid_clusters, html_text, line_dedup, periodic_runs, permutation_index, substring_dedup
 from timelane.llm.common import stage
 
 VECTORS = "vec_id bigint, embedding array<float>, v string, cluster string, distance string"
@@ -310,3 +310,19 @@ def test_text_beside_articles(spark, body, texts):
     rows = [(i, f"http://a.x/{i}", f"<html><body>{body.format(i=i)}</body></html>") for i in range(2)]
     found = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
     assert {r.page_id: r.text for r in found} == {i: texts.format(i=i) for i in range(2)}
+
+
+# ---------------------------------------------------------------- 1
+
+
+def test_facts_of_frequent_keys(spark, monkeypatch):
+    """Each row gets the facts of its key once, whether they travel or both sides are shuffled."""
+    from timelane.functions.sides import Sides
+
+    rows = spark.createDataFrame([(n, n, n % 5 if n % 3 else 7, bytes([n % 2])) for n in range(60)], "k bigint, s int, h bigint, c binary")
+    facts = rows.where("h <> 4").groupBy("h", "c").count().withColumnRenamed("count", "n").selectExpr("h", "c", "n", "h * 10 + n AS lo")
+    known = {(r.h, bytes(r.c)): r.lo for r in facts.collect()}
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(Sides, "broadcast_bytes", limit)
+        found = substring_dedup.sized_join(rows, facts, ["h", "c"], most=4)
+        assert sorted((r.k, r.h, bytes(r.c), r.lo) for r in found.collect()) == sorted((r.k, r.h, bytes(r.c), known.get((r.h, bytes(r.c)))) for r in rows.collect())

@@ -119,13 +119,19 @@ def keyed(docs: DataFrame) -> DataFrame:
 def sized_join(rows: DataFrame, facts: DataFrame, keys: list[str], most: int = JOIN_ROWS) -> DataFrame:
     """``rows`` with the ``facts`` of their keys, null where there are none; ``facts`` also counts the rows ``n`` of a key.
 
-    The facts of keys with more than ``most`` rows travel to the rows, if they are measured to be small.
+    The facts of keys with more than ``most`` rows travel to the rows, if they are measured to be small.  Rows that have
+    theirs go through the other join under a key of their own, so none of its tasks meets a frequent key.
     """
     rest = [c for c in facts.columns if c not in (*keys, "n")]
-    frequent = beside(facts.where(F.col("n") > most).select(*keys, *rest, F.lit(True).alias("__met")))
+    frequent = beside(facts.where(F.col("n") > most).select(*keys, F.struct(*rest).alias("__often")))
+    others = facts.where(F.col("n") <= most).select(*[F.col(c).alias(f"__{c}") for c in keys], F.struct(*rest).alias("__seldom"))
     first = rows.join(frequent, keys, "left")
-    others = first.where("__met IS NULL").drop("__met", *rest).join(facts.where(F.col("n") <= most).drop("n"), keys, "left")
-    return first.where("__met").drop("__met").unionByName(others)
+    lead = F.when(F.col("__often").isNull(), F.col(keys[0])).otherwise(F.xxhash64("k", "s")).alias("__lead")
+    same = (F.col("__lead") == F.col(f"__{keys[0]}"))
+    for c in keys[1:]:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    met = first.select("*", lead).join(others, same, "left").withColumn("__fact", F.coalesce("__often", "__seldom"))
+    return met.select(*rows.columns, *[F.col("__fact")[c].alias(c) for c in rest])
 
 
 def suffix_tree(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
