@@ -32,7 +32,7 @@ VOCABULARY = "word_bpe_49k.json"
 LENGTH, END_ID = 2048, 0
 OPEN_BINS = 4096
 PACKER_ROWS = 100_000
-#: Words whose ids a worker remembers.
+#: Words whose ids a task remembers.
 MEMO_WORDS = 800_000
 #: White space to Python but not to the vocabulary, which keeps it as marks.
 CONTROLS = re.compile("[\x1c-\x1f]")
@@ -40,13 +40,13 @@ CONTROLS = re.compile("[\x1c-\x1f]")
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
 
-def tokenizer(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
-    """The tokenizer and the ids of words met before, loaded once per worker."""
+def tokenizer(path: str) -> Tokenizer:
+    """Loaded once per worker."""
     name = f"words of {path}"
     if name not in worker_cache():
         found = Tokenizer.from_file(path)
         found.encode_special_tokens = True
-        worker_cache()[name] = found, {}
+        worker_cache()[name] = found
     return worker_cache()[name]
 
 
@@ -67,13 +67,13 @@ def encoded_words(words: list[str], coder: Tokenizer) -> dict[str, bytes]:
     return out
 
 
-def word_ids(texts: list[str], path: str) -> Iterator[bytes]:
-    """Ids of each text, little-endian 32-bit.
+def word_ids(texts: list[str], path: str, memo: dict[str, bytes] | None = None) -> Iterator[bytes]:
+    """Ids of each text, little-endian 32-bit.  ``memo`` holds the ids of words met before.
 
     The vocabulary drops white space and never merges over it, so a text's ids are those of its words one by one; words
     repeat, so most are looked up.  A plain word with marks after it is looked up as letters, in lower case, and marks.
     """
-    coder, memo = tokenizer(path)
+    coder, memo = tokenizer(path), {} if memo is None else memo
     split = [t.split(" ") if CONTROLS.search(t) else t.split() for t in texts]
     new = {w for words in split for w in words if w not in memo}
     halves = {w: (m[1].lower(), m[2]) for w in new if (m := PLAIN.fullmatch(w))}
@@ -95,11 +95,13 @@ def pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Gone with the task: idle workers stay for later stages, and one may hold hundreds of MB of words.
+        memo: dict[str, bytes] = {}
         for batch in batches:
             for first, last in slices(utf8_column(batch["text"])[1]):
                 part = batch.slice(first, last - first)
                 rows = []
-                for doc_id, ids in zip(part["doc_id"].to_pylist(), word_ids(part["text"].to_pylist(), path)):
+                for doc_id, ids in zip(part["doc_id"].to_pylist(), word_ids(part["text"].to_pylist(), path, memo)):
                     ids += end
                     for i, start in enumerate(range(0, len(ids) // 4, length)):
                         piece = ids[4 * start : 4 * (start + length)]
