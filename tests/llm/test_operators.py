@@ -469,3 +469,18 @@ def test_pipeline_keeps_rows_without_an_id(spark):
     wanted = sorted([*data[:4], (1, "one", "en", "a"), data[7]], key=repr)
     for rows in (docs, docs.orderBy(F.desc("lang"))):
         assert sorted(map(tuple, corpus_pipeline.near_duplicate_stage(spark, rows, FOLDER).collect()), key=repr) == wanted
+
+
+def test_every_page_is_differenced(spark):
+    """Also pages whose lines are all settled by their markup."""
+    html = lambda n: f"<nav>Home</nav><article><p>Same line</p><p>Own line {n}</p></article>"
+    rows = [(n, f"http://a.example/x/{n}", html(n)) for n in range(3)] + [(9, "http://b.example/alone", html(9)), (10, "http://a.example/x/empty", None)]
+    found = {r.page_id: r for r in html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {n: r.n_shared for n, r in found.items()} == {0: 2, 1: 2, 2: 2, 9: None, 10: None}
+    assert all(r.text == ("" if n == 10 else f"Same line\nOwn line {n}") for n, r in found.items())
+
+
+def test_words_do_not_outlive_their_task():
+    list(best_fit.word_ids(["some words", "more words"], public_tokenizers.path(best_fit.VOCABULARY)))
+    kept = common.worker_cache()[f"words of {public_tokenizers.path(best_fit.VOCABULARY)}"]
+    assert isinstance(kept, Tokenizer)

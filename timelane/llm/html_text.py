@@ -9,8 +9,7 @@ an article element are deleted; so are lines of named furniture, which may be di
 Lines inside an article element are kept even if shared: two articles may well quote the same sentence.  Lines that are
 neither (a heading beside the article element, a story in a plain ``div``) are kept unless the neighbour shares them; a
 page with an article element and no neighbour yields the article alone.  If differencing leaves nothing of a page
-(mirrored pages), its lines that are not named furniture stay.  A page without such lines is known from its markup, so
-it waits for no neighbour.
+(mirrored pages), its lines that are not named furniture stay.
 
 Names are whole class tokens or ids, or their last part ("top-menu") unless the first says otherwise ("no-sidebar").  An element around an article element is no furniture; only asides, menus, footers,
 dialogs, adverts and comments are in spite of article elements in them (teasers, single comments), while article lines
@@ -29,6 +28,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -277,15 +277,14 @@ def shared_lines(pages: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars.
+    """One row per page: page_id, url, text, n_chars, n_shared (lines shared with its neighbour; null: none to compare with).
 
-    Only pages with lines that their markup leaves open wait for their neighbour; the others' lines are not shuffled.
+    Every page with lines is aligned with its neighbour.  That needs hashes only; a page's lines are then parsed again, so
+    that they travel once, to what is known of them, and are not staged as well.
     """
-    split = stage(split_pages(pages), "lines")
-    marked = ~F.array_contains("zones", OTHER)
-    open_pages = split.where(~marked)
-    near = neighbours(split.where(F.size("zones") > 0).select("host", "path", "k"))
-    pairs = open_pages.select("host", "path", "k").distinct().join(near, ["host", "path"]).select("k", "nk")
+    keys = stage(split_pages(pages).select("k", "host", "path", "hashes"), "keys")
+    filled = keys.where(F.size("hashes") > 0).select("host", "path", "k")
+    pairs = filled.distinct().join(neighbours(filled), ["host", "path"]).select("k", "nk")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,12 +294,13 @@ def main_text(pages: DataFrame) -> DataFrame:
                 gone = set(common if common is not None else range(len(zones)) if ARTICLE in zones else ())
                 places = [(i, z) for i, z in enumerate(zones) if z != FURNITURE]
                 texts.append("\n".join([t for t, (i, z) in zip(lines, places) if z == ARTICLE or i not in gone] or lines))
-            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+            n_shared = pc.list_value_length(batch["shared"])
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), n_shared], names=["page_id", "url", "text", "n_shared"])
 
-    differenced = open_pages.join(shared_lines(split, pairs), "k", "left").select("page_id", "url", "lines", "zones", "shared")
-    articles = split.where(marked).select("page_id", "url", F.array_join("lines", "\n").alias("text"))
-    out = articles.unionByName(differenced.mapInArrow(run, "page_id bigint, url string, text string"))
-    return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    split = split_pages(pages).select("k", "page_id", "url", "lines", "zones")
+    differenced = split.join(shared_lines(keys, pairs), "k", "left").select("page_id", "url", "lines", "zones", "shared")
+    out = differenced.mapInArrow(run, "page_id bigint, url string, text string, n_shared int")
+    return out.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"), "n_shared")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
