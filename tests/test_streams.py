@@ -157,3 +157,12 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_keys_share_groups_of_state(spark, tmp_path):
+    """Workers of one group keep runs of their own; the number of groups does not grow with the workers."""
+    parts = [[(w, START + m * 60_000_000, 100 * w + m) for w in range(3_000) for m in (0, 1)], [(0, START + 100 * HOUR, 10**6)]]
+    stream = parts_of(spark, tmp_path, "many", parts, "worker bigint, at_us bigint, seq bigint")
+    rows = progress.drain(progress.drain_sessions_stream(stream), "many").collect()
+    assert sorted(map(tuple, rows)) == [(w, START, START + 60_000_000, 2, "empty_queue") for w in range(3_000)]
+    assert progress.BUCKETS < 3_000

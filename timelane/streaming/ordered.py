@@ -70,71 +70,92 @@ class InOrder(StatefulProcessor):
         pass
 
 
-class FirstPerHorizon(InOrder):
+class Grouped(InOrder):
+    """Many keys in one group of state: calls for state cost time by group, so they do not grow with the number of keys.
+
+    Records, one per key that is still open, are read and put back as one list.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.waiting_schema)
+        self.records = handle.getListState("records", self.record_schema)
+
+    def keep(self, records: list[tuple]) -> None:
+        if records:
+            self.records.put(records)
+        else:
+            self.records.clear()
+
+
+class FirstPerHorizon(Grouped):
     """A request passes unless one of its key has passed less than ``horizon_us`` before it."""
 
-    record_schema = "passed_us bigint"
+    record_schema = "cache_key string, passed_us bigint"
 
     def __init__(self, schema: str, horizon_us: int):
         self.waiting_schema, self.horizon_us = schema, horizon_us
         self.out = named(schema)
+        names = [column.split()[0] for column in schema.split(", ")]
+        self.width, self.key_at = len(names), names.index("cache_key")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        passed = self.record.get()
+        passed = dict(map(tuple, self.records.get()))
         # What has passed is before all that waits, so a repeat of it stays one whatever else comes.
-        self.wait(tuple(row) for row in rows if not passed or row[0] - passed[0] >= self.horizon_us)
+        self.wait(row[: self.width] for row in map(tuple, rows) if row[self.key_at] not in passed or row[0] - passed[row[self.key_at]] >= self.horizon_us)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         until_us = timerValues.getCurrentWatermarkInMs() * 1000
-        passed = (self.record.get() or (None,))[0]
+        passed = dict(map(tuple, self.records.get()))
         for row in self.in_order(until_us):
-            if passed is None or row[0] - passed >= self.horizon_us:
-                passed = row[0]
+            last = passed.get(row[self.key_at])
+            if last is None or row[0] - last >= self.horizon_us:
+                passed[row[self.key_at]] = row[0]
                 yield self.out(*row)
         self.forget(until_us)
-        if passed is not None:
-            if passed + self.horizon_us <= until_us:
-                self.record.clear()
-            else:
-                self.record.update((passed,))
-                self.wake(passed + self.horizon_us)
+        live = [(k, at_us) for k, at_us in passed.items() if at_us + self.horizon_us > until_us]
+        self.keep(live)
+        if live:
+            self.wake(min(at_us for _, at_us in live) + self.horizon_us)
 
 
-class CappedRuns(InOrder):
+class CappedRuns(Grouped):
     """Runs of claims with less than ``gap_us`` between them; a run ends at ``cap`` claims."""
 
-    waiting_schema, record_schema = "at_us bigint, seq bigint", "start_us bigint, last_us bigint, claims bigint"
-    schema = f"worker bigint, {record_schema}, ended_by string"
+    waiting_schema, record_schema = "at_us bigint, seq bigint, worker bigint", "worker bigint, start_us bigint, last_us bigint, claims bigint"
+    schema = f"{record_schema}, ended_by string"
 
     def __init__(self, gap_us: int, cap: int):
         self.gap_us, self.cap = gap_us, cap
         self.out = named(self.schema)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        self.wait((row.at_us, row.seq) for row in rows)
+        self.wait((row.at_us, row.seq, row.worker) for row in rows)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         until_us = timerValues.getCurrentWatermarkInMs() * 1000
-        run = self.record.get()
-        for at_us, _ in self.in_order(until_us):
+        runs = {row[0]: tuple(row)[1:] for row in self.records.get()}
+        for at_us, _, worker in self.in_order(until_us):
+            run = runs.get(worker)
             if run and at_us - run[1] >= self.gap_us:
-                yield self.out(key[0], *run, "empty_queue")
+                yield self.out(worker, *run, "empty_queue")
                 run = None
             run = (run[0], at_us, run[2] + 1) if run else (at_us, at_us, 1)
             if run[2] == self.cap:
-                yield self.out(key[0], *run, "cap")
-                run = None
-        if run and run[1] + self.gap_us <= until_us:
-            yield self.out(key[0], *run, "empty_queue")
-            run = None
+                yield self.out(worker, *run, "cap")
+                runs.pop(worker, None)
+            else:
+                runs[worker] = run
         self.forget(until_us)
-        if run:
-            self.record.update(run)
-            self.wake(run[1] + self.gap_us)
-        else:
-            self.record.clear()
+        for worker, run in runs.items():
+            if run[1] + self.gap_us <= until_us:
+                yield self.out(worker, *run, "empty_queue")
+        still = [(worker, *run) for worker, run in runs.items() if run[1] + self.gap_us > until_us]
+        self.keep(still)
+        if still:
+            self.wake(min(run[2] for run in still) + self.gap_us)
 
 
 class Followed(InOrder):

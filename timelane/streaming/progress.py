@@ -20,6 +20,8 @@ from timelane.streaming.ordered import CappedRuns, FirstPerHorizon, Followed
 
 # Fixed value: how long a result is reused.
 CACHE_HORIZON_S = 6 * 3600
+#: Groups of state that keys are dealt over.
+BUCKETS = 1024
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -54,6 +56,10 @@ def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
 def stage_counts_stream(progress: DataFrame, minutes: int = 5, delay: str = "1 hour") -> DataFrame:
     """Reports per stage in tumbling windows, each emitted once it is closed."""
     return (
@@ -75,7 +81,7 @@ def cache_dedup_stream(requests: DataFrame, horizon_s: int = CACHE_HORIZON_S, de
         F.unix_micros("ts").alias("at_us"), F.col("request_no").cast("bigint").alias("request_no"), key.alias("cache_key"), "model", "image", "audio", "prompt", "ts"
     )
     schema = "at_us bigint, request_no bigint, cache_key string, model string, image string, audio string, prompt string, ts timestamp"
-    return keyed.groupBy("cache_key").transformWithState(FirstPerHorizon(schema, horizon_s * 1_000_000), schema, "append", "EventTime")
+    return keyed.withColumn("bucket", bucket_of("cache_key")).groupBy("bucket").transformWithState(FirstPerHorizon(schema, horizon_s * 1_000_000), schema, "append", "EventTime")
 
 
 def drain_sessions_stream(claims: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -85,7 +91,7 @@ def drain_sessions_stream(claims: DataFrame, delay: str = "1 hour") -> DataFrame
     of eight or the gap after it, so the state is one open run and the claims behind the watermark.
     """
     clocked = claims.withWatermark("ts", delay).select("worker", F.unix_micros("ts").alias("at_us"), F.col("seq").cast("bigint").alias("seq"), "ts")
-    return clocked.groupBy("worker").transformWithState(CappedRuns(SESSION_GAP_S * 1_000_000, DRAIN_SIZE), CappedRuns.schema, "append", "EventTime")
+    return clocked.withColumn("bucket", bucket_of("worker")).groupBy("bucket").transformWithState(CappedRuns(SESSION_GAP_S * 1_000_000, DRAIN_SIZE), CappedRuns.schema, "append", "EventTime")
 
 
 def job_state_stream(progress: DataFrame, delay: str = "1 hour", keep_s: int = 7 * 86_400) -> DataFrame:
