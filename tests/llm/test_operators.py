@@ -233,6 +233,34 @@ def test_word_ids_equal_the_library():
         assert np.frombuffer(ids, dtype="<u4").tolist() == coder.encode(text, add_special_tokens=False).ids
 
 
+def test_new_letters_go_to_the_model_alone(monkeypatch):
+    """No run of letters passes the normaliser and the cutting; its ids are the library's, for every letter."""
+    path, passed = public_tokenizers.path(best_fit.VOCABULARY), []
+    coder = Tokenizer.from_file(path)
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(coder, name)
+
+        def encode(self, word, **how):
+            passed.append(word)
+            return coder.encode(word, **how)
+
+        def encode_batch_fast(self, lines, **how):
+            passed.extend(word for line in lines for word in line.split())
+            return coder.encode_batch_fast(lines, **how)
+
+    monkeypatch.setattr(best_fit, "tokenizer", lambda path: Watched())
+    monkeypatch.setattr(best_fit, "MEMO_WORDS", 500)
+    every = [chr(c) for c in range(0x250) if best_fit.PLAIN.fullmatch(chr(c))]
+    texts = [" ".join(every), " ".join(f"x{a}{b}{a}," for a, b in zip(every, every[1:])), "".join(every), "Plain words, zażółć GĘŚLĄ jaźń; x1 don't ¿qué?"]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in best_fit.word_ids(texts, path)] == [coder.encode(t, add_special_tokens=False).ids for t in texts]
+    # Two capitals have their small letter outside the range.
+    assert not [w for w in passed if w.isalpha() and max(w) < "\u0250"]
+    assert {"x1", "don't", "¿qué?"} <= set(passed)
+
+
+
 @pytest.mark.parametrize("sizes", [{}, {"chunk": 300, "overlap": 40, "margin": 8}])
 def test_byte_bpe(spark, odd, none, sizes):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:

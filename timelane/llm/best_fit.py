@@ -16,6 +16,7 @@ once per row.  An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +39,8 @@ MEMO_WORDS = 800_000
 CONTROLS = re.compile("[\x1c-\x1f]")
 #: Letters without marks to compose or special lower case, then punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+#: Their lower-case forms that the model takes as they are: one piece each, whatever stands beside them.
+LETTERS = re.compile("[a-zß-öø-įı-ɏ]+")
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -50,44 +53,57 @@ def tokenizer(path: str) -> Tokenizer:
     return worker_cache()[name]
 
 
-def encoded_words(words: list[str], coder: Tokenizer) -> dict[str, bytes]:
-    """Ids of some different words.  They are encoded in lines, with a mark between them that no such word holds."""
-    mark, out = "\x00", {}
-    (mark_id,) = coder.encode(mark, add_special_tokens=False).ids
-    for word in [w for w in words if mark in w]:
-        out[word] = np.array(coder.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    plain = [w for w in words if mark not in w]
-    lines = [plain[at : at + 256] for at in range(0, len(plain), 256)]
-    for line, code in zip(lines, coder.encode_batch_fast([f" {mark} ".join(line) for line in lines], add_special_tokens=False)):
-        ids = np.array(code.ids, dtype="<u4")
-        ends = np.append(np.flatnonzero(ids == mark_id), len(ids))
-        data = ids.tobytes()
-        for word, begin, end in zip(line, np.append(0, ends[:-1] + 1).tolist(), ends.tolist()):
-            out[word] = data[4 * begin : 4 * end]
-    return out
-
-
-def word_ids(texts: list[str], path: str, memo: dict[str, bytes] | None = None) -> Iterator[bytes]:
+def letter_bytes(coder: Tokenizer) -> dict[int, str] | None:
+    """What the vocabulary's model gets for each of ``LETTERS``; None where a run of them would be changed or cut before."""
+    letters = [c for c in map(chr, range(0x250)) if LETTERS.fullmatch(c) and c == c.lower()]
+    run = "".join(letters)
+    if not (coder.normalizer and coder.pre_tokenizer) or coder.normalizer.normalize_str(run) != run or not all(t.special for t in coder.get_added_tokens_decoder().values()):
+        return None
+    table = {ord(c): "".join(piece for piece, _ in coder.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
+    whole = [piece for piece, _ in coder.pre_tokenizer.pre_tokenize_str(run)] == [run.translate(table)]
+    return table if whole and all(table[ord(c)] == c for c in letters if c.isascii()) else None
+
+
+class WordIds(dict):
+    """Ids of words, little-endian 32-bit, each found when it is first asked for.
+
+    A plain word with marks after it is looked up as letters, in lower case, and marks; letters go to the vocabulary's model
+    alone, as there is nothing to normalise or to cut, any other word through the whole vocabulary.
+    """
+
+    def __init__(self, path: str):
+        self.coder, name = tokenizer(path), f"letters of {path}"
+        if name not in worker_cache():
+            worker_cache()[name] = letter_bytes(self.coder)
+        self.model, self.table = self.coder.model, worker_cache()[name]
+
+    def __missing__(self, word: str) -> bytes:
+        plain = PLAIN.fullmatch(word)
+        stem, marks = (plain[1].lower(), plain[2]) if plain else (word, "")
+        if marks or stem != word:
+            found = self[stem] + self[marks] if marks else self[stem]
+        else:
+            if self.table and LETTERS.fullmatch(word):
+                ids = [token.id for token in self.model.tokenize(word if word.isascii() else word.translate(self.table))]
+            else:
+                ids = self.coder.encode(word, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = found
+        return found
+
+
+def word_ids(texts: list[str], path: str, memo: WordIds | None = None) -> Iterator[bytes]:
     """Ids of each text, little-endian 32-bit.  ``memo`` holds the ids of words met before.
 
     The vocabulary drops white space and never merges over it, so a text's ids are those of its words one by one; words
-    repeat, so most are looked up.  A plain word with marks after it is looked up as letters, in lower case, and marks.
+    repeat, so most are looked up.
     """
-    coder, memo = tokenizer(path), {} if memo is None else memo
-    split = [t.split(" ") if CONTROLS.search(t) else t.split() for t in texts]
-    new = {w for words in split for w in words if w not in memo}
-    halves = {w: (m[1].lower(), m[2]) for w in new if (m := PLAIN.fullmatch(w))}
-    stems = {h for pair in halves.values() for h in pair if h not in memo}
-    fresh = encoded_words(list(stems | (new - halves.keys())), coder)
-    memo.update(fresh)
-    for word, (stem, marks) in halves.items():
-        memo[word] = memo[stem] + memo[marks]
-    for words in split:
-        yield b"".join(map(memo.__getitem__, words))
-    if len(memo) > MEMO_WORDS:
+    memo = WordIds(path) if memo is None else memo
+    for text in texts:
+        yield b"".join(map(memo.__getitem__, text.split(" ") if CONTROLS.search(text) else text.split()))
         # Frequent words have come early; later ones are forgotten again.
-        for word in new | stems:
-            memo.pop(word, None)
+        while len(memo) > MEMO_WORDS:
+            memo.popitem()
 
 
 def pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
@@ -96,7 +112,7 @@ def pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Gone with the task: idle workers stay for later stages, and one may hold hundreds of MB of words.
-        memo: dict[str, bytes] = {}
+        memo = WordIds(path)
         for batch in batches:
             for first, last in slices(utf8_column(batch["text"])[1]):
                 part = batch.slice(first, last - first)
