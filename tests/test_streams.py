@@ -166,3 +166,38 @@ def test_keys_share_groups_of_state(spark, tmp_path):
     rows = progress.drain(progress.drain_sessions_stream(stream), "many").collect()
     assert sorted(map(tuple, rows)) == [(w, START, START + 60_000_000, 2, "empty_queue") for w in range(3_000)]
     assert progress.BUCKETS < 3_000
+
+
+def test_jobs_share_groups_of_state(spark, tmp_path):
+    """Jobs of one group keep states of their own, over batches; what comes after a terminal report does not wait."""
+    minute = 60_000_000
+    first = [(j, START + m * minute, 10 * j + m, f"s{m}", "completed" if m == 1 and j % 2 else "rendering", {"a": str(m), f"b{m}": "x"}) for j in range(3_000) for m in range(4)]
+    # Within the watermark: an earlier end for job 0, a report after the end of job 1, and one far behind that settles all.
+    second = [(0, START - minute, 1, "early", "failed", {"c": "y"}), (1, START + 9 * minute, 2, "late", "rendering", {"a": "no"}), (2, START + 40 * HOUR, 3, "last", "rendering", None)]
+    third = [(4, START + 41 * HOUR, 4, "again", "completed", {"a": None}), (1, START + 41 * HOUR, 5, "no", "rendering", {"a": "no"})]
+    stream = parts_of(spark, tmp_path, "jobs", [first, second, third], "job_id bigint, at_us bigint, seq bigint, stage string, status string, patch map<string,string>")
+    states = progress.drain(progress.job_state_stream(stream, delay="2 hours"), "jobs")
+    found = {r.job_id: (r.stage, r.status, r.reports, r.meta) for r in progress.latest_version(states).collect()}
+    whole = {"a": "3", "b0": "x", "b1": "x", "b2": "x", "b3": "x"}
+    assert found[0] == ("early", "failed", 1, {"c": "y"})
+    assert all(found[j] == ("s1", "completed", 2, {"a": "1", "b0": "x", "b1": "x"}) for j in range(1, 3_000, 2))
+    assert found[2] == ("last", "rendering", 5, whole) and found[4] == ("again", "completed", 5, {**whole, "a": None})
+    assert all(found[j] == ("s3", "rendering", 4, whole) for j in range(6, 3_000, 2))
+    (state,) = glob.glob(f"{session.shared_folder(spark)}/timelane-jobs-*/progress")
+    read = lambda name, batch: spark.read.format("statestore").option("path", state).option("batchId", batch).option("stateVarName", name).load()
+    assert read("waiting", 0).count() == 1_500 * 4 + 1_500 * 2
+    assert read("records", 0).select("key.bucket").distinct().count() <= progress.BUCKETS
+
+
+def test_short_waits_are_read_once():
+    class Waiting(list):
+        reads = 0
+
+        def get(self):
+            self.reads += 1
+            return iter(self)
+
+    held = ordered.CappedRuns(1, 8)
+    held.waiting = Waiting([(at, 0) for at in range(1_000, 0, -1)])
+    assert list(held.in_order(500)) == [(at, 0) for at in range(1, 501)]
+    assert held.waiting.reads == 1

@@ -1,8 +1,8 @@
 """Keyed state for streams whose rule runs in time order: rows wait until the watermark has passed them.
 
 A row that comes late, but within the watermark, still takes its place, so answers do not depend on how rows fall into
-batches.  State per key is what waits behind the watermark and one small record; waiting rows are read in stretches of
-time, so a key with very many of them is never held whole.
+batches.  State per key is what waits behind the watermark and one small record; more waiting rows than can be sorted
+at once are read in stretches of time, so a key with very many of them is never held whole.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import batched
+from itertools import batched, islice
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
@@ -50,15 +50,23 @@ class InOrder(StatefulProcessor):
         self.handle.registerTimer(-(-at_us // 1000))
 
     def in_order(self, until_us: int | None = None) -> Iterator[tuple]:
-        """Waiting rows up to ``until_us`` by (at_us, seq), one bounded stretch of time after another."""
-        due = lambda row: until_us is None or row[0] <= until_us
-        counts = sorted(Counter(row[0] // STRETCH_US for row in map(tuple, self.waiting.get()) if due(row)).items())
+        """Waiting rows up to ``until_us`` by (at_us, seq); more than can be sorted at once come in bounded stretches of time."""
+        due = lambda: (row for row in map(tuple, self.waiting.get()) if until_us is None or row[0] <= until_us)
+        all_due = due()
+        rows = list(islice(all_due, SORTED_ROWS + 1))
+        if len(rows) <= SORTED_ROWS:
+            yield from sorted(rows, key=lambda row: row[:2])
+            return
+        counts = Counter(row[0] // STRETCH_US for row in rows)
+        del rows
+        counts.update(row[0] // STRETCH_US for row in all_due)
+        counts = sorted(counts.items())
         while counts:
-            rows, first = 0, counts[0][0]
-            while counts and (not rows or rows + counts[0][1] <= SORTED_ROWS):
+            n_rows, first = 0, counts[0][0]
+            while counts and (not n_rows or n_rows + counts[0][1] <= SORTED_ROWS):
                 last, n = counts.pop(0)
-                rows += n
-            yield from sorted((row for row in map(tuple, self.waiting.get()) if due(row) and first <= row[0] // STRETCH_US <= last), key=lambda row: row[:2])
+                n_rows += n
+            yield from sorted((row for row in due() if first <= row[0] // STRETCH_US <= last), key=lambda row: row[:2])
 
     def forget(self, until_us: int) -> None:
         """Waiting rows up to ``until_us`` go; the rest, no more than lies behind the watermark, waits on."""
@@ -158,63 +166,74 @@ class CappedRuns(Grouped):
             self.wake(min(run[2] for run in still) + self.gap_us)
 
 
-class Followed(InOrder):
-    """A job's state after each micro-batch: settled reports, and on top of them those that still wait.
+class Followed(Grouped):
+    """States of a group's jobs after each micro-batch: settled reports, and on top of them those that still wait.
 
-    The first terminal report ends a job, whenever it comes; reports after it do not count.  Patches (JSON objects) are one
-    map entry per key.  A job's state goes ``keep_us`` after its last report.
+    The first terminal report ends a job, whenever it comes; reports after it do not count, so they do not wait either.
+    Patches (JSON objects) are merged key by key.  A job's record goes ``keep_us`` after its last report.
     """
 
-    waiting_schema = "at_us bigint, seq bigint, stage string, status string, patch string"
-    record_schema = "last_us bigint, ended boolean, version bigint, stage string, status string, reports bigint"
+    waiting_schema = "at_us bigint, seq bigint, job_id bigint, stage string, status string, patch string"
+    record_schema = "job_id bigint, last_us bigint, ended boolean, version bigint, stage string, status string, reports bigint, meta map<string,string>"
     schema = "job_id bigint, version bigint, stage string, status string, reports bigint, meta map<string,string>"
+    #: Not yet settled: (last_us, ended, version, stage, status, reports, meta).
+    new = (-1, False, 0, None, None, 0, None)
 
     def __init__(self, terminal: tuple[str, ...], keep_us: int):
         self.terminal, self.keep_us = terminal, keep_us
         self.out = named(self.schema)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.meta = handle.getMapState("meta", "name string", "value string")
-
-    def applied(self, record: tuple, until_us: int | None) -> tuple[tuple, dict]:
-        """The record and the patched keys after the waiting reports up to ``until_us``."""
-        last_us, ended, version, stage, status, reports = record
-        patched = {}
-        for at_us, _, new_stage, new_status, patch in self.in_order(until_us):
-            if ended:
-                break
-            last_us, stage, status, reports = at_us, new_stage, new_status, reports + 1
-            ended = new_status in self.terminal
-            patched.update(json.loads(patch or "{}"))
-        return (last_us, ended, version, stage, status, reports), patched
+    def read(self) -> dict:
+        return {row[0]: tuple(row)[1:] for row in self.records.get()}
+
+    def apply(self, states: dict, until_us: int | None) -> None:
+        """Waiting reports up to ``until_us`` change the states of their jobs; other jobs' reports are passed over."""
+        patched: dict = {}
+        for at_us, _, job, stage, status, patch in self.in_order(until_us):
+            state = states.get(job)
+            if state and not state[1]:
+                states[job] = (at_us, status in self.terminal, state[2], stage, status, state[5] + 1, state[6])
+                if patch:
+                    patched.setdefault(job, {}).update(json.loads(patch))
+        for job, changes in patched.items():
+            states[job] = (*states[job][:6], (states[job][6] or {}) | changes)
+
+    def counting(self, rows: Iterable[tuple], ended: set, touched: set) -> Iterator[tuple]:
+        """Rows without those of ended jobs and without those behind a terminal report that has come by now."""
+        ends: dict = {}
+        for some in batched((row for row in rows if row[2] not in ended), SORTED_ROWS):
+            for row in some:
+                job = row[2]
+                touched.add(job)
+                if row[4] in self.terminal and (job not in ends or row[:2] < ends[job]):
+                    ends[job] = row[:2]
+            yield from (row for row in some if row[2] not in ends or row[:2] <= ends[row[2]])
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        record = self.record.get() or (-1, False, 0, None, None, 0)
-        if record[1]:
-            return
-        self.wait((r.at_us, r.seq, r.stage, r.status, r.patch) for r in rows)
-        (_, _, version, stage, status, reports), patched = self.applied(record, None)
-        self.record.update((*record[:2], version + 1, *record[3:]))
-        meta = {name[0]: value[0] for name, value in self.meta.iterator()} | patched
-        yield self.out(key[0], version + 1, stage, status, reports, meta)
+        records, touched = self.read(), set()
+        self.wait(self.counting((tuple(row)[:6] for row in rows), {job for job, record in records.items() if record[1]}, touched))
+        for job in touched:
+            record = records.get(job, self.new)
+            records[job] = (*record[:2], record[2] + 1, *record[3:])
+        self.keep([(job, *record) for job, record in records.items()])
+        states = {job: records[job] for job in touched}
+        del records
+        self.apply(states, None)
+        for job, (_, _, version, stage, status, reports, meta) in states.items():
+            yield self.out(job, version, stage, status, reports, meta or {})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         until_us = timerValues.getCurrentWatermarkInMs() * 1000
-        record = self.record.get()
-        if record:
-            record, patched = self.applied(record, until_us)
-            for name, value in patched.items():
-                self.meta.updateValue((name,), (value,))
-            if record[1]:
-                self.waiting.clear()
-            else:
-                self.forget(until_us)
-            if record[0] >= 0 and record[0] + self.keep_us <= until_us and not self.waiting.exists():
-                self.record.clear()
-                self.meta.clear()
-            else:
-                self.record.update(record)
-                if record[0] >= 0:
-                    self.wake(record[0] + self.keep_us)
+        records = self.read()
+        self.apply(records, until_us)
+        rest = [row for row in map(tuple, self.waiting.get()) if row[0] > until_us and not records[row[2]][1]]
+        self.waiting.clear()
+        self.wait(rest)
+        waits = {row[2] for row in rest}
+        live = [(job, *record) for job, record in records.items() if job in waits or record[0] + self.keep_us > until_us]
+        self.keep(live)
+        settled = [record[1] for record in live if record[1] >= 0]
+        if settled:
+            # A job past its time that still waits is woken for by its waiting reports.
+            self.wake(max(min(settled) + self.keep_us, until_us + 1000))
         return iter(())

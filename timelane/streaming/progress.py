@@ -101,8 +101,10 @@ def job_state_stream(progress: DataFrame, delay: str = "1 hour", keep_s: int = 7
     set, and a terminal one takes back what came after it.  A job's state goes ``keep_s`` of event time after its last
     report.
     """
-    reports = progress.withWatermark("ts", delay).select("job_id", "ts", "at_us", F.col("seq").cast("bigint").alias("seq"), "stage", "status", F.to_json("patch", {"ignoreNullFields": "false"}).alias("patch"))
-    return reports.groupBy("job_id").transformWithState(Followed(TERMINAL, keep_s * 1_000_000), Followed.schema, "append", "EventTime")
+    reports = progress.withWatermark("ts", delay).select(
+        "at_us", F.col("seq").cast("bigint").alias("seq"), "job_id", "stage", "status", F.to_json("patch", {"ignoreNullFields": "false"}).alias("patch"), "ts"
+    )
+    return reports.withColumn("bucket", bucket_of("job_id")).groupBy("bucket").transformWithState(Followed(TERMINAL, keep_s * 1_000_000), Followed.schema, "append", "EventTime")
 
 
 def latest_version(states: DataFrame) -> DataFrame:
