@@ -56,6 +56,19 @@ def test_split_matches_check(spark, duck, small_limits, name):
     assert difference(spark_rows(QUERIES[name](spark, FOLDER)), duck_rows(duck, CHECKS[name])) is None
 
 
+@pytest.mark.parametrize("name", ["crossfade_offsets", "realised_clock"])
+def test_small_keys_are_dealt_by_rows(spark, duck, monkeypatch, name):
+    """However many rows, a window task gets about ``task_rows`` of them; the number of tasks follows the table."""
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+    for task_rows in (600, 300):
+        monkeypatch.setattr(Limits, "task_rows", task_rows)
+        found = QUERIES[name](spark, FOLDER)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        dealt = {int(n) for n in re.findall(r"hashpartitioning\(job_id#\w+, (\d+)\), REPARTITION_BY_NUM", plan)}
+        assert max(dealt) == -(-2 * lines // task_rows)
+        assert difference(spark_rows(found), duck_rows(duck, CHECKS[name])) is None
+
+
 LOOKED_UP = ("admission_gate", "cap_comments", "adapt_plan", "nearest_asset", "layout_plan", "fill_gaps_cyclic")
 
 

@@ -27,6 +27,7 @@ class Limits:
 
     split_rows = 250_000  # rows of one key in one window task
     chunk_rows = 4096     # rows per chunk where an ordinal without gaps is at hand
+    task_rows = 250_000   # rows of many keys in one window task
 
 
 def has_hot_key(df: DataFrame, keys: Sequence[str], weight: Column | None = None) -> bool:
@@ -39,6 +40,16 @@ def has_hot_key(df: DataFrame, keys: Sequence[str], weight: Column | None = None
     return not counts.filter(F.col("rows") > Limits.split_rows).limit(1).isEmpty()
 
 
+def spread(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by ``key`` over a task per ``Limits.task_rows`` of them; few rows stay as they are.
+
+    Narrow rows pack so well that a shuffle partition of the usual bytes holds millions of them, and every sort of a
+    chain of windows keeps them all.
+    """
+    tasks = -(-rows // Limits.task_rows)
+    return df.repartition(tasks, key) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def block_of(ordinal: str | Column) -> Column:
     """Block of a non-negative number; at most ``Limits.chunk_rows`` distinct values fall into one."""
     return floor_div(F.col(ordinal) if isinstance(ordinal, str) else ordinal, Limits.chunk_rows)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from timelane.functions.scalars import floor_div
+from timelane.functions.skew import spread
 from timelane.operators import (
     adapt,
     captions as C,
@@ -188,10 +189,15 @@ def _segments_hot(e):
     return e.events_hot or T.has_long_job(e.jobs)
 
 
+def _numbered(e, segments):
+    """Segments, a little less than two for an event, with their numbers."""
+    hot = _segments_hot(e)
+    return T.number_segments(segments if hot else spread(segments, "job_id", 2 * e.rows("lineitem")), hot), hot
+
+
 @query
 def realised_clock(e):
-    hot = _segments_hot(e)
-    return T.realised_clock(T.number_segments(build_timeline(e), hot), hot)
+    return T.realised_clock(*_numbered(e, build_timeline(e)))
 
 
 @query
@@ -201,8 +207,7 @@ def clock_verdict(e):
 
 @query
 def crossfade_offsets(e):
-    hot = _segments_hot(e)
-    return T.crossfade_offsets(T.number_segments(build_timeline_legacy(e), hot), hot)
+    return T.crossfade_offsets(*_numbered(e, build_timeline_legacy(e)))
 
 
 @query

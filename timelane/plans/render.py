@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from timelane.functions.quantiles import discrete_rank, value_at_ranks
-from timelane.functions.skew import has_hot_key
+from timelane.functions.skew import has_hot_key, spread
 from timelane.operators import timeline as T
 from timelane.operators.adapt import adapt_plan
 from timelane.operators.gates import admitted_jobs
@@ -43,7 +43,7 @@ def build_timeline(
     split = has_hot_key(events, ["job_id"]) if split is None else split
     ready = admitted_jobs(jobs, assets, dialect=dialect)
     placed = stage(planned_reactions(events, jobs, assets, dialect, split), "placed")
-    gaps = T.open_gaps(placed, ready, split)
+    gaps = T.open_gaps(placed if split else spread(placed, "job_id", placed.count()), ready, split)
     fill = T.fill_gaps_cyclic if dialect == "v4" else T.fill_gaps_fixed
     neutral = fill(gaps, assets, split).select(
         "job_id", F.lit("neutral").alias("kind"), F.lit(None).cast("bigint").alias("event_no"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from timelane.functions.scalars import floor_div
-from timelane.functions.skew import Run, block_of, chunk_of, has_hot_key, running
+from timelane.functions.skew import Run, block_of, chunk_of, has_hot_key, running, spread
 
 # Derivations that are one projection of one table; the text runs unchanged in Spark and in ANSI engines.
 PROJECTIONS = {
@@ -163,6 +163,7 @@ class Entities:
         self.spark = spark
         self.folder = folder
         self._hot: dict[str, bool] = {}
+        self._rows: dict[str, int] = {}
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -182,6 +183,12 @@ class Entities:
             self._hot[name] = has_hot_key(self.table(table), [key])
         return self._hot[name]
 
+    def rows(self, table: str) -> int:
+        """Rows of a table, read from the footers of its files."""
+        if table not in self._rows:
+            self._rows[table] = self.table(table).count()
+        return self._rows[table]
+
     @property
     def jobs(self) -> DataFrame:
         return self.projection("fx_jobs")
@@ -198,10 +205,11 @@ class Entities:
     def events(self) -> DataFrame:
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
         chunk = [[F.col("l_linenumber")], [floor_div(F.col("l_partkey"), 64)]] if self.events_hot else None
+        lines = self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus"
+        )
         numbered = running(
-            self.table("lineitem").select(
-                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus"
-            ),
+            lines if self.events_hot else spread(lines, "l_orderkey", self.rows("lineitem")),
             ["l_orderkey"],
             [F.col(c) for c in order],
             [Run("event_ord", "rank")],
